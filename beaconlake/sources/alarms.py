@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+import sys
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,9 @@ from beaconlake.functions.attributes import filled
 from beaconlake.functions.times import iso_ms
 from beaconlake.sources.logs import as_columns
 
+# The functions below travel to executors with their code, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Open states in query order, alarm containers in page order and the type each stands for.
 OPEN_STATES = ["ALARM", "INSUFFICIENT_DATA"]
 CONTAINERS = {"MetricAlarms": "MetricAlarm", "CompositeAlarms": "CompositeAlarm", "LogAlarms": "LogAlarm"}
