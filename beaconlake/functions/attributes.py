@@ -43,6 +43,16 @@ def filled(text: Column) -> Column:
     return F.when(text != "", text)
 
 
+def is_json(text: Column) -> Column:
+    """Whether a text is one JSON value and nothing else; repeated keys are allowed."""
+    # Spark's JSON readers stop after the first value, so the text is read as the only element of an array.
+    return F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
+
+
+def is_json_object(text: Column) -> Column:
+    return is_json(text) & F.ltrim(text).startswith("{")
+
+
 def resource_attributes(region: str, log_group: Column, log_stream: Column) -> Column:
     """Where a log event comes from, as JSON; an unknown region or stream leaves its key out."""
     return F.to_json(

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from beaconlake.functions.attributes import is_json
+
 # Limits of the delivery contract.
 MAX_BATCH_BYTES = 1_048_576
 EVENT_OVERHEAD = 26
@@ -75,8 +77,7 @@ def check_metric(name: Column, value: Column, dimensions: Column, attributes: Co
     """A named, finite reading with at most 30 dimensions and, if any, valid attribute JSON."""
     reason = F.when(name.isNull() | (name == ""), "metric name must not be empty")
     if attributes is not None:
-        # Repeated keys are valid JSON but not a valid variant, hence the second look.
-        bad = (attributes != "") & F.try_parse_json(attributes).isNull() & F.json_object_keys(attributes).isNull()
+        bad = (attributes != "") & ~is_json(attributes)
         reason = reason.when(bad, "metric_attributes is not valid JSON")
     return reason.when(F.size(dimensions) > MAX_DIMENSIONS, "a metric may carry at most 30 dimensions").when(
         F.isnan(value) | value.isin(math.inf, -math.inf), "metric value must be finite"

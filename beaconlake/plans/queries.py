@@ -29,7 +29,7 @@ def query(function: Query) -> Query:
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({name: F.round(name, 4) for name in names})
+    return df.withColumns({name: F.round(name, 9) for name in names})
 
 
 # Scans, predicates and order of log events

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from beaconlake.functions.attributes import event_id, first_wins_map
+from beaconlake.functions.attributes import event_id, first_wins_map, is_json_object
 from beaconlake.functions.times import iso_ms
 
 # The members of one log request.
@@ -31,7 +31,7 @@ def decode_put_log_bodies(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
     group, stream = _text(F.col("r.logGroupName")), _text(F.col("r.logStreamName"))
     events = F.col("r.logEvents")
     problem = (
-        F.when(F.json_object_keys("body").isNull(), "the body is not a JSON object")
+        F.when(~is_json_object(F.col("body")), "the body is not a JSON object")
         .when(
             F.coalesce(group, F.lit("")).eqNullSafe("") | F.coalesce(stream, F.lit("")).eqNullSafe(""),
             "logGroupName and logStreamName are required",
