@@ -1,10 +1,12 @@
 """Exact greedy batches per destination, spread over tasks even when one destination holds most rows.
 
 A batch takes the next events in order until one would break a limit, so where a batch starts depends on all
-batches before it. To split that chain, each destination's ordered rows are cut into chunks of equal row count.
-A batch spans at most `max_count` rows, so a chunk plus the first rows of the next one is enough to tell, for
-every row at which a batch could start, where the first batch of the next chunk would then start. These maps are
-short; following them from chunk to chunk fixes each chunk's first batch, and all chunks are cut in parallel.
+batches before it. Destinations of up to one chunk of rows are cut whole, each in one task.
+
+Larger ones are split: their ordered rows are cut into chunks of equal row count. A batch spans at most
+`limits.count` rows, so a chunk plus the first rows of the next one is enough to tell, for every row at which a
+batch could start, where the first batch of the next chunk would then start. These maps are short; following them
+from chunk to chunk fixes each chunk's first batch, and then all chunks are cut in parallel.
 """
 
 from __future__ import annotations
@@ -16,12 +18,14 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from beaconlake.functions import checks
+from beaconlake.operators.delivery import datum_bytes
 from beaconlake.operators.ordering import with_position
+from beaconlake.storage import pin
 
 # The functions below travel to executors with their code, so executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -129,43 +133,46 @@ def _cut(frame: pd.DataFrame, limits: Limits) -> tuple[np.ndarray, np.ndarray]:
     return number, position - begun
 
 
-def assign_batches(
-    rows: DataFrame,
-    keys: Sequence[str],
-    seq: str,
-    size: str,
-    limits: Limits,
-    stamp: str | None = None,
-    chunk_rows: int = CHUNK_ROWS,
-) -> DataFrame:
-    """Keys and `seq` of each row with its `batch_no` in the destination and `index_in_batch`, both from 0.
+def _long(*columns: str) -> list[T.StructField]:
+    return [T.StructField(column, T.LongType()) for column in columns]
 
-    Order is by `stamp` (if any), then `seq`, which must be unique within a destination.
-    """
-    if chunk_rows < limits.count:
-        raise ValueError("chunk_rows must be at least the row limit of a batch")
-    names = [f"k{i}" for i in range(len(keys))]
-    narrow = rows.select(
-        *[F.col(key).alias(name) for key, name in zip(keys, names)],
-        (F.col(stamp) if stamp else F.lit(0)).cast("long").alias("ts"),
-        F.col(seq).alias("seq"),
-        F.col(size).cast("long").alias("size"),
-    )
+
+def _matches(names: Sequence[str]) -> Column:
+    """Join condition of the named columns with their counterparts that start with an underscore."""
+    same = F.lit(True)
+    for name in names:
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    return same
+
+
+def _aside(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    return df.withColumnsRenamed({name: f"_{name}" for name in names})
+
+
+def _cut_whole(narrow: DataFrame, names: list[str], limits: Limits, result: T.StructType) -> DataFrame:
+    """Batches of destinations that are at most one chunk."""
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, frame in _runs(frames, names):
+            ready = frame.assign(position=np.arange(len(frame)), entry=0, base=0, opened=0)
+            number, index = _cut(ready, limits)
+            yield frame[[*names, "seq"]].assign(batch_no=number, index_in_batch=index)
+
+    return narrow.repartition(*names).sortWithinPartitions(*names, "ts", "seq").mapInPandas(cut, result)
+
+
+def _cut_split(narrow: DataFrame, names: list[str], limits: Limits, chunk_rows: int, result: T.StructType) -> DataFrame:
+    """Batches of destinations of several chunks."""
     placed = with_position(narrow, names, [F.col("ts").asc(), F.col("seq").asc()])
-    chunk = F.floor(F.col("position") / chunk_rows).cast("long")
-    placed = placed.withColumn("chunk", chunk)
-    kinds = {f.name: f.dataType for f in placed.schema.fields}
-    key_fields = [T.StructField(name, kinds[name]) for name in names]
+    placed = placed.withColumn("chunk", F.floor(F.col("position") / chunk_rows).cast("long"))
+    key_fields = [field for field in placed.schema.fields if field.name in names]
     order = [*names, "chunk", "position"]
-
-    def longs(*columns: str) -> list[T.StructField]:
-        return [T.StructField(column, T.LongType()) for column in columns]
+    segment = ["low", "follow", "step", "count", "late", "late_step", "rows"]
 
     def maps(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = [*names, "chunk", "low", "follow", "step", "count", "late", "late_step", "rows"]
         for key, frame in _runs(frames, [*names, "chunk"]):
             found = _chunk_maps(frame, int(key[-1]), limits)
-            yield pd.DataFrame([(*key, *segment) for segment in found], columns=columns)
+            yield pd.DataFrame([(*key, *one) for one in found], columns=[*names, "chunk", *segment])
 
     def follow(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         destination, entry, base, opened = None, 0, 0, 0
@@ -173,71 +180,89 @@ def assign_batches(
             if key[:-1] != destination:
                 destination, entry, base, opened = key[:-1], 0, 0, 0
             yield pd.DataFrame([(*key, entry, base, opened)], columns=[*names, "chunk", "entry", "base", "opened"])
-            if entry >= frame["rows"].iloc[0]:
-                entry -= int(frame["rows"].iloc[0])
+            rows = int(frame["rows"].iloc[0])
+            if entry >= rows:
+                entry -= rows
                 continue
-            segment = frame.iloc[int(np.searchsorted(frame["low"].to_numpy(), entry, side="right")) - 1]
-            away = entry - int(segment["low"])
-            opened = int(key[-1]) * chunk_rows + int(segment["late"]) + int(segment["late_step"]) * away
-            entry = int(segment["follow"]) + int(segment["step"]) * away
-            base += int(segment["count"])
+            one = frame.iloc[int(np.searchsorted(frame["low"].to_numpy(), entry, side="right")) - 1]
+            away = entry - int(one["low"])
+            opened = int(key[-1]) * chunk_rows + int(one["late"]) + int(one["late_step"]) * away
+            entry = int(one["follow"]) + int(one["step"]) * away
+            base += int(one["count"])
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, frame in _runs(frames, [*names, "chunk"]):
             number, index = _cut(frame, limits)
             yield frame[[*names, "seq"]].assign(batch_no=number, index_in_batch=index)
 
-    # Only destinations of more than one chunk need the maps.
-    same = F.lit(True)
-    long_keys = placed.filter(F.col("position") == chunk_rows).select(*[F.col(n).alias(f"_{n}") for n in names])
-    for name in names:
-        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    split = placed.join(long_keys, same, "left_semi")
+    # The first rows of a chunk also end the chunk before, where they only help to find the next start.
     overlap = (F.col("position") % chunk_rows < limits.count) & (F.col("chunk") > 0)
     own = F.struct(F.col("chunk").alias("chunk"), F.lit(False).alias("halo"))
     before = F.struct((F.col("chunk") - 1).alias("chunk"), F.lit(True).alias("halo"))
-    widened = split.select(
+    widened = placed.select(
         *names, "position", "ts", "size", F.inline(F.when(overlap, F.array(own, before)).otherwise(F.array(own)))
     )
     mapped = (
         widened.repartition(*names, "chunk")
         .sortWithinPartitions(*order)
-        .mapInPandas(
-            maps,
-            T.StructType(
-                [*key_fields, *longs("chunk", "low", "follow", "step", "count", "late", "late_step", "rows")]
-            ),
-        )
+        .mapInPandas(maps, T.StructType([*key_fields, *_long("chunk", *segment)]))
     )
     entries = (
         mapped.repartition(*names)
         .sortWithinPartitions(*names, "chunk", "low")
-        .mapInPandas(follow, T.StructType([*key_fields, *longs("chunk", "entry", "base", "opened")]))
+        .mapInPandas(follow, T.StructType([*key_fields, *_long("chunk", "entry", "base", "opened")]))
     )
-    entries = entries.select(
-        *[F.col(n).alias(f"_{n}") for n in names], F.col("chunk").alias("_chunk"), "entry", "base", "opened"
+    keys = [*names, "chunk"]
+    ready = placed.join(_aside(entries, keys), _matches(keys)).select(
+        *keys, "position", "ts", "seq", "size", "entry", "base", "opened"
     )
-    at_chunk = F.col("chunk") == F.col("_chunk")
-    for name in names:
-        at_chunk = at_chunk & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    ready = placed.join(entries, at_chunk, "left").select(
-        *names, "chunk", "position", "ts", "seq", "size", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("entry", "base", "opened")]
+    return ready.repartition(*keys).sortWithinPartitions(*order).mapInPandas(cut, result)
+
+
+def assign_batches(
+    rows: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    size: str,
+    limits: Limits,
+    stamp: str | None = None,
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """Keys and `seq` of each row with its `batch_no` in the destination and `index_in_batch`, both from 0.
+
+    Order is by `stamp` (if any), then `seq`, which must be unique within a destination. Counts the rows of each
+    destination first, to know which ones to split.
+    """
+    if chunk_rows < limits.count:
+        raise ValueError("chunk_rows must be at least the row limit of a batch")
+    names = [f"k{i}" for i in range(len(keys))]
+    narrow = rows.select(
+        *[F.col(key).alias(name) for key, name in zip(keys, names)],
+        (F.col(stamp) if stamp else F.lit(0)).cast("long").alias("ts"),
+        F.col(seq).alias("seq"),
+        F.col(size).cast("long").alias("size"),
     )
-    numbered = (
-        ready.repartition(*names, "chunk")
-        .sortWithinPartitions(*order)
-        .mapInPandas(
-            cut,
-            T.StructType([*key_fields, T.StructField("seq", kinds["seq"]), *longs("batch_no", "index_in_batch")]),
+    kept = [field for field in narrow.schema.fields if field.name in (*names, "seq")]
+    result = T.StructType([*kept, *_long("batch_no", "index_in_batch")])
+    large = narrow.groupBy(*names).count().filter(F.col("count") > chunk_rows).select(*names)
+    if large.isEmpty():
+        found = _cut_whole(narrow, names, limits, result)
+    else:
+        large = _aside(pin(large, "large"), names)
+        found = _cut_whole(narrow.join(large, _matches(names), "left_anti"), names, limits, result).unionByName(
+            _cut_split(narrow.join(large, _matches(names), "left_semi"), names, limits, chunk_rows, result)
         )
-    )
-    return numbered.select(
-        *[F.col(name).alias(key) for key, name in zip(keys, names)], F.col("seq").alias(seq), "batch_no", "index_in_batch"
+    return found.select(
+        *[F.col(name).alias(key) for key, name in zip(keys, names)],
+        F.col("seq").alias(seq),
+        "batch_no",
+        "index_in_batch",
     )
 
 
-def _planned(rows: DataFrame, keys: list[str], seq: str, found: DataFrame) -> DataFrame:
-    return rows.join(found, [*keys, seq]).select(*rows.columns, "batch_no", "index_in_batch")
+def _planned(rows: DataFrame, keys: list[str], sized: DataFrame, limits: Limits, stamp: str | None, chunk_rows: int):
+    found = assign_batches(sized, keys, "seq", "_size", limits, stamp, chunk_rows)
+    return rows.join(found, [*keys, "seq"]).select(*rows.columns, "batch_no", "index_in_batch")
 
 
 def plan_log_batches(
@@ -248,15 +273,14 @@ def plan_log_batches(
     max_span_ms: int = checks.MAX_SPAN_MS,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Adds `batch_no` and `index_in_batch` to events with `log_group`, `log_stream`, `timestamp_ms`, `seq`, `message`.
+    """Adds `batch_no` and `index_in_batch` to `log_group`, `log_stream`, `timestamp_ms`, `seq` and `message`.
 
     Events of a destination go by time, ties by `seq`. A batch closes before an event that would be one too many,
     exceed the bytes (message plus overhead) or lie more than the span after the batch's first event.
     """
-    keys = ["log_group", "log_stream"]
     sized = events.withColumn("_size", F.octet_length("message") + overhead)
     limits = Limits(max_events, max_bytes, max_span_ms)
-    return _planned(events, keys, "seq", assign_batches(sized, keys, "seq", "_size", limits, "timestamp_ms", chunk_rows))
+    return _planned(events, ["log_group", "log_stream"], sized, limits, "timestamp_ms", chunk_rows)
 
 
 def plan_metric_batches(
@@ -266,8 +290,5 @@ def plan_metric_batches(
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Adds `batch_no` and `index_in_batch` to data points, in input order (`seq`) per namespace and metric."""
-    from beaconlake.operators.delivery import datum_bytes
-
-    keys = ["namespace", "metric_name"]
     sized = data.withColumn("_size", datum_bytes())
-    return _planned(data, keys, "seq", assign_batches(sized, keys, "seq", "_size", Limits(max_data, max_bytes), None, chunk_rows))
+    return _planned(data, ["namespace", "metric_name"], sized, Limits(max_data, max_bytes), None, chunk_rows)

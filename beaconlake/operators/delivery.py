@@ -103,19 +103,25 @@ def to_metric_data(df: DataFrame, namespace: str, seq: str, struct: str | None =
     number = F.col(f"`{value.name}`").try_cast("double")
     units = F.col(f"`{unit.name}`").cast("string") if unit is not None else F.lit(None).cast("string")
     texts = F.col(f"`{attributes.name}`").cast("string") if attributes is not None else None
-    # An empty name raises even without a reading; the other checks apply to what is sent.
-    unnamed = F.when(metric == "", F.lit("metric name must not be empty"))
-    rows = df.withColumn("_dimensions", A.metric_dimensions(df)).filter(_raise_when(unnamed))
-    rows = rows.filter(number.isNotNull())
-    rows = rows.filter(_raise_when(checks.check_metric(metric, number, F.col("_dimensions"), texts)))
+    # An empty name raises even without a reading; the other checks apply to what is sent. They sit in the name, which
+    # every use of a data point needs, and not in a filter, which would read the attributes once more.
+    rows = df.filter(number.isNotNull() | (metric == ""))
+    dimensions = A.metric_dimensions(df)
+    listed = dimensions
+    if texts is not None:
+        # A text with few colons has few members, which spares most rows a second look at their dimensions.
+        colons = F.length(texts) - F.length(F.replace(texts, F.lit(":"), F.lit("")))
+        few = F.coalesce(colons, F.lit(0)) < checks.MAX_DIMENSIONS
+        listed = F.when(few, F.array().cast("array<struct<name:string,value:string>>")).otherwise(dimensions)
+    problem = checks.check_metric(metric, number, listed, texts)
     return rows.select(
         F.col(seq).alias("seq"),
         F.lit(namespace).alias("namespace"),
-        metric.alias("metric_name"),
+        F.when(problem.isNull(), metric).otherwise(F.raise_error(problem).cast("string")).alias("metric_name"),
         metric_time(df, now).alias("timestamp_seconds"),
         number.alias("value"),
         A.translate_unit(units).alias("unit"),
-        F.col("_dimensions").alias("dimensions"),
+        dimensions.alias("dimensions"),
     )
 
 

@@ -28,15 +28,15 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     """Adds the 0-based place of each row within its key, for a total order within the key.
 
     Rows are range-sorted over all tasks, so a key of any size is spread; only one count per (task, key) meets
-    in a window. The sorted rows are written to reliable storage because the task boundaries must not move
-    between counting and numbering: pass narrow rows.
+    in a window. The sorted rows are written to the shared folder because the task boundaries must not move between
+    counting and numbering: pass narrow rows.
     """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by = [F.col(key).asc() for key in keys] + list(order)
-    ranged = pin(df.repartitionByRange(tasks, *by).sortWithinPartitions(*by).withColumn(
-        "_at", F.monotonically_increasing_id()
-    ))
-    placed = ranged.withColumn("_task", F.shiftright("_at", 33))
+    ranged = df.repartitionByRange(tasks, *by).sortWithinPartitions(*by)
+    # The id holds the task in its upper bits and the row within the task in the lower 33.
+    placed = pin(ranged.withColumn("_at", F.monotonically_increasing_id()), "positions")
+    placed = placed.withColumn("_task", F.shiftright("_at", 33))
     runs = placed.groupBy(*keys, "_task").agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
     before = Window.partitionBy(*keys).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.select(
@@ -104,7 +104,5 @@ def first_of_each(df: DataFrame, key: str, position: str) -> DataFrame:
 
 def read_back(rows: DataFrame, batch_keys: Sequence[str], text: str, order: Sequence[str], separator: str = "|"):
     """Texts of each batch joined in order. Batches are bounded by the delivery limits."""
-    joined = (
-        f"listagg({text}, '{separator}') within group (order by {', '.join(order)})"
-    )
+    joined = f"listagg({text}, '{separator}') within group (order by {', '.join(order)})"
     return rows.groupBy(*batch_keys).agg(F.expr(joined).alias("bodies"))

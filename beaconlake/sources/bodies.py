@@ -84,23 +84,34 @@ def _form_fields(bodies: DataFrame) -> DataFrame:
     return bodies.select("body_seq", "received_ms", F.inline(F.concat(F.array(none), fields)))
 
 
-def _dimensions(parts: Column) -> Column:
-    """Dimensions numbered from 1 without a gap; the last of equal field names and the first of equal names count."""
+def _with_dimensions(points: DataFrame) -> DataFrame:
+    """Adds `dimensions` made of `parts`: numbered from 1 without a gap.
+
+    The last of equal field names and the first of equal dimension names count.
+    """
 
     def part(number: Column, which: str) -> Column:
-        same = F.filter(parts, lambda p: (p["number"] == number) & (p["which"] == which))
-        return F.try_element_at(
-            F.array_sort(F.transform(same, lambda p: F.struct(p["pos"].alias("pos"), p["value"].alias("value")))),
-            F.lit(-1),
-        )["value"]
+        same = F.filter("parts", lambda p: (p["number"] == number) & (p["which"] == which))
+        found = F.array_max(F.transform(same, lambda p: F.struct(p["pos"].alias("pos"), p["value"].alias("value"))))
+        return found["value"]
 
     pairs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))),
+        F.sequence(F.lit(1), F.greatest(F.size("parts"), F.lit(1))),
         lambda n: F.struct(part(n, "Name").alias("name"), part(n, "Value").alias("value")),
     )
-    broken = F.array_position(F.transform(pairs, lambda p: p["name"].isNull() | p["value"].isNull()), True)
-    whole = F.when(broken > 0, F.slice(pairs, F.lit(1), (broken - 1).cast("int"))).otherwise(pairs)
-    return first_wins_map(whole)
+    broken = F.array_position(
+        F.transform("_pairs", lambda p: p["name"].isNull() | p["value"].isNull()), F.lit(True)
+    )
+    whole = F.when(F.col("_broken") > 0, F.slice("_pairs", F.lit(1), (F.col("_broken") - 1).cast("int"))).otherwise(
+        F.col("_pairs")
+    )
+    # One step per column, so that no step is computed again inside the next.
+    return (
+        points.withColumn("_pairs", pairs)
+        .withColumn("_broken", broken)
+        .withColumn("_whole", whole)
+        .withColumn("dimensions", first_wins_map(F.col("_whole")))
+    )
 
 
 def decode_put_metric_bodies(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -169,13 +180,13 @@ def decode_put_metric_bodies(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(~F.coalesce("body_kept", F.lit(False)), "MetricData must contain at least one datum")
     )
     judged = checked.withColumn("reason", reason)
-    points = judged.filter(F.col("reason").isNull() & F.col("kept")).select(
+    points = _with_dimensions(judged.filter(F.col("reason").isNull() & F.col("kept"))).select(
         F.col("body_namespace").alias("namespace"),
         "metric_name",
         F.coalesce(iso_ms(F.col("timestamp")), "received_ms").alias("timestamp_ms"),
         number_text.alias("value"),
         F.coalesce("unit", F.lit("None")).alias("unit"),
-        _dimensions(F.col("parts")).alias("dimensions"),
+        "dimensions",
     )
     why = judged.filter((F.col("n") == 0) & F.col("reason").isNotNull()).select("body_seq", "reason")
     return points, bodies.join(why, "body_seq").select("body_seq", "received_ms", "body", "reason")

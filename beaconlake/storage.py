@@ -25,12 +25,29 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def pin(df: DataFrame, purpose: str = "pinned") -> DataFrame:
+    """Writes `df` to the shared folder once and continues from the written table.
+
+    Later steps read it by column and survive the loss of any executor without running `df` again.
+    """
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def pin(df: DataFrame) -> DataFrame:
-    """Write `df` to reliable storage and continue from there, partition by partition."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def clear(spark: SparkSession) -> None:
+    """Deletes what this process wrote to the shared folder. Results that still read it must be written out before."""
+    jvm, configuration = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(configuration).delete(path, True)
