@@ -12,6 +12,7 @@ from beaconlake.functions.checks import RETENTION_DAYS
 from beaconlake.functions.times import stamp_ms
 from beaconlake.operators.batching import plan_log_batches, plan_metric_batches
 from beaconlake.operators.delivery import encode_log_batches, to_metric_data, to_put_events
+from beaconlake.storage import pin
 
 # The moment the queries count from (2024-01-31 00:00 UTC) and where documents' times begin.
 NOW_MS = 1_706_659_200_000
@@ -97,7 +98,8 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.min(stamp_ms(F.col("ts"))).alias("created_ms"))
         .select("log_group", "log_stream", none.alias("retention_in_days"), "created_ms")
     )
-    return groups.unionByName(segments).unionByName(streams)
+    # A table of its own in practice, and used more than once by most operators.
+    return pin(groups.unionByName(segments).unionByName(streams), "registry")
 
 
 def group_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -444,4 +446,4 @@ def graph_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '{"Services":[', F.array_join(F.transform(listed, lambda s: s["service"]), ","), '],"NextToken":""}'
     )
     pages = services.unionByName(older).groupBy("page_no").agg(body.alias("body"))
-    return pages.select(F.lit("graph").alias("request_id"), "page_no", "body")
+    return pin(pages.select(F.lit("graph").alias("request_id"), "page_no", "body"), "graph-pages")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from beaconlake.functions.attributes import event_id, first_wins_map, is_json_object
 from beaconlake.functions.times import iso_ms
+from beaconlake.sources.logs import explode_once
 
 # The members of one log request.
 _LOG_BODY = (
@@ -43,15 +44,23 @@ def decode_put_log_bodies(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
         .when(F.exists(events, lambda e: ~_is(e["message"], "STRING")), "each log event requires a message")
     )
-    judged = parsed.withColumn("reason", problem)
-    dead = judged.filter(F.col("reason").isNotNull()).select("body_seq", "received_ms", "body", "reason")
-    good = judged.filter(F.col("reason").isNull()).select(
+    # The rows to keep are chosen by exploding an array, not by a filter, which would parse the body again.
+    judged = parsed.select(
+        "body_seq", "received_ms", "body", group.alias("log_group"), stream.alias("log_stream"), events.alias("events"),
+        problem.alias("reason"),
+    )
+    dead = judged.select(
+        "body_seq", "received_ms", "body", F.when(F.col("reason").isNotNull(), F.array("reason")).alias("_reasons")
+    )
+    dead = explode_once(dead, "_reasons", "reason").drop("pos")
+    good = judged.select(
         "body_seq",
         "received_ms",
-        group.alias("log_group"),
-        stream.alias("log_stream"),
-        F.posexplode(events).alias("pos", "e"),
+        "log_group",
+        "log_stream",
+        F.when(F.col("reason").isNull(), F.col("events")).alias("_events"),
     )
+    good = explode_once(good, "_events", "e")
     rows = good.select(
         "log_group",
         "log_stream",
@@ -63,25 +72,50 @@ def decode_put_log_bodies(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, dead
 
 
-# The names of the form fields of one data point.
-_MEMBER = r"^MetricData\.member\.([1-9]\d*)\."
-_FIELD = _MEMBER + r"(MetricName|Value|Timestamp|Unit)$"
-_DIMENSION = _MEMBER + r"Dimensions\.member\.([1-9]\d*)\.(Name|Value)$"
+# The fields of one data point.
+_FIELDS = ["MetricName", "Value", "Timestamp", "Unit"]
+
+
+def _index(text: Column) -> Column:
+    """A member number as the form names it: from 1, without leading zeros."""
+    number = text.try_cast("long")
+    return F.when((number >= 1) & (number.cast("string") == text), number)
 
 
 def _form_fields(bodies: DataFrame) -> DataFrame:
-    """Decoded fields of form bodies with their place; every body also gets one row with place -1."""
-    parts = F.filter(F.split("body", "&"), lambda p: p.contains("="))
-    fields = F.transform(
-        parts,
-        lambda p, at: F.struct(
-            at.cast("int").alias("pos"),
-            F.try_url_decode(F.substring_index(p, "=", 1)).alias("key"),
-            F.try_url_decode(F.substring(p, F.instr(p, "=") + 1, F.length(p))).alias("value"),
-        ),
+    """Decoded fields of form bodies with the data point `n` and dimension they belong to.
+
+    Every body also gets a row for itself, with `n` 0. Bodies are spread by their number before they are taken apart,
+    so that all that follows per body needs no other shuffle.
+    """
+    parts = F.concat(F.array(F.lit("")), F.split("body", "&"))
+    rows = bodies.repartition("body_seq").select("body_seq", "received_ms", F.posexplode(parts).alias("pos", "part"))
+    rows = rows.filter((F.col("pos") == 0) | F.col("part").contains("="))
+    key = F.try_url_decode(F.substring_index("part", "=", 1))
+    value = F.try_url_decode(F.substring("part", F.instr("part", "=") + 1, F.length("part")))
+    rows = rows.select("body_seq", "received_ms", "pos", key.alias("key"), value.alias("value"))
+    rows = rows.withColumn("names", F.split("key", r"\."))
+    size = F.size("names")
+
+    def name(place: int) -> Column:
+        return F.get("names", F.lit(place))
+
+    member = (name(0) == "MetricData") & (name(1) == "member")
+    plain = member & (size == 4) & name(3).isin(_FIELDS)
+    dimension = (
+        member & (size == 7) & (name(3) == "Dimensions") & (name(4) == "member") & name(6).isin("Name", "Value")
+    )
+    return rows.select(
+        "body_seq",
+        "received_ms",
+        "pos",
+        "value",
+        F.coalesce(F.when(plain | dimension, _index(name(2))), F.lit(0)).alias("n"),
+        F.when(F.col("key") == "Namespace", "Namespace").when(plain, name(3)).alias("which"),
+        F.when(dimension, _index(name(5))).cast("int").alias("number"),
+        F.when(dimension, name(6)).alias("part"),
+        (F.col("key").isNull() | F.col("value").isNull()).alias("bad"),
     )
-    none = F.struct(F.lit(-1).alias("pos"), F.lit("").alias("key"), F.lit("").alias("value"))
-    return bodies.select("body_seq", "received_ms", F.inline(F.concat(F.array(none), fields)))
 
 
 def _with_dimensions(points: DataFrame) -> DataFrame:
@@ -114,34 +148,16 @@ def _with_dimensions(points: DataFrame) -> DataFrame:
     )
 
 
-def decode_put_metric_bodies(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Data points and dead letters of form bodies (`body_seq`, `received_ms`, `body`).
-
-    Data points are numbered from 1 and end at the first gap. A body needs a namespace and a data point, each data
-    point a numeric value and, if it has one, a readable time; escapes must be valid.
-    """
-    fields = _form_fields(bodies).repartition("body_seq")
-    key, value = F.col("key"), F.col("value")
-    number = F.coalesce(F.nullif(F.regexp_extract(key, _MEMBER, 1), F.lit("")).cast("long"), F.lit(0))
-    which = F.regexp_extract(key, _FIELD, 2)
-    dimension = F.nullif(F.regexp_extract(key, _DIMENSION, 2), F.lit("")).cast("int")
+def judge_metric_bodies(bodies: DataFrame) -> DataFrame:
+    """Data points of form bodies with the `reason` their body is refused for; the row with `n` 0 is the body's own."""
 
     def last(name: str) -> Column:
-        return F.max_by(F.when(F.col("which") == name, value), F.when(F.col("which") == name, F.col("pos")))
+        mine = F.col("which") == name
+        return F.max_by(F.when(mine, F.col("value")), F.when(mine, F.col("pos")))
 
-    part = F.struct(F.col("dimension").alias("number"), F.col("part").alias("which"), "pos", "value")
+    part = F.struct("number", F.col("part").alias("which"), "pos", "value")
     grouped = (
-        fields.select(
-            "body_seq",
-            "received_ms",
-            "pos",
-            "value",
-            F.coalesce(number, F.lit(0)).alias("n"),
-            F.when(key == "Namespace", "Namespace").otherwise(which).alias("which"),
-            dimension.alias("dimension"),
-            F.regexp_extract(key, _DIMENSION, 3).alias("part"),
-            (key.isNull() | value.isNull()).alias("bad"),
-        )
+        _form_fields(bodies)
         .groupBy("body_seq", "n")
         .agg(
             F.max("received_ms").alias("received_ms"),
@@ -150,7 +166,7 @@ def decode_put_metric_bodies(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
             last("Value").alias("value"),
             last("Timestamp").alias("timestamp"),
             last("Unit").alias("unit"),
-            F.collect_list(F.when(F.col("dimension").isNotNull(), part)).alias("parts"),
+            F.collect_list(F.when(F.col("number").isNotNull(), part)).alias("parts"),
             F.max("bad").alias("bad"),
         )
     )
@@ -179,14 +195,32 @@ def decode_put_metric_bodies(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(F.col("no_time"), "a timestamp could not be read")
         .when(~F.coalesce("body_kept", F.lit(False)), "MetricData must contain at least one datum")
     )
-    judged = checked.withColumn("reason", reason)
-    points = _with_dimensions(judged.filter(F.col("reason").isNull() & F.col("kept"))).select(
+    return checked.withColumn("reason", reason).withColumn("number", number_text)
+
+
+def metric_points(judged: DataFrame) -> DataFrame:
+    """The data points of accepted bodies."""
+    return _with_dimensions(judged.filter(F.col("reason").isNull() & F.col("kept"))).select(
         F.col("body_namespace").alias("namespace"),
         "metric_name",
         F.coalesce(iso_ms(F.col("timestamp")), "received_ms").alias("timestamp_ms"),
-        number_text.alias("value"),
+        F.col("number").alias("value"),
         F.coalesce("unit", F.lit("None")).alias("unit"),
         "dimensions",
     )
+
+
+def metric_dead_letters(bodies: DataFrame, judged: DataFrame) -> DataFrame:
+    """The refused bodies with the reason."""
     why = judged.filter((F.col("n") == 0) & F.col("reason").isNotNull()).select("body_seq", "reason")
-    return points, bodies.join(why, "body_seq").select("body_seq", "received_ms", "body", "reason")
+    return bodies.join(why, "body_seq").select("body_seq", "received_ms", "body", "reason")
+
+
+def decode_put_metric_bodies(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Data points and dead letters of form bodies (`body_seq`, `received_ms`, `body`).
+
+    Data points are numbered from 1 and end at the first gap. A body needs a namespace and a data point, each data
+    point a numeric value and, if it has one, a readable time; escapes must be valid.
+    """
+    judged = judge_metric_bodies(bodies)
+    return metric_points(judged), metric_dead_letters(bodies, judged)

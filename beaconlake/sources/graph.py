@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from beaconlake import schemas
 from beaconlake.functions.attributes import filled
 from beaconlake.functions.times import ms_to_time, now_ms, time_option
-from beaconlake.sources.logs import as_columns, json_object
+from beaconlake.sources.logs import as_columns, explode_once, json_object
 
 # Members of services and edges that become attributes, in output order.
 SERVICE_ATTRIBUTES = [
@@ -60,18 +60,15 @@ def _attributes(member: Column, names: Sequence[str]) -> Column:
 def decode_graph_pages(pages: DataFrame) -> DataFrame:
     """Services of landed pages (`request_id`, `page_no`, `body`) with their place and attributes."""
     parsed = F.from_json(json_object(F.col("body"), "service graph page"), _PAGE)
-    return (
-        pages.select("request_id", "page_no", parsed.alias("page"))
-        .select("request_id", "page_no", F.posexplode("page.Services").alias("pos", "s"))
-        .select(
-            "request_id",
-            (F.col("page_no").cast("long") * _PER_PAGE + F.col("pos")).alias("place"),
-            F.col("s.ReferenceId").alias("reference_id"),
-            F.coalesce("s.Name", F.lit("")).alias("service"),
-            F.coalesce("s.Type", F.lit("")).alias("type"),
-            _attributes(F.col("s"), SERVICE_ATTRIBUTES).alias("attributes"),
-            F.col("s.Edges").alias("edges"),
-        )
+    services = pages.select("request_id", "page_no", parsed["Services"].alias("_services"))
+    return explode_once(services, "_services", "s").select(
+        "request_id",
+        (F.col("page_no").cast("long") * _PER_PAGE + F.col("pos")).alias("place"),
+        F.col("s.ReferenceId").alias("reference_id"),
+        F.coalesce("s.Name", F.lit("")).alias("service"),
+        F.coalesce("s.Type", F.lit("")).alias("type"),
+        _attributes(F.col("s"), SERVICE_ATTRIBUTES).alias("attributes"),
+        F.col("s.Edges").alias("edges"),
     )
 
 

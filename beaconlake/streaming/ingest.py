@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from beaconlake.operators.registry import known_destination
-from beaconlake.sources.bodies import decode_put_log_bodies, decode_put_metric_bodies
+from beaconlake.sources.bodies import (
+    decode_put_log_bodies,
+    judge_metric_bodies,
+    metric_dead_letters,
+    metric_points,
+)
 from beaconlake.streaming.tables import write_batch
 
 BODIES = "body_seq long, received_ms long, body string"
@@ -45,8 +50,11 @@ def stream_ingest_metrics(bodies: DataFrame, out: str, checkpoint: str, once: bo
     """Metric bodies to `out/metrics`, bad bodies to `out/dead`, one folder per micro-batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        points, dead = decode_put_metric_bodies(batch)
-        write_batch(points, f"{out}/metrics", batch_id)
-        write_batch(dead, f"{out}/dead", batch_id, dated=False)
+        judged = judge_metric_bodies(batch).persist()
+        try:
+            write_batch(metric_points(judged), f"{out}/metrics", batch_id)
+            write_batch(metric_dead_letters(batch, judged), f"{out}/dead", batch_id, dated=False)
+        finally:
+            judged.unpersist()
 
     return _start(bodies, write, checkpoint, once)
