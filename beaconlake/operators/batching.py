@@ -69,7 +69,7 @@ def _runs(frames: Iterable[pd.DataFrame], keys: Sequence[str]) -> Iterator[tuple
         cuts = [*np.flatnonzero(fresh), len(frame)]
         for start, stop in zip(cuts, cuts[1:]):
             part = frame.iloc[start:stop]
-            key = tuple(part.iloc[0][list(keys)])
+            key = tuple(None if pd.isna(value) else value for value in part.iloc[0][list(keys)])
             if current is not None and key != current:
                 yield current, pd.concat(held, ignore_index=True)
                 held = []

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from beaconlake.storage import pin
+
 ACCURACY = 10_000
 
 
@@ -37,7 +39,10 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> Data
 def group_percentiles(
     rows: DataFrame, keys: Sequence[str], value: str, fractions: Sequence[float], approx: bool = False
 ) -> DataFrame:
-    """One row per key with the linearly interpolated percentiles `q0`, `q1`, … of its non-NULL values."""
+    """One row per key with the linearly interpolated percentiles `q0`, `q1`, … of its non-NULL values.
+
+    The exact form runs its first pass at once; `approx` gives the sketch's own answer.
+    """
     rows = rows.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
     if approx:
         found = F.percentile_approx("_v", list(fractions), ACCURACY)
@@ -49,6 +54,8 @@ def group_percentiles(
     sketch = rows.groupBy(*keys).agg(
         F.count("_v").alias("_n"), F.percentile_approx("_v", edges, ACCURACY).alias("_edges")
     )
+    # Written out, its size is known before the join below is planned: a small one spares the rows a shuffle.
+    sketch = pin(sketch, "sketch")
     bands = sketch.select(
         *keys,
         F.array(

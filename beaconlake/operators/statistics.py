@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from beaconlake.functions.attributes import dimensions_key, has_dimensions
 from beaconlake.functions.times import whole
 from beaconlake.operators.quantiles import group_percentiles, join_groups
+from beaconlake.storage import pin
 
 # Names of the plain statistics.
 PLAIN = ["Sum", "Average", "Maximum", "Minimum", "SampleCount"]
@@ -120,7 +121,7 @@ def period_statistic(
     limits = group_percentiles(rows, keys, "value", fractions, approx)
     if found.kind == "p":
         return limits.select(*keys, F.col("q0").alias("value"))
-    return join_groups(rows, limits, keys).groupBy(*keys).agg(_bounded(found).alias("value"))
+    return join_groups(rows, pin(limits, "limits"), keys).groupBy(*keys).agg(_bounded(found).alias("value"))
 
 
 def metric_rollup(points: DataFrame, period: int, names: Sequence[str] = tuple(PLAIN), by: Sequence[str] = ()):
