@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from beaconlake.llm.simhash import op9_simhash
+from beaconlake.llm.substrings import op10_substrings
 
 QUERIES = {
     "op9_simhash": op9_simhash,
+    "op10_substrings": op10_substrings,
 }
 
 SQL: dict[str, str] = {}
