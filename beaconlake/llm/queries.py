@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from beaconlake.llm.simhash import op9_simhash
 from beaconlake.llm.substrings import op10_substrings
+from beaconlake.llm.weighted_minhash import op8_weighted_sampling
 
 QUERIES = {
+    "op8_weighted_sampling": op8_weighted_sampling,
     "op9_simhash": op9_simhash,
     "op10_substrings": op10_substrings,
 }
