@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from beaconlake.llm.decontaminate import op3_block_max
 from beaconlake.llm.langid import op5_output_codes
 from beaconlake.llm.simhash import op9_simhash
 from beaconlake.llm.substrings import op10_substrings
@@ -10,6 +11,7 @@ from beaconlake.llm.weighted_minhash import op8_weighted_sampling
 
 QUERIES = {
     "op2_normaliser": op2_normaliser,
+    "op3_block_max": op3_block_max,
     "op5_output_codes": op5_output_codes,
     "op8_weighted_sampling": op8_weighted_sampling,
     "op9_simhash": op9_simhash,
