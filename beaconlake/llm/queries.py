@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from beaconlake.llm.decontaminate import op3_block_max
 from beaconlake.llm.langid import op5_output_codes
+from beaconlake.llm.quality import op1_attention
 from beaconlake.llm.simhash import op9_simhash
 from beaconlake.llm.substrings import op10_substrings
 from beaconlake.llm.warc import op2_normaliser
 from beaconlake.llm.weighted_minhash import op8_weighted_sampling
 
 QUERIES = {
+    "op1_attention": op1_attention,
     "op2_normaliser": op2_normaliser,
     "op3_block_max": op3_block_max,
     "op5_output_codes": op5_output_codes,
