@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from beaconlake.llm.decontaminate import op3_block_max
 from beaconlake.llm.langid import op5_output_codes
+from beaconlake.llm.mixing import op4_soft_membership
 from beaconlake.llm.quality import op1_attention
 from beaconlake.llm.simhash import op9_simhash
 from beaconlake.llm.substrings import op10_substrings
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_attention": op1_attention,
     "op2_normaliser": op2_normaliser,
     "op3_block_max": op3_block_max,
+    "op4_soft_membership": op4_soft_membership,
     "op5_output_codes": op5_output_codes,
     "op8_weighted_sampling": op8_weighted_sampling,
     "op9_simhash": op9_simhash,
