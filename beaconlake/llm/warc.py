@@ -207,7 +207,8 @@ def typed(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
     payload = F.coalesce("html", F.lit("")).cast("binary")
     pages = pages.select("page_id", "url", "html", F.sha1(payload).alias("sha"), F.length(payload).alias("bytes"))
     largest = pages.where(F.col("bytes") >= revisit_bytes).groupBy("sha").agg(F.max("page_id").alias("top"), F.count("*").alias("n")).where("n > 1")
-    pages = pages.join(largest.select("sha", "top"), "sha", "left")
+    # only payloads that repeat; written out first, so that few of them are joined without moving the pages
+    pages = pages.join(pin(largest.select("sha", "top"), "repeated"), "sha", "left")
     again = F.col("page_id") < F.col("top")
     return pages.select("page_id", "url", "html", "bytes", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("top")).alias("refers_to"))
 
