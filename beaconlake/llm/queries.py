@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from beaconlake.llm.decontaminate import op3_block_max
+from beaconlake.llm.html_text import op6_page_differences
 from beaconlake.llm.langid import op5_output_codes
 from beaconlake.llm.mixing import op4_soft_membership
 from beaconlake.llm.quality import op1_attention
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_block_max": op3_block_max,
     "op4_soft_membership": op4_soft_membership,
     "op5_output_codes": op5_output_codes,
+    "op6_page_differences": op6_page_differences,
     "op8_weighted_sampling": op8_weighted_sampling,
     "op9_simhash": op9_simhash,
     "op10_substrings": op10_substrings,

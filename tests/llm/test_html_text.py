@@ -1,0 +1,90 @@
+import random
+import re
+
+from beaconlake.llm import html_text
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def texts(page):
+    return [t for t, _ in html_text.lines_of(page)]
+
+
+def lcs_length(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        row = [0, *(v for v in _next(row, x, b))]
+    return row[-1]
+
+
+def _next(row, x, b):
+    left = 0
+    for j, y in enumerate(b):
+        left = row[j] + 1 if x == y else max(left, row[j + 1])
+        yield left
+
+
+def test_common_subsequence_equals_the_plain_recurrence():
+    rng = random.Random(6)
+    for _ in range(300):
+        a, b = ([rng.randrange(rng.choice([2, 8, 40])) for _ in range(rng.randrange(30))] for _ in range(2))
+        met = html_text.common(a, b)
+        assert len(met) == lcs_length(a, b)
+        assert all(a[i] == b[j] for i, j in met)
+        assert all(p < q and r < s for (p, r), (q, s) in zip(met, met[1:]))
+
+
+def test_article_without_furniture():
+    page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p><p>no</p>";</script></head><body>
+    <header><h1>Site</h1></header><nav><ul><li><a href="/a">A</a></li></ul></nav><!-- <p>gone</p> --><div class="ad">Buy</div>
+    <article><h1>Head &amp; more</h1><p><b>One   two<br>three<p>Caf&eacute; &#x41;&lt;b&gt;</p><ul><li>x</li><li>y</li></ul>
+    <div class="share-buttons">Share</div><form>mail <input value="a>b"></form><div id="comments"><p>nice</p></div><p>Last</p></article>
+    <aside>Side</aside><div class="cookie-notice"><div>We use</div></div><footer>&copy; f</footer></body></html>"""
+    assert texts(page) == ["Head & more", "One two three", "Café A<b>", "x", "y", "Last"]
+
+
+def test_broken_markup():
+    assert texts("<div class=ad>Buy<article><p>a<p>b") == ["a", "b"]
+    assert texts("plain < 3 text") == ["plain < 3 text"]
+    assert texts("<p class='with-sidebar'>a</p><p class=notice>n<p>b</p>") == ["a", "b"]
+    assert texts("<script>x") == [] and texts("") == [] and texts(None) == []
+    assert texts("<p>a<!-- never closed <p>b") == ["a"]
+    assert len(texts("<div>" * 20_000 + "deep" + "</div>" * 20_000)) == 1
+
+
+def test_shared_lines_go_copies_and_articles_stay(spark):
+    menu = "<p>Home</p><p>About us all</p>"
+    body = lambda i: "".join(f"<p>Text {i} of paragraph {k} and some more words.</p>" for k in range(3))
+    end = "<p>Follow our channels</p>"
+    rows = [(i, f"https://h.example/n/{i}", menu + body(i) + end) for i in range(10, 30)]
+    rows += [(100 + i, f"https://copy.example/{i}", menu + body(1) + end) for i in range(3)]
+    rows += [(200 + i, f"https://art.example/{i}", f"<article><p>Licence line.</p>{body(i)}</article>{end}") for i in range(4)]
+    rows += [(300, "https://alone.example/", menu + body(1)), (301, None, menu), (302, "x", "<p>q</p>"), (303, "https://art.example/z", None)]
+    got = {r.page_id: r for r in html_text.main_texts(spark.createDataFrame(rows, SCHEMA)).collect()}
+    plain = lambda i: "\n".join(f"Text {i} of paragraph {k} and some more words." for k in range(3))
+    assert all(got[i].text == plain(i) for i in range(10, 30))
+    assert all(got[100 + i].text == f"Home\nAbout us all\n{plain(1)}\nFollow our channels" for i in range(3))
+    assert all(got[200 + i].text == f"Licence line.\n{plain(i)}" for i in range(4))
+    assert got[300].text == f"Home\nAbout us all\n{plain(1)}" and got[301].text == "Home\nAbout us all"
+    assert (got[302].text, got[303].text, got[303].n_chars) == ("q", "", 0)
+    assert all(r.n_chars == len(r.text) for r in got.values())
+
+
+def test_given_pages(spark):
+    """The given pages declare their articles; what is in them, and no more, comes out."""
+    pages = {r.page_id: r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()}
+    got = html_text.op6_page_differences(spark, "/root/testdata/sf0.01").collect()
+    assert len(got) == len(pages)
+    import html
+
+    for r in got:
+        inside = re.search(r"<article>(.*?)</article>", pages[r.page_id], re.S)[1]
+        want = [" ".join(html.unescape(re.sub(r"<[^>]+>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", inside)]
+        assert r.text == "\n".join(b for b in want if b)
+
+
+def test_repeats_extra_columns_and_empty(spark):
+    rows = [(1, "https://h.example/a", "<p>a</p>", "x"), (1, "https://h.example/a", "<p>a</p>", "y"), (None, "https://h.example/b", "<p>b</p>", "z")]
+    pages = spark.createDataFrame(rows, SCHEMA + ", text string")
+    assert sorted((r.page_id or -1, r.text) for r in html_text.main_texts(pages).collect()) == [(-1, "b"), (1, "a"), (1, "a")]
+    assert html_text.main_texts(pages.limit(0)).collect() == []
