@@ -9,6 +9,8 @@ from beaconlake.llm.mixing import op4_soft_membership
 from beaconlake.llm.quality import op1_attention
 from beaconlake.llm.simhash import op9_simhash
 from beaconlake.llm.substrings import op10_substrings
+from beaconlake.llm.token_rollup import SQL as ROLLUP_SQL
+from beaconlake.llm.token_rollup import op7_delta_rollup
 from beaconlake.llm.warc import op2_normaliser
 from beaconlake.llm.weighted_minhash import op8_weighted_sampling
 
@@ -20,8 +22,9 @@ QUERIES = {
     "op5_output_codes": op5_output_codes,
     "op6_page_differences": op6_page_differences,
     "op8_weighted_sampling": op8_weighted_sampling,
+    "op7_delta_rollup": op7_delta_rollup,
     "op9_simhash": op9_simhash,
     "op10_substrings": op10_substrings,
 }
 
-SQL: dict[str, str] = {}
+SQL = {"op7_delta_rollup": ROLLUP_SQL}
