@@ -106,8 +106,8 @@ def dimensions_key(dimensions: Column) -> Column:
 
 
 def event_id(body_seq: Column, position: Column) -> Column:
-    """19 digits: 13 of the body's sequence number and 6 of the place in it."""
-    return F.concat(F.lpad(body_seq.cast("string"), 13, "0"), F.lpad(position.cast("string"), 6, "0"))
+    """29 digits: 19 of the body's sequence number, room for any bigint, and 10 of the place in it, for any int."""
+    return F.concat(F.lpad(body_seq.cast("string"), 19, "0"), F.lpad(position.cast("string"), 10, "0"))
 
 
 def metric_dimensions(df: DataFrame) -> Column:

@@ -245,10 +245,11 @@ def assign_batches(
     kept = [field for field in narrow.schema.fields if field.name in (*names, "seq")]
     result = T.StructType([*kept, *_long("batch_no", "index_in_batch")])
     large = narrow.groupBy(*names).count().filter(F.col("count") > chunk_rows).select(*names)
+    large = pin(large, "large")
     if large.isEmpty():
         found = _cut_whole(narrow, names, limits, result)
     else:
-        large = _aside(pin(large, "large"), names)
+        large = _aside(large, names)
         found = _cut_whole(narrow.join(large, _matches(names), "left_anti"), names, limits, result).unionByName(
             _cut_split(narrow.join(large, _matches(names), "left_semi"), names, limits, chunk_rows, result)
         )
@@ -260,9 +261,21 @@ def assign_batches(
     )
 
 
-def _planned(rows: DataFrame, keys: list[str], sized: DataFrame, limits: Limits, stamp: str | None, chunk_rows: int):
-    found = assign_batches(sized, keys, "seq", "_size", limits, stamp, chunk_rows)
-    return rows.join(found, [*keys, "seq"]).select(*rows.columns, "batch_no", "index_in_batch")
+def _planned(sized: DataFrame, keys: list[str], limits: Limits, stamp: str | None, chunk_rows: int) -> DataFrame:
+    """`sized` without `_size`, planned. It is worked out once and written, as counting, planning and the join back all
+    read it. NULL is a destination like any other."""
+    sized = pin(sized, "sized")
+    found = assign_batches(sized, keys, "seq", "_size", limits, stamp, chunk_rows).alias("f")
+    same = F.col("r.seq") == F.col("f.seq")
+    for key in keys:
+        same = same & F.col(f"r.{key}").eqNullSafe(F.col(f"f.{key}"))
+    joined = sized.alias("r").join(found, same)
+    return joined.select(*[F.col(f"r.{c}") for c in sized.columns if c != "_size"], "batch_no", "index_in_batch")
+
+
+def _refused(problem: Column, value: Column) -> Column:
+    """`value` where there is no problem, else an error that tells it."""
+    return F.when(problem.isNull(), value).otherwise(F.raise_error(problem).cast("long"))
 
 
 def plan_log_batches(
@@ -272,15 +285,25 @@ def plan_log_batches(
     overhead: int = checks.EVENT_OVERHEAD,
     max_span_ms: int = checks.MAX_SPAN_MS,
     chunk_rows: int = CHUNK_ROWS,
+    bad_messages: str = "raise",
 ) -> DataFrame:
     """Adds `batch_no` and `index_in_batch` to `log_group`, `log_stream`, `timestamp_ms`, `seq` and `message`.
 
+    A message that can't be sent, being NULL, empty or too long, raises; with `bad_messages="drop"` such events are left
+    out, for a caller that keeps them by `validate_put`. An event without a time raises.
+
     Events of a destination go by time, ties by `seq`. A batch closes before an event that would be one too many,
     exceed the bytes (message plus overhead) or lie more than the span after the batch's first event.
     """
-    sized = events.withColumn("_size", F.octet_length("message") + overhead)
+    if bad_messages not in ("raise", "drop"):
+        raise ValueError("bad_messages must be 'raise' or 'drop'")
+    message = checks.check_message(F.col("message"))
+    if bad_messages == "drop":
+        events = events.filter(message.isNull())
+    problem = F.coalesce(message, F.when(F.col("timestamp_ms").isNull(), F.lit("an event has no time")))
+    sized = events.withColumn("_size", _refused(problem, (F.octet_length("message") + overhead).cast("long")))
     limits = Limits(max_events, max_bytes, max_span_ms)
-    return _planned(events, ["log_group", "log_stream"], sized, limits, "timestamp_ms", chunk_rows)
+    return _planned(sized, ["log_group", "log_stream"], limits, "timestamp_ms", chunk_rows)
 
 
 def plan_metric_batches(
@@ -291,4 +314,4 @@ def plan_metric_batches(
 ) -> DataFrame:
     """Adds `batch_no` and `index_in_batch` to data points, in input order (`seq`) per namespace and metric."""
     sized = data.withColumn("_size", datum_bytes())
-    return _planned(data, ["namespace", "metric_name"], sized, Limits(max_data, max_bytes), None, chunk_rows)
+    return _planned(sized, ["namespace", "metric_name"], Limits(max_data, max_bytes), None, chunk_rows)

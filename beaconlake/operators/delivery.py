@@ -195,18 +195,33 @@ _RESPONSE = (
 
 
 def reconcile_put(planned: DataFrame, responses: DataFrame, raise_on_reject: bool = False) -> DataFrame:
-    """Adds `status` to planned events: ok, expired, too_old, too_new or entity_rejected; NULL without a response.
+    """Adds `status` to planned events: ok, expired, too_old, too_new, entity_rejected or unreadable_response.
 
-    `responses` has one `body` per batch. Expired and too old hold through an index, too new from an index on,
-    and a rejected entity rejects the whole batch.
+    NULL without a response. `responses` has one `body` per batch; a second answer to a batch raises. Expired and too
+    old hold through an index, too new from an index on, and a rejected entity rejects the whole batch. An answer that
+    is not a JSON object, or whose rejection members are not objects with whole numbers, says nothing about its events.
     """
-    parsed = responses.select(*LOG_BATCH, F.from_json("body", _RESPONSE).alias("r")).select(
-        *LOG_BATCH, F.lit(True).alias("_answered"), "r.*"
-    )
+    tree = F.try_parse_json("body")
+
+    def kind(path: str) -> Column:
+        return F.schema_of_variant(F.try_variant_get(tree, path, "variant"))
+
+    def other(path: str, *allowed: str) -> Column:
+        return F.coalesce(~F.regexp_like(kind(path), F.lit("^(" + "|".join(("VOID", *allowed)) + ")")), F.lit(False))
+
+    unread = tree.isNull() | ~F.schema_of_variant(tree).startswith("OBJECT")
+    unread = unread | other("$.rejectedLogEventsInfo", "OBJECT") | other("$.rejectedEntityInfo", "OBJECT")
+    for member in ("expiredLogEventEndIndex", "tooOldLogEventEndIndex", "tooNewLogEventStartIndex"):
+        unread = unread | other(f"$.rejectedLogEventsInfo.{member}", "BIGINT")
+    parsed = responses.select(*LOG_BATCH, unread.alias("unread"), F.from_json("body", _RESPONSE).alias("r"))
+    parsed = parsed.groupBy(*LOG_BATCH).agg(F.count("*").alias("_answers"), F.first(F.struct("unread", "r")).alias("a"))
+    twice = F.when(F.col("_answers") > 1, F.raise_error(F.lit("a batch has more than one response")).cast("boolean"))
+    parsed = parsed.select(*LOG_BATCH, F.coalesce(twice, F.lit(True)).alias("_answered"), F.col("a.unread").alias("_unread"), "a.r.*")
     joined = planned.join(parsed, LOG_BATCH, "left")
     at, info = F.col("index_in_batch"), "rejectedLogEventsInfo"
     status = (
         F.when(F.col("_answered").isNull(), F.lit(None).cast("string"))
+        .when(F.col("_unread"), "unreadable_response")
         .when(F.col("rejectedEntityInfo").isNotNull(), "entity_rejected")
         .when(at <= F.col(f"{info}.expiredLogEventEndIndex"), "expired")
         .when(at <= F.col(f"{info}.tooOldLogEventEndIndex"), "too_old")

@@ -184,6 +184,9 @@ def put_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     entity = F.when((group == "/docs/de") & (events < 3), F.struct(F.lit("InvalidEntity").alias("errorType")))
     body = F.to_json(F.struct(index.alias("rejectedLogEventsInfo"), entity.alias("rejectedEntityInfo")))
+    # Answers that can't be read: no JSON, no object, and rejection members of the wrong kind.
+    broken = F.array(*map(F.lit, ["<html>", "[]", '{"rejectedLogEventsInfo":7}', '{"rejectedLogEventsInfo":{"expiredLogEventEndIndex":"2"}}', '{"rejectedEntityInfo":[]}']))
+    body = F.when((group == "/docs/es") & (F.col("batch_no") % 2 == 1), broken[F.floor(F.col("batch_no") / 2) % 5]).otherwise(body)
     return batches.filter(group != "/docs/en").select("log_group", "log_stream", "batch_no", body.alias("body"))
 
 
@@ -311,6 +314,15 @@ def metric_pages_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("event_id").alias("request_id"), F.lit(0).alias("page_no"), body.alias("body"))
 
 
+def wide_responses(spark: SparkSession, sf_dir: str, fields: int = 400, per_row: int = 20) -> DataFrame:
+    """One response per event with `per_row` of `fields` fields, other ones for the next event."""
+    at = lambda i: F.format_string("f%03d", ((F.col("event_id") * 7 + i) % fields).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.lit(per_row - 1)), lambda i: F.struct(at(i).alias("field"), i.cast("string").alias("value")))
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("response_no"), F.lit("Complete").alias("status"), F.array(pairs).alias("results")
+    )
+
+
 def query_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ad-hoc query response per event: which fields its row has follows the event's type and value."""
     e = table(spark, sf_dir, "events")

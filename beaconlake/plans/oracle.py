@@ -154,6 +154,7 @@ counted AS (SELECT log_group, batch_no, count(*) AS n FROM planned GROUP BY ALL)
 outcome AS (
   SELECT p.seq, p.log_group, p.log_stream, p.timestamp_ms, p.batch_no, p.index_in_batch,
          CASE WHEN p.log_group = '/docs/en' THEN NULL
+              WHEN p.log_group = '/docs/es' AND p.batch_no % 2 = 1 THEN 'unreadable_response'
               WHEN p.log_group = '/docs/de' AND c.n < 3 THEN 'entity_rejected'
               WHEN p.log_group = '/docs/fr' AND p.index_in_batch <= 1 THEN 'expired'
               WHEN p.log_group IN ('/docs/fr', '/docs/es') AND p.index_in_batch <= 2 THEN 'too_old'
@@ -169,10 +170,10 @@ _LOG_BODIES = f"""bodies AS (
   FROM documents),
 received AS (
   SELECT log_group, 'stream-1' AS log_stream, stamp AS timestamp_ms, CAST({NOW_MS} AS BIGINT) AS ingestion_time_ms,
-         lpad(CAST(doc_id AS VARCHAR), 13, '0') || '000000' AS event_id, text AS message
+         lpad(CAST(doc_id AS VARCHAR), 19, '0') || '0000000000' AS event_id, text AS message
   FROM bodies WHERE reason IS NULL
   UNION ALL
-  SELECT log_group, 'stream-1', stamp + 1, {NOW_MS}, lpad(CAST(doc_id AS VARCHAR), 13, '0') || '000001', source
+  SELECT log_group, 'stream-1', stamp + 1, {NOW_MS}, lpad(CAST(doc_id AS VARCHAR), 19, '0') || '0000000001', source
   FROM bodies WHERE reason IS NULL)"""
 
 _METRIC_BODIES = f"""
@@ -274,6 +275,10 @@ SQL: dict[str, str] = {
     "event_page": f"""WITH {EV}
         SELECT {_EV_COLUMNS}, (SELECT count(*) FROM ev) > 2000 AS has_more
         FROM ev ORDER BY timestamp_ms, event_id LIMIT 500 OFFSET 1500""",
+    "event_page_deep": """WITH e AS (
+          SELECT epoch_us(date_trunc('day', ts)) // 1000 AS timestamp_ms, lpad(CAST(user_id % 5 AS VARCHAR), 19, '0') AS event_id FROM events)
+        SELECT timestamp_ms, event_id, (SELECT count(*) FROM e) > 800 AS has_more
+        FROM e ORDER BY timestamp_ms, event_id LIMIT 200 OFFSET 600""",
     "event_page_after": f"""WITH {EV},
         rest AS (SELECT * FROM ev WHERE (timestamp_ms, event_id) < ({EPOCH_2024 + 10 * DAY}, '{"0" * 19}'))
         SELECT {_EV_COLUMNS}, (SELECT count(*) FROM rest) > 500 AS has_more
@@ -348,6 +353,10 @@ SQL: dict[str, str] = {
           CASE WHEN value >= 5 THEN CAST(value AS VARCHAR) END AS events,
           CASE WHEN event_type = 'click' THEN CAST(json_extract(props, '$.k') AS VARCHAR) END AS k,
           CASE WHEN event_type = 'view' THEN '' END AS empty FROM events""",
+    "tabulate_wide": "SELECT event_id AS response_no, " + ", ".join(
+        f"CASE WHEN ({k} - event_id * 7 % 400 + 400) % 400 < 20 THEN CAST(({k} - event_id * 7 % 400 + 400) % 400 AS VARCHAR) END AS f{k:03d}"
+        for k in range(400)
+    ) + " FROM events",
     "result_statistics": """SELECT event_id AS response_no, user_id AS records_matched,
         user_id + 100 AS records_scanned FROM events""",
     "accept_pages": f"""WITH {_TOKENS},
@@ -461,7 +470,7 @@ SQL: dict[str, str] = {
         || '"}},{{"name":"zone","value":"' || zone || '"}},{{"name":"host","value":"' || host || '"}}]' AS dimensions FROM gauge""",
     "dimension_value": f"""WITH {MD} SELECT timestamp_ms, svc AS service, CAST(NULL AS VARCHAR) AS instance,
         {SERIES} AS dimensions_key FROM md""",
-    "event_ids": """SELECT doc_id, lpad(CAST(doc_id AS VARCHAR), 13, '0') || lpad(CAST(n_chars AS VARCHAR), 6, '0')
+    "event_ids": """SELECT doc_id, lpad(CAST(doc_id + 12345678900000 AS VARCHAR), 19, '0') || lpad(CAST(n_chars + 1000000 AS VARCHAR), 10, '0')
         AS event_id FROM documents""",
     "check_names": r"""SELECT doc_id,
           CASE WHEN text = '' THEN 'log_group must not be empty'
@@ -479,6 +488,10 @@ SQL: dict[str, str] = {
     "check_message": """SELECT doc_id, CASE WHEN lang = 'es' OR text = '' THEN 'message must not be empty'
         WHEN octet_length(encode(text)) * CASE WHEN lang = 'fr' THEN 600 ELSE 1 END > 1048576 - 26
         THEN 'message is too large' END AS problem FROM documents""",
+    "validate_put": """SELECT doc_id AS seq, CASE WHEN lang = 'es' THEN 'message must not be empty'
+        WHEN lang = 'de' AND doc_id % 10 = 0 THEN 'message is too large' END AS problem FROM documents""",
+    "plan_valid_batches": """SELECT lang AS log_group, count(*) AS events FROM documents
+        WHERE lang IS DISTINCT FROM 'es' AND NOT (lang IS NOT DISTINCT FROM 'de' AND doc_id % 10 = 0) GROUP BY lang""",
     "check_metric": """SELECT event_id, CASE WHEN event_type = 'signup' THEN 'metric name must not be empty'
         WHEN value > 20 THEN 'metric_attributes is not valid JSON'
         WHEN user_id % 40 + 1 > 30 THEN 'a metric may carry at most 30 dimensions'
@@ -530,10 +543,8 @@ SQL: dict[str, str] = {
         strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m-%d') AS event_date FROM md""",
     "stream_ingest_logs": f"WITH {_DESTINATIONS}, {_LOG_BODIES} SELECT e.*, {_PROBLEM} FROM received e",
     "stream_ingest_metrics": _METRIC_BODIES,
-    # A period is final, and so in the result, once the watermark has passed its end.
-    "stream_metric_rollup": _roll(
-        f"WHERE bucket_ms + {DAY} <= (SELECT max(timestamp_ms) - {2 * DAY} FROM md)"
-    ),
+    # No point is late, so every period comes out, those still open at the end of the input too.
+    "stream_metric_rollup": _roll(""),
 }
 SQL["decode_metric_pages_xml"] = SQL["decode_metric_pages"]
 

@@ -95,6 +95,17 @@ def event_page(spark, d):
     return ordering.event_page(inputs.raw_events(spark, d), limit=500, offset="1500", ascending=True)
 
 
+@query
+def event_page_deep(spark, d):
+    """Past what a top-k holds, over events that repeat times and ids; ties differ in the columns that are left out."""
+    events = inputs.raw_events(spark, d)
+    day = F.col("timestamp_ms") - F.col("timestamp_ms") % DAY_MS
+    users = F.regexp_extract("message", r"user=(\d+)", 1).cast("long") % 5
+    events = events.withColumns({"timestamp_ms": day, "event_id": F.lpad(users.cast("string"), 19, "0")})
+    page = ordering.event_page(events, limit=200, offset=600, ascending=True, top_rows=100)
+    return page.select("timestamp_ms", "event_id", "has_more")
+
+
 @query
 def event_page_after(spark, d):
     last = EPOCH_2024 + 10 * DAY_MS
@@ -269,6 +280,11 @@ def tabulate_results(spark, d):
     return results.tabulate_results(inputs.query_responses(spark, d), keep=["response_no"])
 
 
+@query
+def tabulate_wide(spark, d):
+    return results.tabulate_results(inputs.wide_responses(spark, d), keep=["response_no"])
+
+
 @query
 def result_statistics(spark, d):
     return results.result_statistics(inputs.query_responses(spark, d))
@@ -470,7 +486,7 @@ def dimension_value(spark, d):
 @query
 def event_ids(spark, d):
     documents = table(spark, d, "documents")
-    return documents.select("doc_id", A.event_id(F.col("doc_id"), F.col("n_chars")).alias("event_id"))
+    return documents.select("doc_id", A.event_id(F.col("doc_id") + 12345678900000, F.col("n_chars") + 1_000_000).alias("event_id"))
 
 
 @query
@@ -497,11 +513,33 @@ def check_retention(spark, d):
 def check_message(spark, d):
     documents = table(spark, d, "documents")
     message = F.when(F.col("lang") == "es", "").otherwise(
-        F.when(F.col("lang") == "fr", F.expr("repeat(text, 600)")).otherwise(F.col("text"))
+        F.when(F.col("lang") == "fr", F.expr("repeat(text, cast(least(600, 1048576 / greatest(octet_length(text), 1) + 2) as int))")).otherwise(F.col("text"))
     )
     return documents.select("doc_id", checks.check_message(message).alias("problem"))
 
 
+def _put_events(spark, d):
+    """Documents as events; Spanish ones are empty, of every tenth French and German one the length is the bound and a byte more."""
+    long = F.when(F.col("doc_id") % 10 == 0, F.when(F.col("lang") == "fr", F.repeat(F.lit("x"), F.lit(1_048_550))).when(F.col("lang") == "de", F.repeat(F.lit("x"), F.lit(1_048_551))))
+    message = F.when(F.col("lang") == "es", "").otherwise(F.coalesce(long, "text"))
+    return table(spark, d, "documents").select(
+        F.col("lang").alias("log_group"), F.lit(None).cast("string").alias("log_stream"), F.lit(EPOCH_2024).cast("long").alias("timestamp_ms"),
+        F.col("doc_id").alias("seq"), message.alias("message"),
+    )
+
+
+@query
+def validate_put(spark, d):
+    return delivery.validate_put(_put_events(spark, d), raise_on_bad=False).select("seq", "problem")
+
+
+@query
+def plan_valid_batches(spark, d):
+    """Events that can be sent, planned for destinations without a stream name."""
+    planned = batching.plan_log_batches(_put_events(spark, d), bad_messages="drop")
+    return planned.groupBy("log_group").agg(F.count("batch_no").alias("events"))
+
+
 @query
 def check_metric(spark, d):
     e = table(spark, d, "events")
@@ -672,7 +710,7 @@ def stream_ingest_logs(spark, d):
     stream = spark.readStream.schema(ingest.BODIES).parquet(f"{root}/bodies")
     ingest.stream_ingest_logs(stream, f"{root}/registry", f"{root}/out", f"{root}/state").awaitTermination()
     accepted = tables.read_events(spark, f"{root}/out/events").drop("event_date")
-    rejected = spark.read.parquet(f"{root}/out/rejected").drop("batch")
+    rejected = spark.read.parquet(f"{root}/out/rejected").drop("stream", "batch")
     return logs.union_logs(accepted.withColumn("problem", F.lit(None).cast("string")), rejected)
 
 
@@ -692,6 +730,5 @@ def stream_metric_rollup(spark, d):
     points.write.parquet(f"{root}/points")
     stream = spark.readStream.schema(points.schema).parquet(f"{root}/points")
     found = rollup.stream_metric_rollup(stream, 24 * 3600, "2 days")
-    writer = found.writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{root}/state")
-    writer.trigger(availableNow=True).start(f"{root}/out").awaitTermination()
-    return _rounded(spark.read.parquet(f"{root}/out"), "sum", "average")
+    rollup.write_periods(found, f"{root}/out", f"{root}/state").awaitTermination()
+    return _rounded(rollup.read_periods(spark, f"{root}/out"), "sum", "average")

@@ -14,7 +14,6 @@ from beaconlake.sources.logs import logs_scan
 
 # Names of the relations besides the log groups.
 ALARMS, EDGES = "alerts.open", "service_map.dependencies"
-MAX_GROUPS = 10_000
 _LOG_OPTIONS = ["filter", "start", "end", "stream_prefix", "streams", "order", "max_rows", "region", "now"]
 
 
@@ -45,11 +44,13 @@ def distinct_names(names: Sequence[str | None]) -> list[str]:
 
 
 def attach(
-    spark: SparkSession, paths: Mapping[str, str], log_groups: Sequence[str] | None = None, **scan_defaults
+    spark: SparkSession, paths: Mapping[str, str], log_groups: Sequence[str] | None = None,
+    max_groups: int | None = None, **scan_defaults
 ) -> Attached:
     """Names the landed tables of `paths` (`events`, `registry`, `alarms`, `graph`; any may be missing).
 
-    Log groups become views `logs.<group>`: those given, else those of the registry. Scan options apply to all.
+    Log groups become views `logs.<group>`: those given, else those of the registry: one
+    view and one name on the driver per group, with `max_groups` as a bound if one is wanted. Scan options apply to all.
     """
     unknown = [name for name in scan_defaults if name not in _LOG_OPTIONS]
     if unknown:
@@ -62,9 +63,10 @@ def attach(
         events = spark.read.parquet(paths["events"])
         if log_groups is None:
             registry = spark.read.parquet(paths["registry"])
-            found = describe_groups(registry).select("log_group").distinct().limit(MAX_GROUPS + 1).collect()
-            if len(found) > MAX_GROUPS:
-                raise ValueError(f"the registry has more than {MAX_GROUPS} log groups; name the ones to attach")
+            found = describe_groups(registry).select("log_group").distinct()
+            found = (found.limit(max_groups + 1) if max_groups is not None else found).collect()
+            if max_groups is not None and len(found) > max_groups:
+                raise ValueError(f"the registry has more than {max_groups} log groups; name the ones to attach")
             log_groups = sorted(row.log_group for row in found)
         for group in distinct_names(log_groups):
             relations[f"logs.{group}"] = logs_scan(events, group, **scan_defaults)

@@ -9,11 +9,8 @@ from pyspark.sql import functions as F
 
 from beaconlake.sources.logs import json_object
 
-MAX_COLUMNS = 2_000
 MAX_GROUPS = 50
 MAX_RESULT_ROWS = 10_000
-# Room for the place of a row in its response and of a field in its row, in the order number of a field.
-_ROWS, _FIELDS = 100_000, 1_000_000
 
 
 def check_query(log_groups: Sequence[str], max_rows: int = 1_000) -> None:
@@ -33,27 +30,29 @@ def complete_results(responses: DataFrame) -> DataFrame:
     return responses.filter(done)
 
 
-def result_fields(rows: DataFrame, max_columns: int = MAX_COLUMNS) -> list[str]:
+def result_fields(rows: DataFrame, max_columns: int | None = None) -> list[str]:
     """Field names in the order rows and fields show them first.
 
     Rows with the same list of names are grouped before any name is looked at, so this moves one row per
-    distinct list. It runs a Spark job.
+    distinct list. It runs a Spark job. The names become columns and so come to the driver; more than `max_columns`,
+    if given, raise.
     """
-    place = F.col("response_no").cast("decimal(38,0)") * _ROWS + F.col("row_no")
+    place = F.struct("response_no", "row_no")
     shapes = (
         rows.select(place.alias("place"), F.transform("fields", lambda f: f["field"]).alias("names"))
         .groupBy("names")
         .agg(F.min("place").alias("place"))
         .select("place", F.posexplode("names").alias("pos", "name"))
     )
-    first = shapes.groupBy("name").agg(F.min(F.col("place") * _FIELDS + F.col("pos")).alias("seen"))
-    names = first.orderBy("seen").limit(max_columns + 1).collect()
-    if len(names) > max_columns:
+    first = shapes.groupBy("name").agg(F.min(F.struct("place", "pos")).alias("seen"))
+    names = first.orderBy("seen")
+    names = (names if max_columns is None else names.limit(max_columns + 1)).collect()
+    if max_columns is not None and len(names) > max_columns:
         raise ValueError(f"the results have more than {max_columns} fields")
     return [row["name"] for row in names]
 
 
-def tabulate_results(responses: DataFrame, max_columns: int = MAX_COLUMNS, keep: Sequence[str] = ()) -> DataFrame:
+def tabulate_results(responses: DataFrame, max_columns: int | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """One string column per field of the results, one row per result row.
 
     `responses` has `response_no`, `status` and `results`. A field absent from a row is NULL, a repeated one
@@ -68,12 +67,17 @@ def tabulate_results(responses: DataFrame, max_columns: int = MAX_COLUMNS, keep:
         empty = rows.select(*keep, F.lit("").alias("@message")).filter(F.lit(False))
         return empty
 
-    def value(name: str):
-        same = F.filter("fields", lambda f: f["field"] == name)
-        found = F.coalesce(F.element_at(same, -1)["value"], F.lit(""))
-        return F.when(F.size(same) > 0, found).alias(name)
-
-    return rows.select(*keep, *[value(name) for name in names])
+    # One map a row, the last of repeated fields winning; each column then looks itself up.
+    names_in = F.transform("fields", lambda f: f["field"])
+    values = F.transform("fields", lambda f: F.coalesce(f["value"], F.lit("")))
+    backwards, last = F.reverse(names_in), F.reverse(values)
+    distinct = F.array_distinct(backwards)
+    kept = F.transform(distinct, lambda n: F.element_at(last, F.array_position(backwards, n).cast("int")))
+    as_map = F.when(F.size(distinct) == F.size(backwards), F.map_from_arrays(names_in, values)).otherwise(
+        F.map_from_arrays(distinct, kept)
+    )
+    mapped = rows.select(*keep, as_map.alias("_fields"))
+    return mapped.select(*keep, *[F.try_element_at("_fields", F.lit(name)).alias(name) for name in names])
 
 
 def result_statistics(responses: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from beaconlake.functions.attributes import dimensions_key
 
@@ -12,7 +13,8 @@ def stream_metric_rollup(points: DataFrame, period: int, lateness: str) -> DataF
     """Plain statistics per series and period of a stream of data points.
 
     A period is final once the latest time seen is `lateness` past its end; later points of it are dropped. Periods
-    start at multiples of `period` seconds, as in the batch rollup.
+    start at multiples of `period` seconds, as in the batch rollup. Written in append mode only final periods come out;
+    `write_periods` gives all.
     """
     if period <= 0:
         raise ValueError("period must be positive")
@@ -41,3 +43,24 @@ def stream_metric_rollup(points: DataFrame, period: int, lateness: str) -> DataF
         "minimum",
         "sample_count",
     )
+
+
+def write_periods(periods: DataFrame, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Writes every period a micro-batch has changed to a folder of that micro-batch, open periods too.
+
+    A micro-batch that runs again replaces its folder. `read_periods` takes the newest state of each period, so nothing
+    is missing when a bounded input ends before its last periods are final.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    writer = periods.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def read_periods(spark: SparkSession, out: str) -> DataFrame:
+    """The newest state of every period that `write_periods` wrote."""
+    rows = spark.read.parquet(out)
+    newest = Window.partitionBy("namespace", "metric_name", "dimensions_key", "bucket_ms").orderBy(F.desc("batch"))
+    return rows.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n", "batch")

@@ -31,8 +31,13 @@ def append_metrics(points: DataFrame, path: str) -> None:
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int, dated: bool = True) -> None:
-    """Writes one micro-batch to its own folder and replaces what an earlier try left there."""
-    target = f"{path}/batch={batch_id}"
+    """Writes one micro-batch to its own folder and replaces what an earlier try left there.
+
+    The folder is named by the stream's id, which its checkpoint keeps over restarts, and by the batch: another stream
+    into the same `path`, or one with a new checkpoint, has folders of its own.
+    """
+    stream = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+    target = f"{path}/stream={stream}/batch={batch_id}"
     if dated:
         _dated(rows).write.mode("overwrite").partitionBy("event_date").parquet(target)
     else:

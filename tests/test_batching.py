@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from beaconlake.functions import checks
 from beaconlake.operators import batching
@@ -98,3 +99,19 @@ def test_chunk_maps_name_every_next_start():
 def test_a_chunk_holds_a_batch(spark):
     with pytest.raises(ValueError, match="chunk_rows"):
         batching.plan_log_batches(_events(spark, [(1, 0)]), chunk_rows=10)
+
+
+def test_destinations_without_a_name_and_messages_that_cannot_be_sent(spark):
+    shape = "log_group string, log_stream string, timestamp_ms long, seq long, message string"
+    rows = [(None, "s", 5, 1, "a"), ("g", None, 4, 2, "b"), (None, "s", 3, 3, "c"), ("g", None, 2, 4, "")]
+    events = spark.createDataFrame(rows, shape)
+    planned = batching.plan_log_batches(events, bad_messages="drop").collect()
+    assert sorted((r.seq, r.batch_no, r.index_in_batch) for r in planned) == [(1, 0, 1), (2, 0, 0), (3, 0, 0)]
+    with pytest.raises(Exception, match="must not be empty"):
+        batching.plan_log_batches(events).collect()
+    with pytest.raises(Exception, match="no time"):
+        batching.plan_log_batches(spark.createDataFrame([("g", "s", None, 1, "a")], shape)).collect()
+    long = spark.createDataFrame([("g", "s", 1, 1, "x" * 1_048_550)], shape)
+    assert batching.plan_log_batches(long).count() == 1
+    with pytest.raises(Exception, match="too large"):
+        batching.plan_log_batches(long.withColumn("message", F.concat("message", F.lit("x")))).collect()

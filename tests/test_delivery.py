@@ -85,7 +85,7 @@ def test_log_bodies_round_trip(spark, tmp_path):
     assert dead.count() == 0 and received.schema.simpleString() == schemas.RAW_EVENTS.simpleString()
     found = received.orderBy("event_id").collect()
     assert [(r.message, r.timestamp_ms) for r in found] == [(t, 10 - i) for i, t in reversed(list(enumerate(texts)))]
-    assert found[0].event_id == "0" * 19 and found[3].event_id == "0000000000001000000"
+    assert found[0].event_id == "0" * 29 and found[3].event_id == "00000000000000000010000000000"
 
 
 @pytest.mark.parametrize(
@@ -214,3 +214,28 @@ def test_numbers_read_back(spark):
     values = [0.1, 1e22, 5e-324, -0.5, 1e15, 999999999999999.0]
     texts = spark.createDataFrame([(v,) for v in values], "v double").select(delivery._number(F.col("v"))).collect()
     assert [float(r[0]) for r in texts] == values and not any(math.isnan(float(r[0])) for r in texts)
+
+
+@pytest.mark.parametrize(
+    "body, status",
+    [
+        ("<html>", "unreadable_response"), (None, "unreadable_response"), ("", "unreadable_response"), ("[1]", "unreadable_response"),
+        ('"ok"', "unreadable_response"), ('{"rejectedLogEventsInfo":7}', "unreadable_response"),
+        ('{"rejectedLogEventsInfo":[]}', "unreadable_response"), ('{"rejectedEntityInfo":"x"}', "unreadable_response"),
+        ('{"rejectedLogEventsInfo":{"tooOldLogEventEndIndex":"0"}}', "unreadable_response"),
+        ('{"rejectedLogEventsInfo":{"tooOldLogEventEndIndex":0.5}}', "unreadable_response"),
+        ("{}", "ok"), ('{"rejectedLogEventsInfo":null,"rejectedEntityInfo":null}', "ok"),
+        ('{"rejectedLogEventsInfo":{"tooOldLogEventEndIndex":0}}', "too_old"), ('{"rejectedEntityInfo":{}}', "entity_rejected"),
+    ],
+)
+def test_answers_that_say_nothing_are_not_taken_for_delivery(spark, body, status):
+    planned = spark.createDataFrame([("g", "s", 0, 0, 1)], "log_group string, log_stream string, batch_no int, index_in_batch int, seq long")
+    answers = spark.createDataFrame([("g", "s", 0, body)], "log_group string, log_stream string, batch_no int, body string")
+    assert [r.status for r in delivery.reconcile_put(planned, answers).collect()] == [status]
+
+
+def test_two_answers_to_one_batch_raise(spark):
+    planned = spark.createDataFrame([("g", "s", 0, 0, 1)], "log_group string, log_stream string, batch_no int, index_in_batch int, seq long")
+    answers = spark.createDataFrame([("g", "s", 0, "{}")] * 2, "log_group string, log_stream string, batch_no int, body string")
+    with pytest.raises(Exception, match="more than one response"):
+        delivery.reconcile_put(planned, answers).collect()

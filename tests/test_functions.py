@@ -111,7 +111,7 @@ def test_attribute_texts(spark):
     )
     assert row.b == '{"cloud.provider":"aws","aws.log.group.names":["g"]}'
     assert row.c == '{"aws.cloudwatch.log.event_id":"event-1"}' and row.d is None
-    assert row.e == "0000000000005000003"
+    assert row.e == "00000000000000000050000000003"
 
 
 def _reasons(spark, check, values, kind="string"):

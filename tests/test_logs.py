@@ -123,7 +123,7 @@ def test_pages(spark):
 def test_deep_pages_are_cut_by_position(spark, monkeypatch):
     rows = [("g", "s", i // 7, 0, f"{i:04d}", str(i)) for i in range(1000)]
     events = spark.createDataFrame(rows, schemas.RAW_EVENTS).repartition(5)
-    monkeypatch.setattr(ordering, "DEEP_OFFSET", 10)
+    monkeypatch.setattr(ordering, "TOP_ROWS", 10)
     page = ordering.event_page(events, limit=20, offset=700, ascending=False).orderBy("timestamp_ms", "event_id").collect()
     assert sorted(int(r.message) for r in page) == list(range(280, 300)) and page[0].has_more
     page = ordering.event_page(events, limit=20, offset=990, ascending=True).collect()
@@ -160,3 +160,16 @@ def test_body_fields_keep_the_body(spark):
     assert [tuple(r) for r in logs.body_fields(rows, "a long, b string").collect()] == [
         ('{"a":1,"b":"x"}', 1, "x"), ("plain", None, None), (None, None, None),
     ]
+
+
+@pytest.mark.parametrize("ascending", [True, False])
+def test_pages_of_repeated_keys_are_the_same_on_both_paths(spark, ascending):
+    rows = [("g", "s", (i // 9) or None, 0, None if i % 4 == 0 else "id", str(i % 7)) for i in range(120)]
+    events = spark.createDataFrame(rows, schemas.RAW_EVENTS).repartition(4)
+    seen = {0: [], 10_000: []}
+    for top in seen:
+        for offset in range(0, 121, 25):
+            page = ordering.event_page(events, limit=25, offset=offset, ascending=ascending, top_rows=top).collect()
+            assert all(r.has_more == (offset + 25 < 120) for r in page)
+            seen[top] += sorted(map(str, page))
+    assert seen[0] == seen[10_000] and len(seen[0]) == 120

@@ -68,3 +68,28 @@ def test_metric_intake(spark, tmp_path):
     row = tables.read_metrics(spark, f"{root}/out/metrics").first()
     assert (row.metric_name, row.value, str(row.event_date)) == ("a", 1.0, "1970-01-02")
     assert spark.read.parquet(f"{root}/out/dead").first().body_seq == 2
+
+
+def test_two_checkpoints_into_one_folder_keep_both(spark, tmp_path):
+    root = str(tmp_path)
+    for n in (1, 2):
+        body = f"Namespace=ns&MetricData.member.1.MetricName=m{n}&MetricData.member.1.Value=1"
+        spark.createDataFrame([(n, 86_400_000, body)], ingest.BODIES).write.parquet(f"{root}/in{n}")
+        stream = spark.readStream.schema(ingest.BODIES).parquet(f"{root}/in{n}")
+        for _ in range(2):
+            ingest.stream_ingest_metrics(stream, f"{root}/out", f"{root}/state{n}").awaitTermination()
+    found = tables.read_metrics(spark, f"{root}/out/metrics").collect()
+    assert sorted(r.metric_name for r in found) == ["m1", "m2"]
+
+
+def test_open_periods_of_a_bounded_input_come_out(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [("ns", "m", i * 1000, float(i % 7), "None", {"k": str(i % 3)}) for i in range(500)]
+    points = spark.createDataFrame(rows, schemas.RAW_METRICS)
+    points.write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(points.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    found = rollup.stream_metric_rollup(stream, 60, "5 hours")
+    rollup.write_periods(found, f"{root}/out", f"{root}/state").awaitTermination()
+    batch = statistics.metric_rollup(points, 60)
+    got = {tuple(r) for r in rollup.read_periods(spark, f"{root}/out").select(*batch.columns).collect()}
+    assert got == {tuple(r) for r in batch.collect()} and got
