@@ -167,8 +167,10 @@ def count_distinct(spark, d):
 
 @query
 def count_distinct_approx(spark, d):
+    """Whether the sketch is within three times its stated standard error of the exact count."""
     events = inputs.raw_events(spark, d)
-    return events.groupBy("log_group").agg(statistics.distinct_count("event_id").alias("about"))
+    about, exact = statistics.distinct_count("event_id"), F.count_distinct("event_id")
+    return events.groupBy("log_group").agg((F.abs(about - exact) <= 3 * 0.05 * exact).alias("within"))
 
 
 # Metric data points

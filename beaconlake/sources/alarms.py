@@ -40,8 +40,6 @@ _PAGE = T.StructType().add(
     "DescribeAlarmsResult",
     T.StructType([T.StructField(name, T.StructType().add("member", _ALARMS)) for name in CONTAINERS]),
 )
-# One alarm container is allowed per page and members per container stay below this.
-_MEMBERS = 1_000_000
 
 
 def open_state(alarms: DataFrame, column: str = "status") -> DataFrame:
@@ -100,7 +98,7 @@ def _members(container: str, number: int) -> Column:
         pairs,
         lambda pair, at: F.struct(
             F.lit(CONTAINERS[container]).alias("kind"),
-            (F.lit(number * _MEMBERS).cast("long") + at).alias("place"),
+            F.struct(F.lit(number).alias("container"), at.alias("member")).alias("place"),
             pair["alarm"].alias("alarm"),
             pair["configuration"].alias("configuration"),
         ),

@@ -28,8 +28,6 @@ _EDGE_STATISTICS = (
     "FaultStatistics:struct<TotalCount:bigint,ThrottleCount:bigint>>"
 )
 _ALIASES = "array<struct<Name:string,Type:string>>"
-# Services per page and edges per service stay below this.
-_PER_PAGE = 1_000_000
 
 
 def _raw(names: Sequence[str]) -> str:
@@ -63,7 +61,7 @@ def decode_graph_pages(pages: DataFrame) -> DataFrame:
     services = pages.select("request_id", "page_no", parsed["Services"].alias("_services"))
     return explode_once(services, "_services", "s").select(
         "request_id",
-        (F.col("page_no").cast("long") * _PER_PAGE + F.col("pos")).alias("place"),
+        F.struct("page_no", "pos").alias("place"),
         F.col("s.ReferenceId").alias("reference_id"),
         F.coalesce("s.Name", F.lit("")).alias("service"),
         F.coalesce("s.Type", F.lit("")).alias("type"),

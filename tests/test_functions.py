@@ -101,7 +101,7 @@ def test_attribute_texts(spark):
     row = spark.range(1).select(
         attributes.resource_attributes("us-east-1", F.lit("/aws/lambda/orders"), F.lit("stream-a")).alias("a"),
         attributes.resource_attributes("", F.lit("g"), F.lit("")).alias("b"),
-        attributes.log_attributes(F.lit("event-1")).alias("c"),
+        attributes.log_attributes(F.lit("ev-7")).alias("c"),
         attributes.log_attributes(F.lit("")).alias("d"),
         attributes.event_id(F.lit(5), F.lit(3)).alias("e"),
     ).first()
@@ -110,7 +110,7 @@ def test_attribute_texts(spark):
         '"aws.log.stream.names":["stream-a"]}'
     )
     assert row.b == '{"cloud.provider":"aws","aws.log.group.names":["g"]}'
-    assert row.c == '{"aws.cloudwatch.log.event_id":"event-1"}' and row.d is None
+    assert row.c == '{"aws.cloudwatch.log.event_id":"ev-7"}' and row.d is None
     assert row.e == "00000000000000000050000000003"
 
 

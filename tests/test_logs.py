@@ -12,39 +12,39 @@ NOW = 1_754_900_000_000
 @pytest.fixture(scope="module")
 def events(spark):
     rows = [
-        ("/app/e2e", "main", 1_754_800_000_000 + i * 1000, 1_754_800_000_500, f"{i:019d}", f"event-{i}")
+        ("/svc/trip", "main", 1_741_100_000_000 + i * 1000, 1_741_100_000_500, f"{i:019d}", f"entry-{i}")
         for i in range(3)
     ]
     rows += [
-        ("/app/e2e", "other", 1_754_800_000_000, -1, "", ""),
-        ("/app/else", "main", 1_754_800_000_000, 0, "9", "event-1"),
+        ("/svc/trip", "other", 1_741_100_000_000, -1, "", ""),
+        ("/app/else", "main", 1_741_100_000_000, 0, "9", "entry-1"),
     ]
     return spark.createDataFrame(rows, schemas.RAW_EVENTS)
 
 
 def scan(events, **options):
-    return logs.logs_scan(events, "/app/e2e", start=1_754_700_000_000, end=NOW, now=NOW, **options)
+    return logs.logs_scan(events, "/svc/trip", start=1_741_000_000_000, end=NOW, now=NOW, **options)
 
 
 def test_round_trip_values(events):
-    assert [r.body for r in scan(events, streams=["main"], order="asc").collect()] == ["event-0", "event-1", "event-2"]
-    assert [r.body for r in scan(events, streams=["main"]).collect()] == ["event-2", "event-1", "event-0"]
-    assert scan(events, filter="event-1").count() == 1
-    assert scan(events, filter=' "event-1" ', max_rows=5).count() == 1
-    assert [r.body for r in scan(events, stream_prefix="ma", max_rows=1).collect()] == ["event-2"]
+    assert [r.body for r in scan(events, streams=["main"], order="asc").collect()] == ["entry-0", "entry-1", "entry-2"]
+    assert [r.body for r in scan(events, streams=["main"]).collect()] == ["entry-2", "entry-1", "entry-0"]
+    assert scan(events, filter="entry-1").count() == 1
+    assert scan(events, filter=' "entry-1" ', max_rows=5).count() == 1
+    assert [r.body for r in scan(events, stream_prefix="ma", max_rows=1).collect()] == ["entry-2"]
 
 
 def test_missing_values_become_null(events):
     row = scan(events, streams=["other"]).first()
     assert row.body is None and row.log_attributes is None and row.observed_time_unix_nano is None
     assert row.resource_attributes == (
-        '{"cloud.provider":"aws","aws.log.group.names":["/app/e2e"],"aws.log.stream.names":["other"]}'
+        '{"cloud.provider":"aws","aws.log.group.names":["/svc/trip"],"aws.log.stream.names":["other"]}'
     )
     assert scan(events).schema.simpleString() == schemas.OTLP_LOGS.simpleString()
 
 
 def test_bounds_are_half_open(events):
-    start = 1_754_800_000_000
+    start = 1_741_100_000_000
     assert logs.logs_scan(events, "/app/else", start=start, end=start + 1, now=NOW).count() == 1
     assert logs.logs_scan(events, "/app/else", start=start, end=start, now=NOW).count() == 0
     assert logs.where_time(events, start, 0).count() == 5
@@ -70,14 +70,14 @@ def test_bounds_are_half_open(events):
 )
 def test_bad_options(events, options, message):
     with pytest.raises(ValueError, match=message):
-        logs.logs_scan(events, "/app/e2e", now=NOW, **options)
+        logs.logs_scan(events, "/svc/trip", now=NOW, **options)
 
 
 def test_wrong_table_is_refused(events):
     with pytest.raises(ValueError, match="message"):
-        logs.logs_scan(events.drop("message"), "/app/e2e", now=NOW)
+        logs.logs_scan(events.drop("message"), "/svc/trip", now=NOW)
     with pytest.raises(ValueError, match="timestamp_ms must be bigint"):
-        logs.logs_scan(events.withColumn("timestamp_ms", F.lit("x")), "/app/e2e", now=NOW)
+        logs.logs_scan(events.withColumn("timestamp_ms", F.lit("x")), "/svc/trip", now=NOW)
     with pytest.raises(ValueError, match="empty"):
         logs.logs_scan(events, "", now=NOW)
 
@@ -88,7 +88,7 @@ def test_dated_table_is_pruned(spark, events, tmp_path):
     tables.append_events(events, path)
     read = tables.read_events(spark, path)
     assert read.count() == 10
-    found = logs.where_group(logs.where_time(read, 1_754_800_000_000, 1_754_800_001_000), "/app/e2e").select("message")
+    found = logs.where_group(logs.where_time(read, 1_741_100_000_000, 1_741_100_001_000), "/svc/trip").select("message")
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
     assert "PushedFilters: [IsNotNull(timestamp_ms)" in plan
@@ -141,13 +141,13 @@ def test_positions(spark, parts):
 
 def test_decode_pages(spark):
     body = (
-        '{"events":[{"eventId":"event-1","ingestionTime":1700000000123,"logStreamName":"stream-a","message":"hello",'
+        '{"events":[{"eventId":"entry-1","ingestionTime":1700000000123,"logStreamName":"stream-a","message":"hello",'
         '"timestamp":1700000000000},{"message":"bare"}],"nextToken":"token-2"}'
     )
     pages = spark.createDataFrame([(1, body), (2, '{"events":[]}'), (3, "{}")], "page_no int, body string")
     found = logs.decode_log_pages(pages).orderBy("pos").collect()
     assert [tuple(r)[1:] for r in found] == [
-        (0, "stream-a", 1_700_000_000_000, 1_700_000_000_123, "event-1", "hello"),
+        (0, "stream-a", 1_700_000_000_000, 1_700_000_000_123, "entry-1", "hello"),
         (1, "", -1, -1, "", "bare"),
     ]
     for bad in ("[1]", "x", '{"events":[]} x'):
