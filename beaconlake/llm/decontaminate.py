@@ -3,10 +3,10 @@
 Items are the indexed side, passages of the training texts are the queries. A term's impact on an item is divided by the
 item's score for its own text, so that one threshold, a share of that score, fits items of any length. Posting
 lists are in item order and cut into blocks, of which the largest impact is kept; the blocks of all lists end at the same
-items. The sum of a passage's block maxima bounds the score of any item of the block. That bound is taken for all
-passages of a text at once; passages that reach the threshold in some block are searched list by list: the pivot is
-the first item at which the lists' maxima can reach the threshold, blocks whose maxima can't are passed over, and what
-is left is scored. No item at or above the threshold is missed.
+items. The sum of a passage's block maxima bounds the score of any item of the block. As the threshold is fixed, the
+pivots, blocks where the lists' maxima can reach it, are found for many passages at once; every list skips to them and
+over all else. In a pivot block terms are scored by falling impact, until what is left can't reach the threshold.
+No item at or above the threshold is missed.
 
 Found items are then verified: of the five-word shingles of the question, and of the words of the answer, the share that
 the passage holds must reach 0.8.
@@ -18,8 +18,6 @@ the shard, so that every occurrence of an item lies within one.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,15 +34,43 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.5
 OVERLAP = 0.8
 SHINGLE = 5
-BLOCK = 16
+BLOCK = 2
 SHARD_ITEMS = 2048
 SHARDS_AT_ONCE = 8
 LEAST_PASSAGE = 32
-_WORD = re.compile(r"\w+")
+#: Texts are searched together up to so many words.
+TOGETHER = 1 << 19
+#: Words are runs of ASCII letters, digits and underscores, and of anything that is not ASCII; in lower case.
+_INSIDE = np.zeros(256, bool)
+_INSIDE[[*range(48, 58), 95, *range(97, 123), *range(128, 256)]] = True
+_BYTE = np.random.default_rng(21).integers(1 << 63, size=256, dtype=np.uint64)
+_STEP = 0xD1342543DE82EF95
 
 
-def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+class Text:
+    """The words of a text: where each begins and ends, and its hash."""
+
+    def __init__(self, text: str | None) -> None:
+        self.raw = (text or "").lower().encode("utf-8", "replace")
+        data = np.frombuffer(self.raw, np.uint8)
+        inside = _INSIDE[data]
+        turns = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        self.begin, self.end = turns[::2], turns[1::2]
+        length = self.end - self.begin
+        self.hashes = np.zeros(0, np.uint64)
+        if len(length):
+            letters, first = data[inside], np.cumsum(length) - length
+            powers = np.cumprod(np.full(int(length.max()), _STEP, np.uint64), dtype=np.uint64)
+            place = np.arange(len(letters)) - np.repeat(first, length)
+            mixed = np.add.reduceat(_BYTE[letters] * powers[place], first) + length.astype(np.uint64)
+            self.hashes = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+
+    def words(self, start: int = 0, stop: int | None = None) -> list[bytes]:
+        return [self.raw[b:e] for b, e in zip(self.begin[start:stop].tolist(), self.end[start:stop].tolist())]
+
+
+def words_of(text: str | None) -> list[bytes]:
+    return Text(text).words()
 
 
 def parts_of(text: str | None) -> tuple[str, str]:
@@ -53,7 +79,7 @@ def parts_of(text: str | None) -> tuple[str, str]:
     return (asked + mark, answer) if mark else (answer, "")
 
 
-def shingles(words: list[str]) -> set[tuple[str, ...]]:
+def shingles(words: list[bytes]) -> set[tuple[bytes, ...]]:
     return {tuple(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))} if words else set()
 
 
@@ -63,7 +89,7 @@ class Item:
     question: set = field(default_factory=set)
     answer: set = field(default_factory=set)
 
-    def overlaps(self, words: list[str]) -> tuple[float, float]:
+    def overlaps(self, words: list[bytes]) -> tuple[float, float]:
         """Shares of the question's shingles and the answer's words that `words` holds; an absent part counts as 1."""
         held = set(words)
         found = shingles(words)
@@ -79,98 +105,99 @@ class Index:
     """Posting lists with block maxima over the items of one shard."""
 
     def __init__(self, rows: list[tuple[int, str]]) -> None:
-        texts = [(i, words_of(t), parts_of(t)) for i, t in rows]
-        texts = sorted((x for x in texts if x[1]), key=lambda x: (len(x[1]), x[0]))  # alike items share blocks
-        self.items = [Item(i, shingles(words_of(q)), set(words_of(a))) for i, _, (q, a) in texts]
-        self.half = max([LEAST_PASSAGE, *(len(w) for _, w, _ in texts)])
-        mean = sum(len(w) for _, w, _ in texts) / max(1, len(texts))
-        spread = Counter(t for _, w, _ in texts for t in set(w))
-        postings: dict[str, list[tuple[int, float]]] = {}
-        for at, (_, words, _) in enumerate(texts):
-            impacts = {}
-            for t, n in Counter(words).items():
-                rarity = np.log1p((len(texts) - spread[t] + 0.5) / (spread[t] + 0.5))
-                impacts[t] = rarity * n * (K1 + 1) / (n + K1 * (1 - B + B * len(words) / mean))
-            own = sum(impacts.values())
-            for t, x in impacts.items():
-                postings.setdefault(t, []).append((at, x / own))
-        self.terms = {t: k for k, t in enumerate(postings)}
-        self.lists = [[at for at, _ in p] for p in postings.values()]
-        self.impacts = [[x for _, x in p] for p in postings.values()]
-        self.most = [max(x) for x in self.impacts]
-        blocks = max(1, -(-len(texts) // BLOCK))
-        self.maxima = np.zeros((len(postings) + 1, blocks), np.float32)  # the last row is that of unknown words
-        for k, (ats, xs) in enumerate(zip(self.lists, self.impacts)):
-            np.maximum.at(self.maxima[k], np.array(ats) // BLOCK, np.array(xs, np.float32))
-
-    def viable(self, terms: np.ndarray) -> np.ndarray:
-        """Of the passages over `terms` (-1 for unknown words), those with a block whose bound reaches the threshold.
-
-        Passage i has the words from i * half up to (i + 2) * half. Each half counts a term once.
+        texts = [(i, Text(t), t) for i, t in rows]
+        texts = sorted((x for x in texts if len(x[1].hashes)), key=lambda x: (len(x[1].hashes), x[0]))
+        self.items = [Item(i, shingles(words_of(q)), set(words_of(a))) for i, _, t in texts for q, a in [parts_of(t)]]
+        words = [t.hashes for _, t, _ in texts]
+        self.half = max([LEAST_PASSAGE, *map(len, words)])
+        self.terms = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
+        mean = sum(map(len, words)) / max(1, len(words))
+        found = [np.unique(self.ids(w), return_counts=True) for w in words]
+        spread = np.bincount(np.concatenate([t for t, _ in found]), minlength=len(self.terms)) if found else np.zeros(0)
+        rarity = np.log1p((len(words) - spread + 0.5) / (spread + 0.5))
+        #: Of each block and term in it: the postings (item, impact).
+        self.blocks: list[dict[int, list[tuple[int, float]]]] = [{} for _ in range(-(-len(words) // BLOCK))]
+        self.maxima = np.zeros((len(self.terms), max(1, len(self.blocks))), np.float32)
+        for at, (ids, counts) in enumerate(found):
+            impact = rarity[ids] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * counts.sum() / mean))
+            impact /= impact.sum()
+            np.maximum.at(self.maxima[:, at // BLOCK], ids, impact.astype(np.float32))
+            for t, x in zip(ids.tolist(), impact.tolist()):
+                self.blocks[at // BLOCK].setdefault(t, []).append((at, x))
+
+    def ids(self, hashes: np.ndarray) -> np.ndarray:
+        """The term of every word, -1 for words that no item has."""
+        if not len(self.terms):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
+        return np.where(self.terms[at] == hashes, at, -1)
+
+    def pivots(self, terms: np.ndarray, halves: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+        """(passage, block) of every block whose bound reaches the threshold.
+
+        `halves` numbers the half passage of each term, up to `count`; passage i is made of the halves i and i + 1. Each
+        half counts a term once.
         """
-        halves = np.arange(len(terms)) // self.half
         known = terms >= 0
-        pairs = np.unique(halves[known] * np.int64(len(self.maxima)) + terms[known])
-        sums = np.zeros((len(terms) // self.half + 2, self.maxima.shape[1]), np.float32)
-        if not len(pairs):
-            return np.zeros(0, np.int64)
+        pairs = np.unique(halves[known] * np.int64(len(self.terms)) + terms[known])
+        sums = np.zeros((count + 1, self.maxima.shape[1]), np.float32)
         for part in np.array_split(pairs, len(pairs) * self.maxima.shape[1] // 4_000_000 + 1):
-            at, which = np.divmod(part, len(self.maxima))
-            starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-            sums[at[starts]] += np.add.reduceat(self.maxima[which], starts, axis=0)
-        return np.flatnonzero((sums[:-1] + sums[1:]).max(axis=1) >= THRESHOLD - 1e-4)
-
-    def search(self, terms: set[int]) -> list[tuple[int, float]]:
-        """(item, score) of all items of score THRESHOLD or more, by block-max WAND."""
-        found, ends = [], len(self.items)
-        cursors = [[self.lists[t][0], 0, t] for t in terms]
-        while True:
-            cursors.sort()
-            bound, pivot = 0.0, -1
-            for i, (at, _, t) in enumerate(cursors):
-                if at >= ends:
-                    break
-                bound += self.most[t]
-                if bound >= THRESHOLD - 1e-9:
-                    pivot = i
-                    break
-            if pivot < 0:
-                return found
-            item = cursors[pivot][0]
-            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
-                pivot += 1
-            block = item // BLOCK
-            if sum(float(self.maxima[c[2], block]) for c in cursors[: pivot + 1]) < THRESHOLD - 1e-4:
-                to = (block + 1) * BLOCK  # up to the next block, or the next list's item if that comes first
-                if pivot + 1 < len(cursors):
-                    to = min(to, cursors[pivot + 1][0])
-                moved = cursors[: pivot + 1]
-            elif cursors[0][0] == item:
-                score = sum(self.impacts[t][k] for _, k, t in cursors[: pivot + 1])
-                if score >= THRESHOLD - 1e-9:
-                    found.append((item, score))
-                to, moved = item + 1, cursors[: pivot + 1]
-            else:
-                to, moved = item, [c for c in cursors[: pivot + 1] if c[0] < item]
-            for c in moved:
-                ats, k = self.lists[c[2]], c[1]
-                while k < len(ats) and ats[k] < to:
-                    k += 1
-                c[0], c[1] = (ats[k] if k < len(ats) else ends), k
-
-    def hits(self, words: list[str]) -> dict[int, tuple[float, float, float]]:
-        """item_id -> best (score, question overlap, answer overlap) of its verified occurrences in a text."""
-        get = self.terms.get
-        terms = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        best: dict[int, tuple[float, float, float]] = {}
-        for i in self.viable(terms).tolist():
-            span = slice(i * self.half, (i + 2) * self.half)
-            for at, score in self.search({t for t in terms[span].tolist() if t >= 0}):
-                item = self.items[at]
-                question, answer = item.overlaps(words[span])
+            if len(part):
+                at, which = np.divmod(part, len(self.terms))
+                starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+                sums[at[starts]] += np.add.reduceat(self.maxima[which], starts, axis=0)
+        return np.nonzero(sums[:-1] + sums[1:] >= THRESHOLD - 1e-4)
+
+    def search(self, terms: set[int], block: int) -> list[tuple[int, float]]:
+        """(item, score) of the items of a block with a score of THRESHOLD or more."""
+        lists = self.blocks[block]
+        met = sorted(((float(self.maxima[t, block]), t) for t in terms & lists.keys()), reverse=True)
+        left, scores = sum(x for x, _ in met), {}
+        for most, t in met:
+            if left < THRESHOLD - 1e-4 and max(scores.values(), default=0.0) + left < THRESHOLD - 1e-4:
+                return []
+            left -= most
+            for item, x in lists[t]:
+                scores[item] = scores.get(item, 0.0) + x
+        return [(i, s) for i, s in scores.items() if s >= THRESHOLD - 1e-9]
+
+    def hits(self, texts: list[Text]) -> Iterator[tuple[int, int, float, float, float]]:
+        """(text, item_id, score, question overlap, answer overlap) of every verified occurrence in any passage."""
+        sizes = np.array([len(t.hashes) for t in texts])
+        halves = -(-sizes // self.half) + 1  # an empty half keeps the passages of texts apart
+        first_word, first_half = np.cumsum(sizes) - sizes, np.cumsum(halves) - halves
+        of = np.repeat(np.arange(len(texts)), sizes)
+        terms = self.ids(np.concatenate([t.hashes for t in texts]))
+        place = (np.arange(len(terms)) - first_word[of]) // self.half + first_half[of]
+        passages, blocks = self.pivots(terms, place, int(halves.sum()))
+        last, held, span = -1, set(), []
+        for passage, block in zip(passages.tolist(), blocks.tolist()):
+            text = int(np.searchsorted(first_half, passage, "right")) - 1
+            start = (passage - int(first_half[text])) * self.half
+            if start >= sizes[text]:
+                continue
+            if passage != last:
+                at = int(first_word[text]) + start
+                stop = min(start + 2 * self.half, int(sizes[text]))
+                held, last, span = set(terms[at : at + stop - start].tolist()) - {-1}, passage, None
+            for item, score in self.search(held, block):
+                span = span or texts[text].words(start, stop)
+                question, answer = self.items[item].overlaps(span)
                 if question >= OVERLAP and answer >= OVERLAP:
-                    best[item.item_id] = max(best.get(item.item_id, (0.0, 0.0, 0.0)), (score, question, answer))
-        return best
+                    yield text, self.items[item].item_id, score, question, answer
+
+
+def _together(texts: Iterator[str]) -> Iterator[list[Text]]:
+    """Texts in groups of about TOGETHER words, each whole."""
+    group, n = [], 0
+    for text in texts:
+        group.append(Text(text))
+        n += len(group[-1].hashes)
+        if n >= TOGETHER:
+            yield group
+            group, n = [], 0
+    if group:
+        yield group
 
 
 _SHAPE = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
@@ -198,11 +225,11 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         def search(batches: Iterator[pd.DataFrame], indexes=indexes) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                out = []
-                for doc, text in zip(batch["doc_id"], batch["text"]):
-                    words = words_of(text)
+                out, ids, done = [], batch["doc_id"].tolist(), 0
+                for texts in _together(batch["text"]):
                     for index in indexes.value:
-                        out += [(doc, i, *x) for i, x in index.hits(words).items()]
+                        out += [(ids[done + x[0]], *x[1:]) for x in index.hits(texts)]
+                    done += len(texts)
                 yield pd.DataFrame(out, columns=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
         met = given.mapInPandas(search, _SHAPE)

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from beaconlake.llm import decontaminate as d
 
 DOCS, ITEMS = "doc_id long, text string", "item_id long, text string"
@@ -9,39 +11,36 @@ def items(rng, n, words):
     return [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(1, 25)))) for i in range(n)]
 
 
-def score(index, terms, at):
-    return sum(x for t in terms for a, x in zip(index.lists[t], index.impacts[t]) if a == at)
+def scores(index, terms):
+    out = {}
+    for block in index.blocks:
+        for t in terms & block.keys():
+            for item, x in block[t]:
+                out[item] = out.get(item, 0) + x
+    return out
 
 
-def test_search_finds_all_above_the_threshold_and_nothing_else():
+def test_pivots_and_search_find_all_above_the_threshold_and_nothing_else():
     rng = random.Random(4)
     words = [f"w{i}" for i in range(80)]
     index = d.Index(items(rng, 150, words))
     some = 0
     for _ in range(400):
-        terms = {index.terms[w] for w in rng.sample(words, rng.randrange(40)) if w in index.terms}
-        want = {i: score(index, terms, i) for i in range(len(index.items))}
-        want = {i: round(s, 9) for i, s in want.items() if s >= d.THRESHOLD - 1e-9}
-        assert {i: round(s, 9) for i, s in index.search(terms)} == want
+        text = d.Text(" ".join(rng.sample(words, rng.randrange(1, 40))))
+        terms = index.ids(text.hashes)
+        held = set(terms.tolist()) - {-1}
+        want = {i: round(s, 9) for i, s in scores(index, held).items() if s >= d.THRESHOLD - 1e-9}
+        _, blocks = index.pivots(terms, np.zeros(len(terms), np.int64), 1)
+        assert {i: round(s, 9) for b in blocks.tolist() for i, s in index.search(held, b)} == want
         some += len(want)
     assert some > 100
 
 
-def test_the_bound_over_all_passages_drops_none_that_finds_something():
-    rng = random.Random(8)
-    words = [f"w{i}" for i in range(400)]
-    made = items(rng, 200, words)
-    index = d.Index(made)
-    text = []
-    for _ in range(60):
-        text += [rng.choice(words) for _ in range(rng.randrange(90))] + rng.choice(made)[1].split()
-    import numpy as np
-
-    terms = np.array([index.terms.get(w, -1) for w in text])
-    viable = set(index.viable(terms).tolist())
-    for i in range(len(terms) // index.half + 1):
-        span = set(terms[i * index.half : (i + 2) * index.half].tolist()) - {-1}
-        assert i in viable or not index.search(span)
+def test_words_of_any_script_and_hashes_by_word():
+    assert d.words_of("Ab_1, É漢 x--y") == ["ab_1".encode(), "é漢".encode(), b"x", b"y"]
+    assert d.words_of(None) == d.words_of(" ,;") == []
+    words = ["noon", "onno", "no", "on", "é", "e"]
+    assert len(set(d.Text(" ".join(words)).hashes.tolist())) == len(words)
 
 
 def slow(docs, rows):
