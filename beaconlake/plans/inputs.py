@@ -190,6 +190,15 @@ def put_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.filter(group != "/docs/en").select("log_group", "log_stream", "batch_no", body.alias("body"))
 
 
+def group_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page of log groups per nation, a group per supplier; every third name is a number, which is no name."""
+    name = F.when(F.col("s_suppkey") % 3 == 0, F.col("s_suppkey").cast("string")).otherwise(_text('"/supplier/', F.col("s_suppkey"), '"'))
+    group = _text('{"logGroupName":', name, "}")
+    listed = F.array_join(F.array_sort(F.collect_list(group)), ",")
+    pages = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("page_no")).agg(listed.alias("groups"))
+    return pages.select("page_no", _text('{"logGroups":[', F.col("groups"), '],"nextToken":"p', F.col("page_no"), '"}').alias("body"))
+
+
 def put_log_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One log request per document with two events; some languages break a rule."""
     d = table(spark, sf_dir, "documents")
@@ -388,9 +397,17 @@ def alarm_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = _text(
         "<DescribeAlarmsResponse><DescribeAlarmsResult>",
         inside(0, "MetricAlarms"), inside(1, "CompositeAlarms"), inside(2, "LogAlarms"),
-        "</DescribeAlarmsResult></DescribeAlarmsResponse>",
+        "<NextToken>t", F.col("page_no") + 1, "</NextToken></DescribeAlarmsResult></DescribeAlarmsResponse>",
     )
-    return placed.groupBy("state", "page_no").agg(body.alias("body"))
+    asked_for = placed.groupBy("state", "page_no").agg(body.alias("body"))
+    # Two empty pages with a token that came before end each state's pages; the one after them does not count.
+    late = _text("<MetricAlarms><member><AlarmName>late</AlarmName><StateValue>", F.col("state"), "</StateValue></member></MetricAlarms>")
+    after = placed.select("state").distinct().select("state", F.explode(F.sequence(F.lit(10**9).cast("long"), F.lit(10**9 + 2).cast("long"))).alias("page_no"))
+    after = after.withColumn("body", _text(
+        "<DescribeAlarmsResponse><DescribeAlarmsResult>", F.when(F.col("page_no") == 10**9 + 2, late).otherwise(""),
+        "<NextToken>t1</NextToken></DescribeAlarmsResult></DescribeAlarmsResponse>",
+    ))
+    return asked_for.unionByName(after)
 
 
 def graph_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -454,8 +471,14 @@ def graph_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).alias("page_no"), F.lit(-1).alias("at"), F.lit('{"ReferenceId":3,"Name":"older"}').alias("service")
     )
     listed = F.array_sort(F.collect_list(F.struct("at", "service")))
+    # The fifth page names the second again, so that the pages after it, which would rename nation 3, don't count.
+    token = F.when(F.col("page_no") == 4, "t1").otherwise(_text("t", F.col("page_no") + 1))
     body = _text(
-        '{"Services":[', F.array_join(F.transform(listed, lambda s: s["service"]), ","), '],"NextToken":""}'
+        '{"Services":[', F.array_join(F.transform(listed, lambda s: s["service"]), ","), '],"NextToken":"', token, '"}'
     )
-    pages = services.unionByName(older).groupBy("page_no").agg(body.alias("body"))
+    late = sellers.filter(F.col("n_nationkey").isin(3, 4)).select(
+        (F.col("n_nationkey") + 2).cast("int").alias("page_no"), F.col("n_nationkey").alias("at"),
+        F.lit('{"ReferenceId":3,"Name":"late"}').alias("service"),
+    )
+    pages = services.unionByName(older).unionByName(late).groupBy("page_no").agg(body.alias("body"))
     return pin(pages.select(F.lit("graph").alias("request_id"), "page_no", "body"), "graph-pages")

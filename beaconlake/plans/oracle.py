@@ -302,6 +302,8 @@ SQL: dict[str, str] = {
         SELECT log_group, strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m-%d') AS day, count(*) AS events,
                max(timestamp_ms) AS last_ms, count(DISTINCT log_stream) AS streams
         FROM ev WHERE contains(message, 'user=1') GROUP BY ALL""",
+    "decode_group_pages": """SELECT s_nationkey AS page_no, 'p' || s_nationkey AS next_token, '/supplier/' || s_suppkey AS log_group
+        FROM supplier WHERE s_suppkey % 3 <> 0""",
     "count_distinct_approx": "SELECT '/app/' || event_type AS log_group, true AS within FROM events GROUP BY 1",
     "count_distinct": """SELECT '/app/' || event_type AS log_group, count(DISTINCT user_id) AS users,
         count(DISTINCT user_id % 8) AS streams FROM events GROUP BY ALL""",

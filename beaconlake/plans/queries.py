@@ -147,6 +147,12 @@ def decode_log_pages(spark, d):
     return logs.decode_log_pages(inputs.log_pages(spark, d))
 
 
+@query
+def decode_group_pages(spark, d):
+    landed = pages.with_next_token(inputs.group_pages(spark, d))
+    return logs.decode_group_pages(landed).select("page_no", "next_token", "log_group")
+
+
 @query
 def log_stats(spark, d):
     events = inputs.raw_events(spark, d)

@@ -16,6 +16,7 @@ from beaconlake import schemas
 from beaconlake.functions.attributes import filled
 from beaconlake.functions.times import iso_ms
 from beaconlake.sources.logs import as_columns
+from beaconlake.sources.pages import accept_pages
 
 # The functions below travel to executors with their code, so executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -128,9 +129,11 @@ def _stamp(text: Column) -> Column:
 def open_alarms(pages: DataFrame) -> DataFrame:
     """Alarms whose state is open and the one their page was asked for, one row per alarm.
 
-    An alarm is known by its ARN, else by type and name; the first in the order of state, page and place counts.
+    An alarm is known by its ARN, else by type and name; the first in the order of state, page and place counts. Of the
+    pages asked for one state only those count up to the first without a next token, or with one seen before.
     """
-    found = decode_alarm_pages(pages)
+    accepted = accept_pages(with_next_token(pages), "seen", request="state").drop("next_token")
+    found = decode_alarm_pages(accepted)
     a = F.col("alarm")
     status = F.trim(a["StateValue"])
     found = found.filter((status == F.col("state")) & status.isin(OPEN_STATES))

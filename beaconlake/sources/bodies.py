@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from beaconlake.functions.attributes import event_id, first_wins_map, is_json_object
 from beaconlake.functions.times import iso_ms
-from beaconlake.sources.logs import explode_once
+from beaconlake.sources.logs import explode_once, has_kind, text_of
 
 # The members of one log request.
 _LOG_BODY = (
@@ -15,21 +15,13 @@ _LOG_BODY = (
 )
 
 
-def _is(value: Column, kinds: str) -> Column:
-    return F.coalesce(F.schema_of_variant(value).rlike(f"^({kinds})"), F.lit(False))
-
-
-def _text(value: Column) -> Column:
-    return F.when(_is(value, "STRING"), F.try_variant_get(value, "$", "string"))
-
-
 def decode_put_log_bodies(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Events and dead letters of JSON bodies (`body_seq`, `received_ms`, `body`).
 
     A body needs a group, a stream and an array of events that each have a number as time and a text as message.
     """
     parsed = bodies.withColumn("r", F.from_json("body", _LOG_BODY))
-    group, stream = _text(F.col("r.logGroupName")), _text(F.col("r.logStreamName"))
+    group, stream = text_of(F.col("r.logGroupName")), text_of(F.col("r.logStreamName"))
     events = F.col("r.logEvents")
     problem = (
         F.when(~is_json_object(F.col("body")), "the body is not a JSON object")
@@ -39,10 +31,10 @@ def decode_put_log_bodies(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
         .when(events.isNull(), "logEvents must be an array")
         .when(
-            F.exists(events, lambda e: e.isNull() | ~_is(e["timestamp"], "BIGINT|DECIMAL|DOUBLE")),
+            F.exists(events, lambda e: e.isNull() | ~has_kind(e["timestamp"], "BIGINT|DECIMAL|DOUBLE")),
             "each log event requires a timestamp",
         )
-        .when(F.exists(events, lambda e: ~_is(e["message"], "STRING")), "each log event requires a message")
+        .when(F.exists(events, lambda e: ~has_kind(e["message"], "STRING")), "each log event requires a message")
     )
     # The rows to keep are chosen by exploding an array, not by a filter, which would parse the body again.
     judged = parsed.select(

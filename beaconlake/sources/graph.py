@@ -12,6 +12,7 @@ from beaconlake import schemas
 from beaconlake.functions.attributes import filled
 from beaconlake.functions.times import ms_to_time, now_ms, time_option
 from beaconlake.sources.logs import as_columns, explode_once, json_object
+from beaconlake.sources.pages import accept_pages, with_next_token
 
 # Members of services and edges that become attributes, in output order.
 SERVICE_ATTRIBUTES = [
@@ -142,12 +143,16 @@ def service_dependencies(
     end: int | str | datetime = "now",
     now: int | None = None,
 ) -> DataFrame:
-    """The edge table of service-graph pages, for the requested window."""
+    """The edge table of service-graph pages, for the requested window.
+
+    Of each request only the pages count that a correct pagination takes in: up to the first without a next token, or
+    with one that an earlier page had.
+    """
     now = now_ms() if now is None else now
     start_ms, end_ms = time_option(start, now, "start_time"), time_option(end, now, "end_time")
     if start_ms >= end_ms:
         raise ValueError("start_time must be before end_time")
-    services = decode_graph_pages(pages)
+    services = decode_graph_pages(accept_pages(with_next_token(pages, "NextToken"), "seen"))
     resolved = resolve_edges(services, service_edges(services))
     texts = ["source_service", "target_service", "source_type", "target_type", "edge_type"]
     given = {

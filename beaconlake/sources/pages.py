@@ -8,17 +8,23 @@ from pyspark.sql import functions as F
 from beaconlake.operators.quantiles import join_groups
 
 
-def accept_pages(pages: DataFrame, mode: str = "previous") -> DataFrame:
+def with_next_token(pages: DataFrame, member: str = "nextToken") -> DataFrame:
+    """Adds the token by which each landed JSON page (`body`) names the next one; '' if it names none."""
+    found = F.from_json("body", f"`{member}` string")[member]
+    return pages.withColumn("next_token", F.coalesce(found, F.lit("")))
+
+
+def accept_pages(pages: DataFrame, mode: str = "previous", request: str = "request_id") -> DataFrame:
     """Keeps each request's pages up to the one that ends its chain.
 
-    `pages` has `request_id`, `page_no`, `next_token` and, for `previous`, `token_in`. A chain ends after a page without a next
+    `pages` has `request`, `page_no`, `next_token` and, for `previous`, `token_in`. A chain ends after a page without a next
     token, and after one whose next token is the token it was requested with (`previous`) or was returned by an
     earlier page of the request (`seen`). Only minima per request meet in one place, so a request may hold any
     number of pages.
     """
     token = F.coalesce("next_token", F.lit(""))
     used = F.coalesce("token_in", F.lit("")) if mode == "previous" else F.lit(None).cast("string")
-    slim = pages.select("request_id", "page_no", token.alias("token"), used.alias("used"))
+    slim = pages.select(F.col(request).alias("request_id"), "page_no", token.alias("token"), used.alias("used"))
     last = F.col("token") == ""
     if mode == "previous":
         ends = slim.filter(last | (F.col("token") == F.col("used")))
@@ -29,5 +35,5 @@ def accept_pages(pages: DataFrame, mode: str = "previous") -> DataFrame:
     else:
         raise ValueError("mode must be 'previous' or 'seen'")
     end = ends.groupBy("request_id").agg(F.min("page_no").alias("_end"))
-    joined = pages.alias("p").join(end.alias("e"), F.col("p.request_id").eqNullSafe(F.col("e.request_id")), "left")
+    joined = pages.alias("p").join(end.alias("e"), F.col(f"p.{request}").eqNullSafe(F.col("e.request_id")), "left")
     return joined.filter(F.col("_end").isNull() | (F.col("p.page_no") <= F.col("_end"))).select("p.*")

@@ -173,3 +173,17 @@ def test_pages_of_repeated_keys_are_the_same_on_both_paths(spark, ascending):
             assert all(r.has_more == (offset + 25 < 120) for r in page)
             seen[top] += sorted(map(str, page))
     assert seen[0] == seen[10_000] and len(seen[0]) == 120
+
+
+def test_members_that_are_no_text(spark):
+    body = '{"events":[{"eventId":5,"logStreamName":{"x":1},"message":5,"timestamp":7},{"message":"m"}]}'
+    found = logs.decode_log_pages(spark.createDataFrame([(1, body)], "page_no int, body string")).collect()
+    assert [(r.event_id, r.log_stream, r.message, r.timestamp_ms) for r in found] == [("", "", "", 7), ("", "", "m", -1)]
+
+
+def test_group_pages(spark):
+    rows = [(1, '{"logGroups":[{"logGroupName":"/a"},{"logGroupName":7},{},{"logGroupName":"/b"}],"nextToken":"n"}'), (2, "{}")]
+    found = logs.decode_group_pages(spark.createDataFrame(rows, "page_no int, body string")).collect()
+    assert [(r.page_no, r.pos, r.log_group) for r in found] == [(1, 0, "/a"), (1, 3, "/b")]
+    with pytest.raises(Exception, match="not a JSON object"):
+        logs.decode_group_pages(spark.createDataFrame([(1, "[]")], "page_no int, body string")).collect()
