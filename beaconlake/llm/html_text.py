@@ -3,9 +3,14 @@
 Pages of one site share their furniture. Each page's text is cut into lines, one per block element, and aligned by longest
 common subsequence with the page of its host whose URL path comes next to it in order; the lines that both have, in
 the same order, are taken out. What the markup itself declares to be furniture (navigation, footers, forms, adverts and
-the like) does not count as text in the first place, and what it declares to be the article is not taken out for
-being shared. Where most of a page is shared with its neighbour, the two are copies of one page, which says nothing about
-furniture; then the neighbour on the other side is asked.
+the like) does not count as text in the first place. All other lines are compared, inside and outside of what is declared
+to be the article; if one inside is shared, the declaration decides, and it stays. <main> is the place of the article and
+whatever stands around it, and declares nothing about a line.
+
+Pages of a host with equal lines are one page here: the neighbour is the next different one, and what goes from one copy
+goes from all. A neighbour that has every line of the page is a longer copy, which says nothing about furniture; then the
+neighbour on the other side is asked. If each shares over `_COPY` of the page's characters, it may be an edited copy or a
+page of little text, and only those shared lines go that most different pages of the host have.
 
 Only line hashes travel between pages. They are put in order by host and path over all tasks, so that a host with a third
 of all pages is spread like any other rows; each part hands its first and last page to its neighbours.
@@ -46,10 +51,11 @@ _MARKS = frozenset(
     " respond replies reply share sharing social related recommended recommendations pagination pager search form skip copyright"
     " toolbar widget widgets".split()
 )
+#: Share of a page's characters over which a neighbour's word needs that of the host's other pages.
+_COPY = 0.6
 #: Prefixes after which such a word speaks of another element.
 _ABOUT = frozenset("has with no without".split())
 _LINKED = 0.6
-_COPY = 0.6
 
 
 def _furniture(name: str, attributes: str, in_article: bool) -> bool:
@@ -72,7 +78,11 @@ def _furniture(name: str, attributes: str, in_article: bool) -> bool:
 
 
 def _says_article(name: str, attributes: str) -> bool:
-    return name in _ARTICLE or bool(attributes) and re.search(r"""role\s*=\s*["']?main\b|articleBody""", attributes) is not None
+    return name == "article" or "articleBody" in attributes
+
+
+def _says_main(name: str, attributes: str) -> bool:
+    return name == "main" or bool(attributes) and re.search(r"""role\s*=\s*["']?main\b""", attributes) is not None
 
 
 def blocks(page: str | None) -> list[tuple[str, bool, float]]:
@@ -80,8 +90,8 @@ def blocks(page: str | None) -> list[tuple[str, bool, float]]:
     page = page or ""
     out: list[tuple[str, bool, float]] = []
     parts: list[str] = []
-    linked = depth = article = 0
-    article_tag = ""
+    linked = 0
+    article, around = ["", 0], ["", 0]  # tag and depth of the declared article, and of what is declared to hold it
     skip, skip_depth, skip_in_article = "", 0, False
     in_link = False
 
@@ -89,7 +99,7 @@ def blocks(page: str | None) -> list[tuple[str, bool, float]]:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append((text, article > 0, min(1.0, linked / len(text))))
+            out.append((text, article[1] > 0, min(1.0, linked / len(text))))
         parts.clear()
         linked = 0
 
@@ -133,22 +143,22 @@ def blocks(page: str | None) -> list[tuple[str, bool, float]]:
         elif name == "a":
             in_link = not closing
         if closing:
-            if article and name == article_tag:
-                depth -= 1
-                if depth == 0:
-                    article = 0
+            for held in (article, around):
+                held[1] -= held[1] > 0 and name == held[0]
             continue
         if name in _VOID or attributes.endswith("/"):
             continue
-        if _furniture(name, attributes, article > 0):
+        inside = article[1] > 0 or around[1] > 0
+        if _furniture(name, attributes, inside):
             if name not in _BLOCKS:
                 parts.append(" ")
-            skip, skip_depth, skip_in_article = name, 1, article > 0
+            skip, skip_depth, skip_in_article = name, 1, inside
             continue
-        if article and name == article_tag:
-            depth += 1
-        elif not article and _says_article(name, attributes):
-            article, article_tag, depth = 1, name, 1
+        for held, says in ((article, _says_article), (around, _says_main)):
+            if held[1]:
+                held[1] += name == held[0]
+            elif says(name, attributes):
+                held[:] = [name, 1]
     close()
     return out
 
@@ -160,11 +170,8 @@ def _after(page: str, name: str, at: int) -> int:
 
 
 def lines_of(page: str | None) -> list[tuple[str, bool]]:
-    """Candidate lines of a page, (text, protected): those of declared articles if there are any, else all."""
-    found = blocks(page)
-    if any(inside for _, inside, _ in found):
-        return [(t, links < _LINKED) for t, inside, links in found if inside]
-    return [(t, False) for t, _, _ in found]
+    """Candidate lines of a page, (text, whether it stays if shared: in a declared article, and not made of links)."""
+    return [(t, inside and links < _LINKED) for t, inside, links in blocks(page)]
 
 
 def common(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -205,22 +212,20 @@ def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Lines of each page to take out, by the nearer neighbour that is not a copy of it."""
+    """Lines of each page to take out, by the nearer neighbour that does not share most of it, else by the nearer one that
+    leaves it a line; then `doubt` has their hashes."""
     for batch in batches:
         out = []
         for r in batch.itertuples(index=False):
             lines, sizes = list(r.lines), list(r.sizes)
             near = [(n["path"], list(n["lines"])) for n in (r.before, r.after) if n is not None and n["host"] == r.host]
             near.sort(key=lambda n: -_prefix(n[0], r.path))
-            gone: list[int] = []
-            for _, other in near:
-                met = [i for i, _ in common(lines, other)]
-                if sum(sizes[i] for i in met) <= _COPY * sum(sizes):
-                    gone = [i for i in met if not r.kept[i]]
-                    break
+            found = [m for m in ([i for i, _ in common(lines, other)] for _, other in near) if len(m) < len(lines)]
+            sure = [m for m in found if sum(sizes[i] for i in m) <= _COPY * sum(sizes)]
+            gone = [i for i in (sure or found or [[]])[0] if not r.kept[i]]
             if gone:
-                out.append((r.page_id, gone))
-        yield pd.DataFrame(out, columns=["page_id", "gone"])
+                out.append((r.host, r.same, gone, [] if sure else [lines[i] for i in gone]))
+        yield pd.DataFrame(out, columns=["host", "same", "gone", "doubt"])
 
 
 def _prefix(a: str, b: str) -> int:
@@ -233,25 +238,46 @@ def _prefix(a: str, b: str) -> int:
 
 
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """(page_id, gone): positions, among a page's candidate lines, of lines to take out; only pages that have some."""
+    """(page_id, told, gone): positions, among a page's candidate lines, of lines to take out; only pages that have some.
+
+    `told` is the hash of url and html.
+    """
     url = F.coalesce("url", F.lit(""))
     pages = pages.where("page_id is not null and html is not null").select(
-        "page_id", F.lower(F.regexp_extract(url, r"^[A-Za-z][\w+.-]*://([^/?#]*)", 1)).alias("host"),
+        "page_id", F.xxhash64("url", "html").alias("told"), F.lower(F.regexp_extract(url, r"^[A-Za-z][\w+.-]*://([^/?#]*)", 1)).alias("host"),
         F.regexp_extract(url, r"^[A-Za-z][\w+.-]*://[^/?#]*([^?#]*)", 1).alias("path"), "html",
     ).where("host <> ''")
-    shape = "page_id long, host string, path string, lines array<long>, sizes array<int>, kept array<boolean>"
-    narrow = pin(pages.mapInPandas(_hashed, shape), "lines")
+    shape = "page_id long, told long, host string, path string, lines array<long>, sizes array<int>, kept array<boolean>"
+    narrow = pages.mapInPandas(_hashed, shape).withColumn("same", F.sha2(F.concat_ws(",", F.col("lines").cast("array<string>"), F.col("kept").cast("array<string>")), 256))
+    narrow = pin(narrow, "lines")
+    one = F.min_by(F.struct("path", "lines", "sizes", "kept"), F.struct("path", "page_id"))
+    different = pin(narrow.groupBy("host", "same").agg(one.alias("one")).select("host", "same", "one.*"), "different")
     parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["host", "path", "page_id"]
-    dealt = pin(narrow.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "ordered")
+    order = ["host", "path", "same"]
+    dealt = pin(different.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "ordered")
     one = F.struct("host", "path", "lines")
     ends = dealt.groupBy("part").agg(F.min_by(one, F.struct(*order)).alias("first"), F.max_by(one, F.struct(*order)).alias("last"))
     across = Window.orderBy("part")  # one row a part
     ends = ends.select("part", F.lag("last").over(across).alias("above"), F.lead("first").over(across).alias("below"))
     within = Window.partitionBy("part").orderBy(*order)
     paired = dealt.select("*", F.lag(one).over(within).alias("b"), F.lead(one).over(within).alias("a")).join(F.broadcast(ends), "part")
-    paired = paired.select("page_id", "host", "path", "lines", "sizes", "kept", F.coalesce("b", "above").alias("before"), F.coalesce("a", "below").alias("after"))
-    return paired.mapInPandas(_shared, "page_id long, gone array<int>")
+    paired = paired.select("host", "same", "path", "lines", "sizes", "kept", F.coalesce("b", "above").alias("before"), F.coalesce("a", "below").alias("after"))
+    found = pin(paired.mapInPandas(_shared, "host string, same string, gone array<int>, doubt array<long>"), "shared")
+    gone = _undoubted(found, different)
+    return narrow.select("page_id", "told", "host", "same").join(gone, ["host", "same"]).select("page_id", "told", "gone")
+
+
+def _undoubted(found: DataFrame, different: DataFrame) -> DataFrame:
+    """(host, same, gone) of `found`, less lines in doubt that no more than half of the different pages of the host have."""
+    sure, doubtful = found.where("size(doubt) = 0").select("host", "same", "gone"), found.where("size(doubt) > 0")
+    if doubtful.isEmpty():
+        return sure
+    here = different.join(doubtful.select("host").distinct(), "host", "left_semi")
+    held = here.select("host", F.explode(F.array_distinct("lines")).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
+    most = held.join(here.groupBy("host").agg(F.count("*").alias("pages")), "host").where("2 * n > pages")
+    most = most.groupBy("host").agg(F.collect_list("line").alias("most"))  # no more than two average pages have
+    agreed = F.expr("transform(filter(arrays_zip(gone, doubt), x -> array_contains(most, x.doubt)), x -> x.gone)")
+    return sure.unionByName(doubtful.join(most, "host").select("host", "same", agreed.alias("gone")).where("size(gone) > 0"))
 
 
 def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -270,12 +296,13 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars for every row of `pages`.
 
     A null html is empty, and so is its text. Pages without a page_id or without a host in their url are not compared with
-    others. Of rows with one page_id, a line shared between them is that of a copy and stays; what one of them loses is
-    looked up by page_id. Repeated rows come back as often as they came; other columns are ignored.
+    others. Rows with one page_id and different pages are compared like any others. Repeated rows come back as often as
+    they came; other columns are ignored.
     """
     given = pages.select("page_id", "url", "html")
-    gone = pin(shared_lines(given).dropDuplicates(["page_id"]), "gone")
-    return given.join(gone, "page_id", "left").mapInPandas(_texts, "page_id long, url string, text string, n_chars long")
+    gone = pin(shared_lines(given).dropDuplicates(["page_id", "told"]), "gone")
+    given = given.withColumn("told", F.xxhash64("url", "html"))
+    return given.join(gone, ["page_id", "told"], "left").select("page_id", "url", "html", "gone").mapInPandas(_texts, "page_id long, url string, text string, n_chars long")
 
 
 def op6_page_differences(spark: SparkSession, sf_dir: str) -> DataFrame:

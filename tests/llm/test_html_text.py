@@ -88,3 +88,43 @@ def test_repeats_extra_columns_and_empty(spark):
     pages = spark.createDataFrame(rows, SCHEMA + ", text string")
     assert sorted((r.page_id or -1, r.text) for r in html_text.main_texts(pages).collect()) == [(-1, "b"), (1, "a"), (1, "a")]
     assert html_text.main_texts(pages.limit(0)).collect() == []
+
+
+def of(spark, rows):
+    return {r.page_id: r.text for r in html_text.main_texts(spark.createDataFrame(rows, SCHEMA)).collect()}
+
+
+def test_lines_around_articles_go_only_if_shared(spark):
+    menu, end = "<p>Home page</p><p>All our topics</p>", "<p>Follow our channels</p>"
+    teaser = lambda i: f"<article><h2>Teaser {i}</h2></article><p>The long text of page {i} stands beside its teaser.</p>"
+    rows = [(i, f"https://t.example/{i}", menu + teaser(i) + end) for i in range(9)]
+    rows += [(20 + i, f"https://m.example/{i}", f"<main>{menu}<p>What {i} says at length, and says once only, for all to read.</p><article><p>Licence.</p></article>{end}</main>") for i in range(9)]
+    got = of(spark, rows)
+    assert all(got[i] == f"Teaser {i}\nThe long text of page {i} stands beside its teaser." for i in range(9))
+    assert all(got[20 + i] == f"What {i} says at length, and says once only, for all to read.\nLicence." for i in range(9))
+
+
+def test_short_pages_lose_their_furniture_and_copies_lose_the_same(spark):
+    menu = "".join(f"<p>Topic {k} of our many topics</p>" for k in range(9))
+    rows = [(i, f"https://short.example/{i}", f"{menu}<p>Only {i}.</p>") for i in range(10, 20)]
+    body = lambda i: "".join(f"<p>Text {i} of paragraph {k} and some more words of its own.</p>" for k in range(30))
+    rows += [(100 + i, f"https://run.example/{100 + i}", menu + body(5 if 3 <= i < 8 else 50 + i)) for i in range(12)]
+    got = of(spark, rows)
+    assert all(got[i] == f"Only {i}." for i in range(10, 20))
+    for i in range(12):
+        assert got[100 + i].split("\n") == [f"Text {5 if 3 <= i < 8 else 50 + i} of paragraph {k} and some more words of its own." for k in range(30)]
+
+
+def test_edited_copies_keep_what_other_pages_do_not_have(spark):
+    body = lambda i: "".join(f"<p>Text {i} of paragraph {k} and some more words of its own.</p>" for k in range(9))
+    rows = [(i, f"https://edit.example/{100 + i}", f"<p>Our menu</p>{body(5 if 3 <= i < 8 else 50 + i)}<p>As of day {i}</p>") for i in range(14)]
+    got = of(spark, rows)
+    for i in range(14):
+        text = [f"Text {5 if 3 <= i < 8 else 50 + i} of paragraph {k} and some more words of its own." for k in range(9)]
+        assert got[i].split("\n") == [*text, f"As of day {i}"]
+
+
+def test_rows_of_one_page_id_are_told_apart(spark):
+    rows = [(1, "https://h.example/a", "<p>x</p><p>Menu</p><p>the first text of one</p>"), (1, "https://h.example/b", "<p>Menu</p><p>the second text of one</p>")]
+    got = sorted(r.text for r in html_text.main_texts(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == ["the second text of one", "x\nthe first text of one"]
