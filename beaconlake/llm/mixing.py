@@ -4,12 +4,13 @@ Domains are the sources. What a document belongs to is soft: a naive Bayes table
 known, gives every document a posterior over domains from its declared source, which may be wrong or missing, and from
 its language, length, line and word sizes. A rate of 0 or more per document, how often to take it, is then fitted so that
 the expected tokens of every domain meet their target: least squares over domains, each error relative to the
-domain's own tokens, with a small pull of each rate towards 1, by gradient descent projected on rates of 0 or more.
+domain's own tokens, with a small pull of each rate towards 1, over rates of 0 or more.
 
-The gradient of a document's rate depends on its posterior alone, if rates are measured by their tokens, and all rates
-start at 1. Documents with equal features thus keep equal rates, and the descent runs over feature cells with summed
-tokens, grouped before the shuffle. A step is one job over the cells that brings one number per domain to the driver;
-the rate of a cell is the fold of the gradients so far, so that no step hangs on the files of the one before.
+At the best rates, a document's is 1 less its posterior's product with the domains' errors over the pull, and 0 where that
+is negative: one number per domain tells all rates. Documents with equal features thus have equal rates, and the fit
+runs over feature cells with summed tokens, grouped before the shuffle. The numbers are found by Newton's method, each of
+its linear systems by conjugate gradients. A pass is one job over the cells that brings a few numbers per domain to the
+driver, and no pass hangs on the files of the one before. It is projected gradient descent run to its end, in fewer passes.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from beaconlake.storage import pin
 TEMPER = 0.5
 #: Share of declared sources taken to be wrong, weight of a never seen feature value, and of the pull towards rate 1.
 NOISE, SMOOTH, PULL = 0.02, 0.5, 1e-3
-STEPS, CLOSE = 60, 1e-4
+#: Passes over the cells after which a fit has failed, and the error, as share of a domain's tokens, at which it has ended.
+STEPS, CLOSE = 20_000, 1e-9
 #: Domains come to the driver, one row each.
 MOST_DOMAINS = 10_000
 _NONE = "\x00"
@@ -66,7 +68,11 @@ def _doubles(xs: list[float]) -> Column:
 
 
 def with_posterior(cells: DataFrame, domains: list[str]) -> DataFrame:
-    """`cells` with `p`, the posterior over `domains` in their order, from counts over all cells of a known domain."""
+    """`cells` with `p`, the posterior over `domains` in their order, from counts over all cells of a known domain.
+
+    Of the declared sources of a domain, NOISE are wrong, dealt evenly over the others, but no more than so many that all
+    wrong ones together are half as many as the documents of the source they name.
+    """
     known = cells.where(F.col("source").isin(domains))
     sizes = {r.source: r.n for r in known.groupBy("source").agg(F.sum("docs").alias("n")).collect()}
     total = sum(sizes.values())
@@ -83,43 +89,96 @@ def with_posterior(cells: DataFrame, domains: list[str]) -> DataFrame:
         c = F.coalesce("c", _doubles([0.0] * count))
         log = F.zip_with(c, held, lambda n, h: F.ln((n + SMOOTH) / (h + F.lit(SMOOTH) * values)))
         out = out.withColumn("l", F.zip_with("l", log, lambda a, b: a + b)).drop("c")
-    right, wrong = math.log(1 - NOISE), math.log(NOISE / max(1, count - 1))
-    said = F.transform(names, lambda d: F.when(F.col("source") == d, right).otherwise(wrong))
+    others, own = max(1, count - 1), F.element_at(held, F.array_position(names, F.col("source")).cast("int")) + SMOOTH
+    wrong = lambda n: F.ln(F.least(F.lit(NOISE / others), own / (2.0 * others * (n + SMOOTH))))
+    said = F.zip_with(names, held, lambda d, n: F.when(F.col("source") == d, math.log(1 - NOISE)).otherwise(wrong(n)))
     out = out.withColumn("l", F.when(F.col("source").isin(domains), F.zip_with("l", said, lambda a, b: a + b)).otherwise(F.col("l")))
     out = out.withColumn("e", F.transform("l", lambda x: F.exp(x - F.array_max("l"))))
     total_e = F.aggregate("e", F.lit(0.0), lambda s, x: s + x)
     return out.withColumn("t", total_e).withColumn("p", F.transform("e", lambda x: x / F.col("t"))).drop("l", "e", "t")
 
 
-def _rate(gradients: list[list[float]]) -> Column:
-    """The rate after the steps that `gradients`, one number per domain each, lead to from rate 1."""
-    if not gradients:
-        return F.lit(1.0)
-    slope = lambda g, x: F.aggregate(F.zip_with("p", g, lambda a, b: a * b), F.lit(PULL) * (x - 1.0), lambda t, y: t + y)
-    step = F.lit(1.0 / (1.0 + PULL))
-    return F.aggregate(F.array(*map(_doubles, gradients)), F.lit(1.0), lambda x, g: F.greatest(F.lit(0.0), x - step * slope(g, x)))
+def _dot(a: list[float], b: list[float]) -> float:
+    return math.fsum(x * y for x, y in zip(a, b))
 
 
 def fit_rates(cells: DataFrame, targets: list[float]) -> tuple[DataFrame, list[float]]:
     """`cells` (with `p` and `tokens`) with `rate`, and the expected tokens per domain. `targets` are tokens, over 0.
 
-    With errors measured by the domain's own tokens no posterior's slope changes faster than its rate, so that 1 is a
-    safe step, and nearly the best one where posteriors are sharp.
+    With x = max(0, 1 - p.y / PULL), the rates are best if held * y = expected(x) - targets. That is where the convex
+    function sum(held * y * y) / 2 + targets.y + PULL / 2 * sum(tokens * x * x) is least. Raises if that is not reached.
     """
-
-    def expected(rate: Column) -> list[float]:
-        parts = cells.select((rate * F.col("tokens")).alias("n"), F.posexplode("p").alias("i", "share"))
-        sums = parts.groupBy("i").agg(F.sum(F.col("n") * F.col("share")).alias("s")).collect()
-        return [s for _, s in sorted((r.i, r.s or 0.0) for r in sums)] or [0.0] * len(targets)
-
-    now, gradients = expected(F.lit(1.0)), []
+    count, passes = len(targets), 0
+    tokens = F.col("tokens").cast("double")
+    along = lambda y: F.aggregate(F.zip_with("p", _doubles(y), lambda a, b: a * b), F.lit(0.0), lambda t, z: t + z)
+    rate = lambda y: F.greatest(F.lit(0.0), 1.0 - along(y) / PULL)
+
+    def sums(of: DataFrame, values: Column, n: int) -> list[float]:
+        nonlocal passes
+        passes += 1
+        rows = of.select(F.posexplode(values).alias("i", "v")).groupBy("i").agg(F.sum("v").alias("s")).collect()
+        found = {r.i: r.s or 0.0 for r in rows}
+        return [found.get(i, 0.0) for i in range(n)]
+
+    def state(y: list[float]) -> tuple[list[float], list[float], float]:
+        """Expected tokens, the diagonal of the tokens' part of the second derivative, and sum(tokens * x * x)."""
+        of = cells.select("p", tokens.alias("n"), rate(y).alias("x"))
+        values = F.concat(
+            F.transform("p", lambda q: F.col("n") * F.col("x") * q),
+            F.transform("p", lambda q: F.when(F.col("x") > 0, F.col("n") * q * q / PULL).otherwise(0.0)),
+            F.array(F.col("n") * F.col("x") * F.col("x")),
+        )
+        found = sums(of, values, 2 * count + 1)
+        return found[:count], found[count : 2 * count], found[-1]
+
+    y = [0.0] * count
+    now, diagonal, square = state(y)
     held = [max(n, 1e-9) for n in now]
-    while len(gradients) < STEPS and max((abs(n / t - 1.0) for n, t in zip(now, targets)), default=0.0) > CLOSE:
-        gradients.append([(n - t) / h for n, t, h in zip(now, targets, held)])
-        before, now = now, expected(_rate(gradients))
-        if max(abs(a - b) / t for a, b, t in zip(now, before, targets)) <= CLOSE / 10:
-            break
-    return cells.withColumn("rate", _rate(gradients)), now
+    allowed = [CLOSE * max(t, h) for t, h in zip(targets, held)]
+
+    def slope(y: list[float], now: list[float]) -> list[float]:
+        return [h * v + t - n for h, v, t, n in zip(held, y, targets, now)]
+
+    def value(y: list[float], square: float) -> float:
+        return math.fsum(h * v * v for h, v in zip(held, y)) / 2 + _dot(targets, y) + PULL / 2 * square
+
+    def residual(g: list[float]) -> float:
+        return max((abs(x) / a for x, a in zip(g, allowed)), default=0.0)
+
+    g = slope(y, now)
+    while residual(g) > 1.0:
+        # conjugate gradients for the Newton step, each number scaled by the diagonal
+        scale = [h + d for h, d in zip(held, diagonal)]
+        step, left = [0.0] * count, [-x for x in g]
+        z = [x / s for x, s in zip(left, scale)]
+        way, size = z, _dot(left, z)
+        enough = size * min(0.1, math.sqrt(residual(g) * CLOSE)) ** 2
+        active = cells.select("p", F.when(rate(y) > 0, tokens / PULL).otherwise(0.0).alias("n"))
+        for _ in range(2 * count + 10):
+            bent = sums(active.select("p", (F.col("n") * along(way)).alias("n")), F.transform("p", lambda q: q * F.col("n")), count)
+            bent = [b + h * w for b, h, w in zip(bent, held, way)]
+            by = size / _dot(way, bent)
+            step = [a + by * w for a, w in zip(step, way)]
+            left = [a - by * b for a, b in zip(left, bent)]
+            z = [x / s for x, s in zip(left, scale)]
+            was, size = size, _dot(left, z)
+            if size <= enough or passes > STEPS:
+                break
+            way = [a + size / was * w for a, w in zip(z, way)]
+        was, fall, part = value(y, square), _dot(g, step), 1.0
+        while True:
+            then = [a + part * b for a, b in zip(y, step)]
+            now, diagonal, square = state(then)
+            after = slope(then, now)
+            if value(then, square) <= was + 1e-4 * part * fall or residual(after) < residual(g) / 2:
+                break
+            part /= 2
+            if passes > STEPS or part < 1e-9:
+                raise RuntimeError(f"the rates miss their best by {residual(g) * CLOSE:.2g} of a domain's tokens after {passes} passes")
+        y, g = then, after
+        if passes > STEPS and residual(g) > 1.0:
+            raise RuntimeError(f"the rates miss their best by {residual(g) * CLOSE:.2g} of a domain's tokens after {passes} passes")
+    return cells.withColumn("rate", rate(y)), now
 
 
 def rates(rows: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:

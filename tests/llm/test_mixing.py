@@ -109,3 +109,37 @@ def test_stage_keeps_columns_and_rows(spark):
 def test_the_main_path_runs_no_python(spark, capsys):
     mixing.op4_soft_membership(spark, "/root/testdata/sf0.001").explain("formatted")
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
+
+
+CELLS = "source string, lang string, size int, lines int, letters int, docs long, tokens long"
+
+
+def uneven(spark):
+    """One source of a million documents, nine of 200,000 and ten of 50, told apart by nothing else."""
+    sizes = {"hot": 1_000_000} | {f"m{i}": 200_000 for i in range(9)} | {f"s{i}": 50 for i in range(10)}
+    cells = spark.createDataFrame([(d, "en", 5, 5, 5, n, 100 * n) for d, n in sizes.items()], CELLS)
+    return mixing.with_posterior(cells, sorted(sizes)), {d: 100 * n for d, n in sizes.items()}
+
+
+def test_small_sources_are_not_outvoted(spark):
+    known, held = uneven(spark)
+    domains = sorted(held)
+    for r in known.collect():
+        assert domains[int(np.argmax(r.p))] == r.source and max(r.p) > 0.6
+
+
+def test_uneven_sources_are_fitted_to_the_end(spark, monkeypatch):
+    known, held = uneven(spark)
+    domains = sorted(held)
+    total = sum(n**0.5 for n in held.values())
+    targets = [sum(held.values()) * held[d] ** 0.5 / total for d in domains]
+    fitted, now = mixing.fit_rates(known, targets)
+    rows = fitted.collect()
+    p, n, x = np.array([r.p for r in rows]), np.array([r.tokens for r in rows], float), np.array([r.rate for r in rows])
+    assert now == pytest.approx(list((n * x) @ p), rel=1e-9)
+    slope = p @ (((n * x) @ p - targets) / (n @ p)) + mixing.PULL * (x - 1)
+    assert all(abs(s) < 1e-6 if y > 0 else s > -1e-6 for s, y in zip(slope, x))
+    assert all(abs(a / t - 1) < 0.2 for a, t in zip(now, targets))
+    monkeypatch.setattr(mixing, "STEPS", 1)
+    with pytest.raises(RuntimeError, match="miss their best"):
+        mixing.fit_rates(known, targets)
