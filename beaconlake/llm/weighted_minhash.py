@@ -6,9 +6,9 @@ weight w it gets t = floor(ln w / r + b), y = exp(r * (t - b)) and a = c / (y *
 a, with its t. Two documents take the same sample with a probability equal to the generalised Jaccard similarity of
 their weights, sum of min(w, w') over sum of max(w, w').
 
-a is fixed by k and t, and other terms and t give another a but for a chance of 2**-50 or so. So the least ln a itself
-names the sample, which makes a signature a plain grouped minimum of doubles: combined before the shuffle, no row per
-term leaves its task, and a document of any length is one group of rows that one task streams.
+a is fixed by k and t, and other terms and t give another ln a of 32 bits but for a chance of 2**-20 or so. So the least
+ln a itself names the sample, which makes a signature a plain grouped minimum of floats: combined before the shuffle, no
+row per term leaves its task, and a document of any length is one group of rows that one task streams.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from beaconlake.llm.common import table
 from beaconlake.storage import pin
 
-SAMPLES = 20
+SAMPLES = 64
 #: Samples are named in the fingerprint by so many hexadecimal digits each.
 DIGITS = 8
 
@@ -35,11 +35,11 @@ def _log_a(i: int) -> Column:
     r = -F.ln(_uniform(one, 1) * _uniform(one, 33) * F.lit(1 - 2.0**-50))
     c = -F.ln(_uniform(two, 1) * _uniform(two, 33) * F.lit(1 - 2.0**-50))
     b = _uniform(one.bitwiseXOR(two), 16)
-    return F.ln(c) - r * ((F.col("lw") / r + b).cast("long") - b + 1)
+    return (F.ln(c) - r * ((F.col("lw") / r + b).cast("long") - b + 1)).cast("float")
 
 
 def signatures(texts: DataFrame, keys: list[str], kept: list[str] | None = None, samples: int = SAMPLES) -> DataFrame:
-    """`keys`, the largest of each bigint column in `kept`, and `signature`: an array of doubles, null without a word.
+    """`keys`, the largest of each bigint column in `kept`, and `signature`: an array of floats, null without a word.
 
     `texts` has these columns and `text`, one row each. Rows of equal keys count as one document.
     """
