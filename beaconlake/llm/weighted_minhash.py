@@ -6,13 +6,21 @@ weight w it gets t = floor(ln w / r + b), y = exp(r * (t - b)) and a = c / (y *
 a, with its t. Two documents take the same sample with a probability equal to the generalised Jaccard similarity of
 their weights, sum of min(w, w') over sum of max(w, w').
 
+One hash of 64 bits a term and sample gives all three draws. r is looked up among `CELLS` quantiles. Of c, whose small
+values decide, ln c = ln s + T(s) with s the square root of a uniform draw: c grows as s near 0, and T is a smooth rest,
+looked up by s. With 1024 cells r * b, which should be exponential, has a distribution function off by less than 0.0007,
+and ln c is off by less than 0.0007 where c is below its median; both are far below a sample's own error.
+
 a is fixed by k and t, and other terms and t give another ln a of 32 bits but for a chance of 2**-20 or so. So the least
-ln a itself names the sample, which makes a signature a plain grouped minimum of floats: combined before the shuffle, no
-row per term leaves its task, and a document of any length is one group of rows that one task streams.
+ln a itself names the sample, which makes a signature a plain grouped minimum of floats: combined where the rows are, no
+row per term leaves its task, and a document of any length is one group of rows that one task streams. A document and
+its edited text share the draws of the terms that both have.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,45 +30,77 @@ from beaconlake.storage import pin
 SAMPLES = 64
 #: Samples are named in the fingerprint by so many hexadecimal digits each.
 DIGITS = 8
+CELLS = 1024
+#: Documents that follow each other by id are taken together, so many at most.
+BLOCK = 16_384
+
+
+def _quantile(u: float) -> float:
+    """The value up to which Gamma(2, 1) has the probability u: 1 - (1 + x) exp(-x) = u."""
+    low, high = 0.0, 60.0
+    for _ in range(80):
+        x = (low + high) / 2
+        # the sum form of small x keeps its digits
+        reached = x * x / 2 - x**3 / 3 + x**4 / 8 - x**5 / 30 if x < 1e-3 else 1 - (1 + x) * math.exp(-x)
+        low, high = (x, high) if reached < u else (low, x)
+    return (low + high) / 2
+
+
+def _table(values: list[float]) -> Column:
+    """A constant array; as one text, so that the plan holds a single expression until it is folded."""
+    return F.expr(f"cast(split('{','.join(f'{v:.6g}' for v in values)}', ',') as array<double>)")
+
+
+_R = [_quantile((i + 0.5) / CELLS) for i in range(CELLS)]
+_T = [math.log(_quantile(((i + 0.5) / CELLS) ** 2)) - math.log((i + 0.5) / CELLS) for i in range(CELLS)]
 
 
-def _uniform(bits: Column, shift: int) -> Column:
-    """(0, 1] from 31 of a hash's bits."""
-    return (F.shiftrightunsigned(bits, shift).bitwiseAND((1 << 31) - 1) + F.lit(1)) * F.lit(2.0**-31)
+def _log_a(i: int, weights: list[str]) -> list[Column]:
+    """ln a of sample i for a term of hash `h`, for each column of ln weights; NULL without a weight."""
+    bits = F.xxhash64("h", F.lit(i))
+    root = F.sqrt((bits.bitwiseAND((1 << 30) - 1) + F.lit(0.5)) * F.lit(2.0**-30))
+    r = F.get(_table(_R), F.shiftrightunsigned(bits, 30).bitwiseAND(CELLS - 1).cast("int"))
+    log_c = F.ln(root) + F.get(_table(_T), (root * CELLS).cast("int"))
+    b = (F.shiftrightunsigned(bits, 40) + F.lit(1)) * F.lit(2.0**-24)
+    return [(log_c - r * ((F.col(w) / r + b).cast("long") - b + 1)).cast("float") for w in weights]
 
 
-def _log_a(i: int) -> Column:
-    """ln a of sample i for a term of hash `h` and ln weight `lw`; Gamma(2, 1) is -ln of two uniforms' product."""
-    one, two = F.xxhash64("h", F.lit(2 * i)), F.xxhash64("h", F.lit(2 * i + 1))
-    r = -F.ln(_uniform(one, 1) * _uniform(one, 33) * F.lit(1 - 2.0**-50))
-    c = -F.ln(_uniform(two, 1) * _uniform(two, 33) * F.lit(1 - 2.0**-50))
-    b = _uniform(one.bitwiseXOR(two), 16)
-    return (F.ln(c) - r * ((F.col("lw") / r + b).cast("long") - b + 1)).cast("float")
+def _hashes(text: str, side: int) -> Column:
+    """Hashes of a text's words, with the side in the last bit."""
+    words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), "")
+    if side:
+        return F.transform(words, lambda w: F.xxhash64(w).bitwiseOR(F.lit(1)))
+    return F.transform(words, lambda w: F.shiftleft(F.shiftright(F.xxhash64(w), 1), 1))
 
 
-def signatures(texts: DataFrame, keys: list[str], kept: list[str] | None = None, samples: int = SAMPLES) -> DataFrame:
-    """`keys`, the largest of each bigint column in `kept`, and `signature`: an array of floats, null without a word.
+def signatures(rows: DataFrame, keys: list[str], kept: list[str] | None = None, samples: int = SAMPLES, texts: tuple[str, ...] = ("text",)) -> DataFrame:
+    """`keys`, the largest of each bigint column in `kept`, and of each of one or two text columns its signature.
 
-    `texts` has these columns and `text`, one row each. Rows of equal keys count as one document.
+    A signature is an array of floats, NULL for a text without a word, named `signature` and `edited_signature`. Rows of
+    equal keys count as one document with all their terms, each of the largest weight that it has in one row.
     """
     kept = kept or []
-    words = F.split(F.lower(F.coalesce("text", F.lit(""))), r"[\x20\x09-\x0D]+")
-    hashed = texts.select(*keys, *kept, F.transform(words, lambda w: F.xxhash64(w)).alias("w"))
-    hashed = hashed.select(*keys, *kept, F.sort_array("w").alias("w"))
-    starts = F.expr("filter(sequence(0, size(w) - 1), i -> i = 0 or w[i] <> w[i - 1])")
-    runs = hashed.select(*keys, *kept, "w", starts.alias("s"))
+    carried = [*keys, *kept]
+    sides = [_hashes(t, i) for i, t in enumerate(texts)]
+    # Sorted, equal hashes of either side are a run, and the two runs of a word are neighbours. A document without a word
+    # has a single run of no hash, which weighs nothing.
+    sorted_ = rows.select(*carried, F.sort_array(F.concat(*sides)).alias("w"))
+    runs = sorted_.select(*carried, "w", F.expr("filter(sequence(0, size(w) - 1), i -> i = 0 or get(w, i) <> get(w, i - 1))").alias("s"))
+    fresh = F.expr("filter(sequence(0, size(s) - 1), j -> j = 0 or shiftright(get(w, get(s, j)), 1) <> shiftright(get(w, get(s, j - 1)), 1))")
     # the outer form: for the inner one the optimizer would work out the arrays twice, to leave out empty ones early
-    terms = runs.select(*keys, *kept, "w", "s", F.posexplode_outer("s").alias("i", "at"))
-    times = F.expr("coalesce(get(s, i + 1), size(w)) - at").cast("double")
-    terms = terms.select(*keys, *kept, F.expr("w[at]").alias("h"), F.ln(times).alias("lw"))
-    word = F.col("h") != F.xxhash64(F.lit(""))  # white space at an end splits off an empty text
-    least = terms.withColumn("h", F.when(word, F.col("h"))).groupBy(*keys).agg(
-        *(F.max(c).alias(c) for c in kept),
-        F.max(word.cast("int")).alias("any"),
-        *(F.min(F.when(F.col("h").isNotNull(), _log_a(i))).alias(f"a{i}") for i in range(samples)),
+    terms = runs.select(*carried, "w", "s", F.explode_outer(fresh).alias("j"))
+    first = F.expr("coalesce(get(s, j + 1), size(w)) - get(s, j)")
+    second = F.expr("case when shiftright(get(w, get(s, j + 1)), 1) = shiftright(get(w, get(s, j)), 1) then coalesce(get(s, j + 2), size(w)) - get(s, j + 1) end")
+    odd = F.expr("(get(w, get(s, j)) & 1) = 1")
+    counts = {"own": F.when(~odd, first), "edited": F.when(odd, first).otherwise(second)}
+    names = list(counts)[: len(texts)]
+    terms = terms.select(*carried, F.expr("shiftright(get(w, get(s, j)), 1)").alias("h"), *(F.ln(counts[n].cast("double")).alias(n) for n in names))
+    draws = [_log_a(i, names) for i in range(samples)]
+    least = terms.groupBy(*keys).agg(
+        *(F.max(c).alias(c) for c in kept), *(F.min(draws[i][k]).alias(f"{n}{i}") for k, n in enumerate(names) for i in range(samples))
     )
-    signature = F.when(F.col("any") == 1, F.array(*(f"a{i}" for i in range(samples))))
-    return least.select(*keys, *kept, signature.alias("signature"))
+    made = {"own": "signature", "edited": "edited_signature"}
+    return least.select(*carried, *(F.when(F.col(f"{n}0").isNotNull(), F.array(*(f"{n}{i}" for i in range(samples)))).alias(made[n]) for n in names))
 
 
 def fingerprint(signature: Column) -> Column:
@@ -90,6 +130,20 @@ def following(ids: DataFrame) -> DataFrame:
     return led.select("doc_id", F.coalesce("lead", "below", "first").alias("next_id"))
 
 
+def _block_bits(ids: DataFrame, most: int) -> int:
+    """How many low bits of an id are left out to name its block, so that no block has over `most` rows if that can be."""
+    size = ids.agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
+    if not size.n:
+        return 0
+    bits = max(0, min(62, int(math.log2(max(1.0, (size.high - size.low + 1) / size.n * most / 8)))))
+    while bits:
+        largest = ids.groupBy(F.shiftright("doc_id", bits).alias("block")).count().agg(F.max("count")).first()[0]
+        if largest <= most:
+            break
+        bits = max(0, bits - 2)
+    return bits
+
+
 def _as_longs(sha: Column) -> list[Column]:
     """A SHA-256 in hexadecimal as four bigints, which a grouped maximum can carry without sorting."""
     return [F.conv(F.substring(sha, 16 * i + 1, 16), 16, -10).cast("long") for i in range(4)]
@@ -99,51 +153,66 @@ def _as_sha(parts: list[str]) -> Column:
     return F.concat(*(F.lower(F.lpad(F.hex(p), 16, "0")) for p in parts))
 
 
-def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
+def _met(column: str, order) -> Column:
+    """Of the document that comes next, what the row has that others meet; the rows of one document are neighbours."""
+    value = f"case when least then {column} end"
+    return F.expr(f"lead({value}) ignore nulls").over(order)
+
+
+def fingerprints(docs: DataFrame, samples: int = SAMPLES, block: int = BLOCK) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row of `docs`.
 
     A null text counts as empty; the fingerprint of a text without a word is empty. The next document has the next
     smaller doc_id, after the smallest the largest; where rows repeat a doc_id with different texts, the least text is
     the one that others meet as next. A row without doc_id has no next document: its edited text is its first half, and
     the next document counts as empty. Repeated rows come back as often as they came; other columns are ignored.
+
+    Texts are shuffled once, to blocks of neighbouring ids. Where a block ends it gets a copy of the document that comes
+    next, the first one of another block, so that everything else happens within blocks: one text a block moves twice.
     """
-    every = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    every = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.monotonically_increasing_id())
     placed, lost = every.where("doc_id is not null"), every.where("doc_id is null")
-    ids = pin(placed.groupBy("doc_id").agg(F.max(F.length("text")).alias("n"), F.count("*").alias("times")), "lengths")
-    again = ids.where("times > 1").select("doc_id")
-    given = placed
-    if not again.isEmpty():
-        least = placed.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-        given = placed.join(again, "doc_id", "left_anti").unionByName(least)
-    wanted = following(ids).join(ids, "doc_id").select(F.col("doc_id").alias("asker"), F.col("next_id").alias("doc_id"), (F.col("n") / 2).cast("int").alias("need"))
-    heads = given.join(wanted, "doc_id").select(
-        F.col("asker").alias("doc_id"), F.col("doc_id").alias("next_id"), F.xxhash64("text").alias("next_hash"),
-        F.substring(F.col("text"), F.lit(1), F.col("need")).alias("head"),
-    )
-    met = placed.join(heads, "doc_id").unionByName(lost.select("*", F.lit(None).cast("long").alias("next_id"), F.xxhash64(F.lit("")).alias("next_hash"), F.lit("").alias("head")))
-    met = met.withColumn("n_chars", F.length("text").cast("long"))
+    ids = placed.select("doc_id")
+    bits = _block_bits(ids, block)
+    repeated = not ids.groupBy("doc_id").count().where("count > 1").limit(1).isEmpty()
+    at = F.shiftright("doc_id", bits)
+    tops = pin(ids.groupBy(at.alias("block")).agg(F.max("doc_id").alias("doc_id")), "blocks")
+    after = following(tops).join(tops, "doc_id").select(F.col("next_id").alias("doc_id"), "block")
+    borders = after.join(placed, "doc_id").groupBy("block").agg(F.min("text").alias("text"))
+    no_id, no_block = F.lit(None).cast("long"), F.pmod(F.xxhash64("row"), F.lit(1024))
+    columns = ["kind", "block", "doc_id", "row", "text"]
+    rows = placed.select(F.lit(0).alias("kind"), at.alias("block"), "doc_id", "row", "text").unionByName(
+        borders.select(F.lit(1).alias("kind"), "block", no_id.alias("doc_id"), F.lit(0).cast("long").alias("row"), "text")
+    ).unionByName(lost.select(F.lit(2).alias("kind"), no_block.alias("block"), "doc_id", "row", "text"))
+    # rows without an id have blocks of their own: kind 2 shares a block's task, never its order
+    rows = rows.select((F.col("kind") == 2).alias("lost"), *columns).repartition("block", "lost")
+    group = Window.partitionBy("block", "lost")
+    least = F.lit(True)
+    if repeated:
+        least = F.row_number().over(Window.partitionBy("block", "lost", "kind", "doc_id").orderBy("text", "row")) == 1
+    rows = rows.withColumn("least", least | (F.col("kind") > 0))
+    order = group.orderBy("kind", F.desc("doc_id"), F.desc("least"), "row")
+    rows = rows.withColumn("head", F.coalesce(F.when(~F.col("lost"), _met("text", order)), F.lit("")))
+    rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring(F.col("head"), F.lit(1), half))
-    met = met.select("doc_id", "next_id", "next_hash", "n_chars", F.xxhash64("text").alias("hash"), "text", edited.alias("edited"))
-    keys, kept = ["doc_id", "hash", "kind"], ["next_id", "next_hash", "n_chars", *(f"s{i}" for i in range(4))]
-    sides = met.select(
-        "doc_id", "hash", "next_id", "next_hash", "n_chars",
-        F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(t).alias("text"), F.sha2(F.col(t).cast("binary"), 256).alias("sha")) for k, t in enumerate(("text", "edited"))))).alias("side"),
-    )
-    sides = sides.select("doc_id", "hash", "next_id", "next_hash", "n_chars", "side.kind", "side.text", *(c.alias(f"s{i}") for i, c in enumerate(_as_longs(F.col("side.sha")))))
-    signed = pin(signatures(sides, keys, kept, samples), "signatures")
-    own = signed.where("kind = 0").select("doc_id", "hash", "next_id", "next_hash", "n_chars", "signature")
-    changed = signed.where("kind = 1").select("doc_id", "hash", F.col("signature").alias("edited_signature"), _as_sha([f"s{i}" for i in range(4)]).alias("edited_sha256"))
-    after = own.select(F.col("doc_id").alias("next_id"), F.col("hash").alias("next_hash"), F.col("signature").alias("next_signature")).where("next_id is not null")
-    out = own.alias("o").join(changed.alias("c"), F.expr("o.doc_id <=> c.doc_id and o.hash = c.hash")).select("o.*", "edited_signature", "edited_sha256")
-    out = out.join(after, ["next_id", "next_hash"], "left").select(
-        "doc_id", "hash", "n_chars", "edited_sha256",
+    rows = rows.withColumn("edited", edited)
+    longs = _as_longs(F.sha2(F.col("edited").cast("binary"), 256))
+    kept = ["n_chars", *(f"s{i}" for i in range(4))]
+    keys = ["block", "lost", "kind", "doc_id", "least", "row"]
+    rows = rows.select(*keys, "text", "edited", "n_chars", *(c.alias(f"s{i}") for i, c in enumerate(longs)))
+    signed = signatures(rows, keys, kept, samples, ("text", "edited"))
+    # a document without a word still has a signature to be met, if an empty one
+    own = F.coalesce("signature", F.array().cast("array<float>"))
+    signed = signed.withColumn("own", own)
+    signed = signed.withColumn("after", F.when(~F.col("lost"), _met("own", order))).where("kind <> 1")
+    signed = signed.withColumn("after", F.when(F.size("after") > 0, F.col("after")))
+    return signed.select(
+        "doc_id", "n_chars", _as_sha([f"s{i}" for i in range(4)]).alias("edited_sha256"),
         fingerprint(F.col("signature")).alias("fingerprint"), fingerprint(F.col("edited_signature")).alias("edited_fingerprint"),
         likeness(F.col("signature"), F.col("edited_signature")).alias("near_edited"),
-        likeness(F.col("signature"), F.col("next_signature")).alias("near_next"),
+        likeness(F.col("signature"), F.col("after")).alias("near_next"),
     )
-    rows = every.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("row_hash"))
-    return rows.join(out, F.expr("id <=> doc_id and row_hash = hash")).drop("id", "row_hash", "hash")
 
 
 def op8_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
