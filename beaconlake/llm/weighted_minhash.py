@@ -6,10 +6,8 @@ weight w it gets t = floor(ln w / r + b), y = exp(r * (t - b)) and a = c / (y *
 a, with its t. Two documents take the same sample with a probability equal to the generalised Jaccard similarity of
 their weights, sum of min(w, w') over sum of max(w, w').
 
-One hash of 64 bits a term and sample gives all three draws. r is looked up among `CELLS` quantiles. Of c, whose small
-values decide, ln c = ln s + T(s) with s the square root of a uniform draw: c grows as s near 0, and T is a smooth rest,
-looked up by s. With 1024 cells r * b, which should be exponential, has a distribution function off by less than 0.0007,
-and ln c is off by less than 0.0007 where c is below its median; both are far below a sample's own error.
+Samples are worked out `AT_ONCE` at a time, a row of a term each: the code of all in one row would be too long for the JVM
+to compile, which costs four times as much.
 
 a is fixed by k and t, and other terms and t give another ln a of 32 bits but for a chance of 2**-20 or so. So the least
 ln a itself names the sample, which makes a signature a plain grouped minimum of floats: combined where the rows are, no
@@ -30,39 +28,27 @@ from beaconlake.storage import pin
 SAMPLES = 64
 #: Samples are named in the fingerprint by so many hexadecimal digits each.
 DIGITS = 8
-CELLS = 1024
+#: Samples of a row of a term.
+AT_ONCE = 4
 #: Documents that follow each other by id are taken together, so many at most.
 BLOCK = 16_384
 
 
-def _quantile(u: float) -> float:
-    """The value up to which Gamma(2, 1) has the probability u: 1 - (1 + x) exp(-x) = u."""
-    low, high = 0.0, 60.0
-    for _ in range(80):
-        x = (low + high) / 2
-        # the sum form of small x keeps its digits
-        reached = x * x / 2 - x**3 / 3 + x**4 / 8 - x**5 / 30 if x < 1e-3 else 1 - (1 + x) * math.exp(-x)
-        low, high = (x, high) if reached < u else (low, x)
-    return (low + high) / 2
+def _uniform(bits: Column, shift: int) -> Column:
+    """(0, 1] from 31 of a hash's bits."""
+    return (F.shiftrightunsigned(bits, shift).bitwiseAND((1 << 31) - 1) + F.lit(1)) * F.lit(2.0**-31)
 
 
-def _table(values: list[float]) -> Column:
-    """A constant array; as one text, so that the plan holds a single expression until it is folded."""
-    return F.expr(f"cast(split('{','.join(f'{v:.6g}' for v in values)}', ',') as array<double>)")
+def _log_a(i: Column, weights: list[str]) -> list[Column]:
+    """ln a of sample i for a term of hash `h`, for each column of ln weights; NULL without a weight.
 
-
-_R = [_quantile((i + 0.5) / CELLS) for i in range(CELLS)]
-_T = [math.log(_quantile(((i + 0.5) / CELLS) ** 2)) - math.log((i + 0.5) / CELLS) for i in range(CELLS)]
-
-
-def _log_a(i: int, weights: list[str]) -> list[Column]:
-    """ln a of sample i for a term of hash `h`, for each column of ln weights; NULL without a weight."""
-    bits = F.xxhash64("h", F.lit(i))
-    root = F.sqrt((bits.bitwiseAND((1 << 30) - 1) + F.lit(0.5)) * F.lit(2.0**-30))
-    r = F.get(_table(_R), F.shiftrightunsigned(bits, 30).bitwiseAND(CELLS - 1).cast("int"))
-    log_c = F.ln(root) + F.get(_table(_T), (root * CELLS).cast("int"))
-    b = (F.shiftrightunsigned(bits, 40) + F.lit(1)) * F.lit(2.0**-24)
-    return [(log_c - r * ((F.col(w) / r + b).cast("long") - b + 1)).cast("float") for w in weights]
+    Gamma(2, 1) is -ln of two uniforms' product.
+    """
+    one, two = F.xxhash64("h", 2 * i), F.xxhash64("h", 2 * i + 1)
+    r = -F.ln(_uniform(one, 1) * _uniform(one, 33) * F.lit(1 - 2.0**-50))
+    c = -F.ln(_uniform(two, 1) * _uniform(two, 33) * F.lit(1 - 2.0**-50))
+    b = _uniform(one.bitwiseXOR(two), 16)
+    return [(F.ln(c) - r * ((F.col(w) / r + b).cast("long") - b + 1)).cast("float") for w in weights]
 
 
 def _hashes(text: str, side: int) -> Column:
@@ -95,12 +81,23 @@ def signatures(rows: DataFrame, keys: list[str], kept: list[str] | None = None,
     counts = {"own": F.when(~odd, first), "edited": F.when(odd, first).otherwise(second)}
     names = list(counts)[: len(texts)]
     terms = terms.select(*carried, F.expr("shiftright(get(w, get(s, j)), 1)").alias("h"), *(F.ln(counts[n].cast("double")).alias(n) for n in names))
-    draws = [_log_a(i, names) for i in range(samples)]
-    least = terms.groupBy(*keys).agg(
-        *(F.max(c).alias(c) for c in kept), *(F.min(draws[i][k]).alias(f"{n}{i}") for k, n in enumerate(names) for i in range(samples))
+    groups = -(-samples // AT_ONCE)
+    parts = terms.select("*", F.explode(F.array(*map(F.lit, range(groups)))).alias("part"))
+    draws = [_log_a(F.col("part") * AT_ONCE + i, names) for i in range(AT_ONCE)]
+    least = parts.groupBy(*keys, "part").agg(
+        *(F.max(c).alias(c) for c in kept), *(F.min(draws[i][k]).alias(f"{n}{i}") for k, n in enumerate(names) for i in range(AT_ONCE))
+    )
+    whole = least.groupBy(*keys).agg(
+        *(F.max(c).alias(c) for c in kept),
+        F.array_sort(F.collect_list(F.struct("part", *(F.array(*(f"{n}{i}" for i in range(AT_ONCE))).alias(n) for n in names)))).alias("parts"),  # one a part
     )
     made = {"own": "signature", "edited": "edited_signature"}
-    return least.select(*carried, *(F.when(F.col(f"{n}0").isNotNull(), F.array(*(f"{n}{i}" for i in range(samples)))).alias(made[n]) for n in names))
+
+    def signature(side: str) -> Column:
+        all_ = F.slice(F.flatten(F.transform("parts", lambda p: p[side])), 1, samples)
+        return F.when(all_[0].isNotNull(), all_).alias(made[side])
+
+    return whole.select(*carried, *(signature(n) for n in names))
 
 
 def fingerprint(signature: Column) -> Column:
@@ -177,7 +174,8 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, block: int = BLOCK) ->
     repeated = not ids.groupBy("doc_id").count().where("count > 1").limit(1).isEmpty()
     at = F.shiftright("doc_id", bits)
     tops = pin(ids.groupBy(at.alias("block")).agg(F.max("doc_id").alias("doc_id")), "blocks")
-    after = following(tops).join(tops, "doc_id").select(F.col("next_id").alias("doc_id"), "block")
+    # written, so that its size is known: one row a block
+    after = pin(following(tops).join(tops, "doc_id").select(F.col("next_id").alias("doc_id"), "block"), "borders")
     borders = after.join(placed, "doc_id").groupBy("block").agg(F.min("text").alias("text"))
     no_id, no_block = F.lit(None).cast("long"), F.pmod(F.xxhash64("row"), F.lit(1024))
     columns = ["kind", "block", "doc_id", "row", "text"]
