@@ -34,20 +34,17 @@ AT_ONCE = 4
 BLOCK = 16_384
 
 
-def _uniform(bits: Column, shift: int) -> Column:
-    """(0, 1] from 31 of a hash's bits."""
-    return (F.shiftrightunsigned(bits, shift).bitwiseAND((1 << 31) - 1) + F.lit(1)) * F.lit(2.0**-31)
-
-
 def _log_a(i: Column, weights: list[str]) -> list[Column]:
     """ln a of sample i for a term of hash `h`, for each column of ln weights; NULL without a weight.
 
-    Gamma(2, 1) is -ln of two uniforms' product.
+    Gamma(2, 1) is -ln of two uniforms' product. One hash gives all: r from two of 11 bits, c, whose small values decide,
+    from two of 14, and b from 14.
     """
-    one, two = F.xxhash64("h", 2 * i), F.xxhash64("h", 2 * i + 1)
-    r = -F.ln(_uniform(one, 1) * _uniform(one, 33) * F.lit(1 - 2.0**-50))
-    c = -F.ln(_uniform(two, 1) * _uniform(two, 33) * F.lit(1 - 2.0**-50))
-    b = _uniform(one.bitwiseXOR(two), 16)
+    bits = F.xxhash64("h", i)
+    draw = lambda shift, width: F.shiftrightunsigned(bits, shift).bitwiseAND((1 << width) - 1) + F.lit(0.5)
+    r = -F.ln(draw(0, 11) * draw(11, 11) * F.lit(2.0**-22))
+    c = -F.ln(draw(22, 14) * draw(36, 14) * F.lit(2.0**-28))
+    b = draw(50, 14) * F.lit(2.0**-14)
     return [(F.ln(c) - r * ((F.col(w) / r + b).cast("long") - b + 1)).cast("float") for w in weights]
 
 
