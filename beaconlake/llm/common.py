@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(docs: DataFrame, *needed: str) -> DataFrame:
+    """The caller's whole row as the struct `row`, and beside it the columns `needed`: no name of the caller's can clash."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *needed)
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of an undirected graph, root being the smallest node it reaches.
 

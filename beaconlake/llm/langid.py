@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconlake.llm.common import ship, table
+from beaconlake.llm.common import packed, ship, table
 
 SLOT_BITS = 15
 ORDERS = (1, 2, 3)
@@ -176,9 +176,9 @@ def languages_of(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """`docs` without rows whose language can't be told: no letter, or ambiguous. Without any labelled row all stay."""
     model = learn(docs.where(~held_out(docs)))
-    told = identify(docs.select("*", F.struct(*docs.columns).alias("_row")).select("_row", "text"), model)
+    told = identify(packed(docs, "text"), model)
     kept = told.where(F.col("lang_pred").isNotNull() & (F.col("lang_pred") != UNKNOWN) & ~F.col("lang_ambiguous"))
-    return kept.select("_row.*") if model else docs
+    return kept.select("row.*") if model else docs
 
 
 def op5_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

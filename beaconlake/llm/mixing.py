@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconlake.llm.common import WORD, table
+from beaconlake.llm.common import WORD, packed, table
 from beaconlake.storage import pin
 
 #: Targets, where none are given: each domain's tokens to this power.
@@ -219,9 +219,9 @@ def mixed(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame
 def with_rate(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """`docs` with the column `rate` after its own; a column of that name gives way."""
     kept = docs.drop("rate")
-    rows = featured(docs.select("text", "lang", "source"))
+    rows = featured(packed(kept, "text", "lang", "source"))
     told = pin(rates(rows.select("_tokens", "_cell"), weights), "rates").select(F.col("_cell"), F.col("rate"))
-    return featured(kept).join(told, "_cell", "left").select(*kept.columns, "rate")
+    return rows.join(told, "_cell", "left").select("row.*", "rate")
 
 
 def op4_soft_membership(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from beaconlake.llm.common import components, ship, table
+from beaconlake.llm.common import components, packed, ship, table
 from beaconlake.storage import pin
 
 SEED = 42
@@ -207,11 +207,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """`docs` with one row of each component, that with the smallest doc_id; rows without doc_id all stay."""
-    gone = near_duplicates(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    once = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())).orderBy("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti").withColumn("_row", F.row_number().over(once))
-    return kept.where("_row = 1").select(*docs.columns)
+    """`docs` with one row of each component of linked fingerprints, and every column as it was.
+
+    The row with the smallest doc_id stays, of equal ones that whose text has the least hash, and of rows equal in both one;
+    a row without doc_id stays only if no row of its component has one. What decides is a row's own fingerprint, so
+    that a text that is no one's duplicate stays even if its doc_id also names one that is. Only ids and hashes meet.
+    """
+    rows = packed(docs, "doc_id", "text")
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    slim = with_fingerprint(rows.select("doc_id", text.alias("hash"), "text")).select("doc_id", "hash", "fp")
+    slim = pin(slim, "fingerprints")
+    fps = pin(slim.select("fp").distinct(), "representatives")
+    roots = components(near_links(fps.select("fp", F.col("fp").alias("rep"))))
+    named = fps.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("component"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")
+    first = slim.join(named, "fp").groupBy("component").agg(F.min(order).alias("first")).select("first.doc_id", "first.hash")
+    first = first.select(F.col("doc_id").alias("first_id"), F.col("hash").alias("first_hash")).distinct()
+    keyed = rows.select("row", "doc_id", text.alias("hash"))
+    kept = keyed.join(first, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("hash") == F.col("first_hash")), "left_semi")
+    again = kept.groupBy("doc_id", "hash").count().where("count > 1").limit(1)
+    if not again.isEmpty():  # equal rows, of which one is enough
+        once = Window.partitionBy("doc_id", "hash").orderBy(F.xxhash64("row"))
+        kept = kept.withColumn("place", F.row_number().over(once)).where("place = 1")
+    return kept.select("row.*")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconlake.llm.common import ship, table
+from beaconlake.llm.common import packed, ship, table
 from beaconlake.storage import pin
 
 WINDOW = 50
@@ -200,15 +200,25 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """`docs` with repeated passages taken out of `text`, and `n_chars`, where there is one, counted again."""
-    spans = repeated_spans(docs).groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows")).alias("_spans"))
+    spans = repeated_spans(docs).groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
     cut = _without(WINDOW)
 
     def kept(texts: pd.Series, found: pd.Series) -> pd.Series:
         return pd.concat([x["text"] for x in cut(iter([pd.DataFrame({"text": texts, "spans": found})]))]).set_axis(texts.index)
 
-    hit = docs.join(spans, "doc_id", "left").withColumn("_kept", F.when(F.col("_spans").isNotNull(), F.pandas_udf(kept, "string")("text", "_spans")).otherwise(F.col("text")))
-    text = F.col("_kept")
-    return hit.select(*(text.alias(c) if c == "text" else F.when(F.col("_spans").isNull(), F.col(c)).otherwise(F.length(text).cast(hit.schema[c].dataType)).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns))
+    hit = packed(docs, "doc_id", "text").join(spans, "doc_id", "left")
+    text = F.when(F.col("spans").isNotNull(), F.pandas_udf(kept, "string")("text", "spans")).otherwise(F.col("text"))
+    hit = hit.select("row", text.alias("text"), F.col("spans").isNotNull().alias("cut"))
+
+    def column(name: str) -> Column:
+        own = F.col("row")[name]
+        if name == "text":
+            return F.col("text")
+        if name == "n_chars":
+            return F.when(F.col("cut"), F.length("text").cast(docs.schema[name].dataType)).otherwise(own).alias(name)
+        return own.alias(name)
+
+    return hit.select(*map(column, docs.columns))
 
 
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
