@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,61 +28,83 @@ RETENTION_DAYS = [
     365, 400, 545, 731, 1096, 1827, 2192, 2557, 2922, 3288, 3653,
 ]
 
-GROUP_PATTERN = r"^[A-Za-z0-9._/#-]+$"
-NAMESPACE_PATTERN = r"^[\x21-\x7E]+$"
+
+
+@dataclass(frozen=True)
+class NameRule:
+    """What a name may be: its most bytes, a pattern of what it may not contain, a prefix that is taken, and what to
+    call it in a reason. The same rule judges columns and single values."""
+
+    what: str
+    most_bytes: int
+    never: str
+    why_never: str
+    taken: str = ""
+
+    def _reasons(self) -> list[str]:
+        return [f"{self.what} is missing or empty", f"{self.what} has over {self.most_bytes} bytes", f"{self.what} begins with {self.taken}, which is taken", f"{self.what} has {self.why_never}"]
+
+    def column(self, name: Column) -> Column:
+        """The reason against a name, NULL for a good one."""
+        empty, long, taken, never = self._reasons()
+        found = F.when(name.isNull() | (name == ""), empty).when(F.octet_length(name) > self.most_bytes, long)
+        if self.taken:
+            found = found.when(name.startswith(self.taken), taken)
+        return found.when(name.rlike(self.never), never)
+
+    def reason(self, name: str | None) -> str | None:
+        """The same for one value, without a Spark job."""
+        empty, long, taken, never = self._reasons()
+        if not name:
+            return empty
+        if len(name.encode("utf-8", "replace")) > self.most_bytes:
+            return long
+        if self.taken and name.startswith(self.taken):
+            return taken
+        return never if re.search(self.never, name) else None
+
+
+# Bounds, characters and the reserved prefix of names.
+GROUP = NameRule("the log group", 512, r"[^A-Za-z0-9._/#-]", "a character other than letters, digits and . _ / # -")
+STREAM = NameRule("the log stream", 512, r"[:*]", "a colon or an asterisk")
+NAMESPACE = NameRule("the namespace", 255, r"[^\x21-\x7E]", "a character that is not visible ASCII", "AWS/")
 
 
 def check_group_name(name: Column) -> Column:
     """1 to 512 bytes of letters, digits and `. _ / # -`."""
-    return (
-        F.when(name.isNull() | (name == ""), "log_group must not be empty")
-        .when(F.octet_length(name) > 512, "log_group must be at most 512 bytes")
-        .when(~name.rlike(GROUP_PATTERN) | name.contains("\n"), "log_group contains an invalid character")
-    )
+    return GROUP.column(name)
 
 
 def check_stream_name(name: Column) -> Column:
     """1 to 512 bytes without `:` and `*`."""
-    return (
-        F.when(name.isNull() | (name == ""), "log_stream must not be empty")
-        .when(F.octet_length(name) > 512, "log_stream must be at most 512 bytes")
-        .when(name.contains(":") | name.contains("*"), "log_stream must not contain ':' or '*'")
-    )
+    return STREAM.column(name)
 
 
 def check_namespace(name: Column) -> Column:
     """1 to 255 bytes of printable ASCII without spaces, outside the reserved prefix."""
-    return (
-        F.when(name.isNull() | (name == ""), "namespace must not be empty")
-        .when(F.octet_length(name) > 255, "namespace must be at most 255 bytes")
-        .when(name.startswith("AWS/"), "the AWS/ namespace is reserved")
-        .when(
-            ~name.rlike(NAMESPACE_PATTERN) | name.contains("\n"),
-            "namespace must be printable ASCII without spaces",
-        )
-    )
+    return NAMESPACE.column(name)
 
 
 def check_retention(days: Column) -> Column:
     """One of the storable retention settings."""
-    return F.when(days.isNull() | ~days.isin(RETENTION_DAYS), "retention_in_days is not a supported value")
+    return F.when(days.isNull() | ~days.isin(RETENTION_DAYS), "the retention is none of the settings that can be stored")
 
 
 def check_message(message: Column) -> Column:
     """Non-empty and small enough for a batch of its own."""
-    return F.when(message.isNull() | (message == ""), "message must not be empty").when(
-        F.octet_length(message) > MAX_BATCH_BYTES - EVENT_OVERHEAD, "message is too large"
+    return F.when(message.isNull() | (message == ""), "the message is missing or empty").when(
+        F.octet_length(message) > MAX_BATCH_BYTES - EVENT_OVERHEAD, "the message does not fit into a batch"
     )
 
 
 def check_metric(name: Column, value: Column, dimensions: Column, attributes: Column | None = None) -> Column:
     """A named, finite reading with at most 30 dimensions and, if any, valid attribute JSON."""
-    reason = F.when(name.isNull() | (name == ""), "metric name must not be empty")
+    reason = F.when(name.isNull() | (name == ""), "the metric has no name")
     if attributes is not None:
         bad = (attributes != "") & ~is_json(attributes)
-        reason = reason.when(bad, "metric_attributes is not valid JSON")
-    return reason.when(F.size(dimensions) > MAX_DIMENSIONS, "a metric may carry at most 30 dimensions").when(
-        F.isnan(value) | value.isin(math.inf, -math.inf), "metric value must be finite"
+        reason = reason.when(bad, "the attributes can't be read as JSON")
+    return reason.when(F.size(dimensions) > MAX_DIMENSIONS, "the metric has over 30 dimensions").when(
+        F.isnan(value) | value.isin(math.inf, -math.inf), "the value is infinite or not a number"
     )
 
 
@@ -90,11 +114,8 @@ def check_metric_age(ms: Column, now: int | Column) -> Column:
     return F.when(ms < now - OLDEST_METRIC_MS, "too_old").when(ms > now + NEWEST_METRIC_MS, "too_new")
 
 
-def accept(value: str | int, check, what: type[Exception] = ValueError) -> None:
-    """Apply a name check to one option value and raise its reason. Needs no data."""
-    from pyspark.sql import SparkSession
-
-    kind = "long" if isinstance(value, int) else "string"
-    row = SparkSession.getActiveSession().range(1).select(check(F.lit(value).cast(kind)).alias("reason")).first()
-    if row.reason is not None:
-        raise what(row.reason)
+def accept(value: str, rule: NameRule, what: type[Exception] = ValueError) -> None:
+    """Applies a name's rule to one option value and raises the reason against it."""
+    reason = rule.reason(value)
+    if reason is not None:
+        raise what(reason)

@@ -5,8 +5,10 @@ batches before it. Destinations of up to one chunk of rows are cut whole, each i
 
 Larger ones are split: their ordered rows are cut into chunks of equal row count. A batch spans at most
 `limits.count` rows, so a chunk plus the first rows of the next one is enough to tell, for every row at which a
-batch could start, where the first batch of the next chunk would then start. These maps are short; following them
-from chunk to chunk fixes each chunk's first batch, and then all chunks are cut in parallel.
+batch could start, where the first batch of the next chunk would then start. These maps are short, and two of neighbouring
+runs of chunks make one of both. Pairing them up, and going down again from the whole to its halves, gives each chunk's
+first batch in rounds as many as twice the logarithm of the chunks, in each of which a task holds two maps of a
+destination. Then all chunks are cut in parallel.
 """
 
 from __future__ import annotations
@@ -79,38 +81,73 @@ def _runs(frames: Iterable[pd.DataFrame], keys: Sequence[str]) -> Iterator[tuple
         yield current, pd.concat(held, ignore_index=True)
 
 
-def _chunk_maps(frame: pd.DataFrame, chunk: int, limits: Limits) -> list[tuple[int, int, int, int, int, int, int]]:
-    """Segments of the map from a chunk's first batch start to the next chunk's.
+#: A segment of the map from the first batch start in some chunks to that in the chunk after them: its lowest and the end
+#: of its starts, the start that follows and its step per row, the batches that start in the chunks, and the position of
+#: the last of these starts and its step per row.
+_SEGMENT = ["low", "high", "follow", "step", "count", "late", "late_step"]
 
-    A segment holds its lowest start, the next chunk's start and its step per row, the batches that start in the
-    chunk, the last of their starts and its step per row, and the chunk's rows.
-    """
+
+def _chunk_maps(frame: pd.DataFrame, chunk: int, limits: Limits, chunk_rows: int) -> list[tuple[int, ...]]:
+    """The segments of one chunk."""
     rows = int((~frame["halo"]).sum())
-    ends = next_starts(frame["ts"].to_numpy(), frame["size"].to_numpy(), limits).tolist()
-    following, batches, last = [0] * rows, [0] * rows, [0] * rows
-    for row in range(rows - 1, -1, -1):
-        end = ends[row]
-        if end >= rows:
-            following[row], batches[row], last[row] = end - rows, 1, row
-        else:
-            following[row], batches[row], last[row] = following[end], batches[end] + 1, last[end]
-    segments: list[list[int]] = []
+    ends = next_starts(frame["ts"].to_numpy(), frame["size"].to_numpy(), limits)[:rows]
     # An open batch that began before the chunk ends no later than one that begins at its first row.
-    for row in range(1 if chunk == 0 else min(ends[0], rows - 1) + 1):
-        if segments:
-            low, follow, step, count, late, late_step, _ = segments[-1]
-            away = row - low
-            if away == 1 and follow + 1 >= following[row] >= follow and late + 1 >= last[row] >= late:
-                step, late_step = following[row] - follow, last[row] - late
-            if (
-                batches[row] == count
-                and following[row] == follow + step * away
-                and last[row] == late + late_step * away
-            ):
-                segments[-1][2], segments[-1][5] = step, late_step
-                continue
-        segments.append([row, following[row], 0, batches[row], last[row], 0, rows])
-    return [tuple(s) for s in segments]
+    starts = np.arange(1 if chunk == 0 else min(int(ends[0]), rows - 1) + 1)
+    at, batches, last = starts.copy(), np.zeros(len(starts), np.int64), starts.copy()
+    moving = np.arange(len(starts))
+    while len(moving):  # a step a batch, for all starts at once
+        last[moving] = at[moving]
+        at[moving], batches[moving] = ends[at[moving]], batches[moving] + 1
+        moving = moving[at[moving] < rows]
+    following = at - rows
+    # a segment goes on while batches agree and both places move on by the same step, 0 or 1 a row
+    follow_step, last_step = np.diff(following), np.diff(last)
+    smooth = (np.diff(batches) == 0) & (follow_step >= 0) & (follow_step <= 1) & (last_step >= 0) & (last_step <= 1)
+    segments: list[tuple[int, ...]] = []
+    low = 0
+    while low < len(starts):
+        step, late_step, high = 0, 0, low + 1
+        if low < len(smooth) and smooth[low]:
+            step, late_step = int(follow_step[low]), int(last_step[low])
+            same = smooth[low:] & (follow_step[low:] == step) & (last_step[low:] == late_step)
+            high = low + 1 + (len(same) if same.all() else int(np.argmin(same)))
+        segments.append((low, high, int(following[low]), step, int(batches[low]), chunk * chunk_rows + int(last[low]), late_step))
+        low = high
+    return segments
+
+
+def _composed(first: np.ndarray, second: np.ndarray) -> list[list[int]]:
+    """The segments of two neighbouring runs of chunks, one after the other, from theirs.
+
+    A start that the second run does not have lies past the destination's end and is left out.
+    """
+    made: list[list[int]] = []
+    lows, ends = second[:, 0], int(second[-1, 1])
+    for low, high, follow, step, count, _, _ in first.tolist():
+        while low < high and follow < ends:
+            at = second[int(np.searchsorted(lows, follow, side="right")) - 1].tolist()
+            away = follow - at[0]
+            upto = min(high, low + at[1] - follow) if step else high
+            one = [low, upto, at[2] + at[3] * away, at[3] * step, count + at[4], at[5] + at[6] * away, at[6] * step]
+            low, follow = upto, follow + (upto - low) * step
+            if made and made[-1][1] == one[0] and not made[-1][3] and not made[-1][6] and made[-1][2:] == one[2:]:
+                made[-1][1] = one[1]
+            else:
+                made.append(one)
+    return made
+
+
+def _halved(entries: DataFrame, maps: DataFrame, names: list[str]) -> DataFrame:
+    """What is open where each half of a run of chunks begins, given it for the runs and the maps of the first halves."""
+    halves = entries.withColumn("chunk", F.col("chunk") * 2)
+    keys = [*names, "chunk"]
+    away = F.col("entry") - F.col("low")
+    met = halves.join(_aside(maps, keys), _matches(keys) & (F.col("entry") >= F.col("low")) & (F.col("entry") < F.col("high")))
+    later = met.select(
+        *names, (F.col("chunk") + 1).alias("chunk"), (F.col("follow") + F.col("step") * away).alias("entry"),
+        (F.col("base") + F.col("count")).alias("base"), (F.col("late") + F.col("late_step") * away).alias("opened"),
+    )
+    return halves.unionByName(later)
 
 
 def _cut(frame: pd.DataFrame, limits: Limits) -> tuple[np.ndarray, np.ndarray]:
@@ -167,28 +204,19 @@ def _cut_split(narrow: DataFrame, names: list[str], limits: Limits, chunk_rows:
     placed = placed.withColumn("chunk", F.floor(F.col("position") / chunk_rows).cast("long"))
     key_fields = [field for field in placed.schema.fields if field.name in names]
     order = [*names, "chunk", "position"]
-    segment = ["low", "follow", "step", "count", "late", "late_step", "rows"]
+    shape = T.StructType([*key_fields, *_long("chunk", *_SEGMENT)])
 
     def maps(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for key, frame in _runs(frames, [*names, "chunk"]):
-            found = _chunk_maps(frame, int(key[-1]), limits)
-            yield pd.DataFrame([(*key, *one) for one in found], columns=[*names, "chunk", *segment])
+            found = _chunk_maps(frame, int(key[-1]), limits, chunk_rows)
+            yield pd.DataFrame([(*key, *one) for one in found], columns=[*names, "chunk", *_SEGMENT])
 
-    def follow(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        destination, entry, base, opened = None, 0, 0, 0
-        for key, frame in _runs(frames, [*names, "chunk"]):
-            if key[:-1] != destination:
-                destination, entry, base, opened = key[:-1], 0, 0, 0
-            yield pd.DataFrame([(*key, entry, base, opened)], columns=[*names, "chunk", "entry", "base", "opened"])
-            rows = int(frame["rows"].iloc[0])
-            if entry >= rows:
-                entry -= rows
-                continue
-            one = frame.iloc[int(np.searchsorted(frame["low"].to_numpy(), entry, side="right")) - 1]
-            away = entry - int(one["low"])
-            opened = int(key[-1]) * chunk_rows + int(one["late"]) + int(one["late_step"]) * away
-            entry = int(one["follow"]) + int(one["step"]) * away
-            base += int(one["count"])
+    def paired(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for key, frame in _runs(frames, [*names, "pair"]):
+            odd = frame["chunk"].to_numpy() % 2 == 1
+            if odd.any() and not odd.all():
+                made = _composed(frame.loc[~odd, _SEGMENT].to_numpy(), frame.loc[odd, _SEGMENT].to_numpy())
+                yield pd.DataFrame([(*key, *one) for one in made], columns=[*names, "chunk", *_SEGMENT])
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, frame in _runs(frames, [*names, "chunk"]):
@@ -202,16 +230,16 @@ def _cut_split(narrow: DataFrame, names: list[str], limits: Limits, chunk_rows:
     widened = placed.select(
         *names, "position", "ts", "size", F.inline(F.when(overlap, F.array(own, before)).otherwise(F.array(own)))
     )
-    mapped = (
-        widened.repartition(*names, "chunk")
-        .sortWithinPartitions(*order)
-        .mapInPandas(maps, T.StructType([*key_fields, *_long("chunk", *segment)]))
-    )
-    entries = (
-        mapped.repartition(*names)
-        .sortWithinPartitions(*names, "chunk", "low")
-        .mapInPandas(follow, T.StructType([*key_fields, *_long("chunk", "entry", "base", "opened")]))
-    )
+    mapped = widened.repartition(*names, "chunk").sortWithinPartitions(*order).mapInPandas(maps, shape)
+    levels = [pin(mapped, "chunk-maps")]
+    chunks = levels[0].agg(F.max("chunk")).first()[0] + 1
+    while 1 << len(levels) < chunks:
+        halves = levels[-1].withColumn("pair", F.floor(F.col("chunk") / 2).cast("long"))
+        both = halves.repartition(*names, "pair").sortWithinPartitions(*names, "pair", "chunk", "low")
+        levels.append(pin(both.mapInPandas(paired, shape), "chunk-maps"))
+    entries = placed.select(*names).distinct().select(*names, *[F.lit(0).cast("long").alias(c) for c in ("chunk", "entry", "base", "opened")])
+    for level in reversed(levels):
+        entries = pin(_halved(entries, level, names), "chunk-entries")
     keys = [*names, "chunk"]
     ready = placed.join(_aside(entries, keys), _matches(keys)).select(
         *keys, "position", "ts", "seq", "size", "entry", "base", "opened"
@@ -261,16 +289,21 @@ def assign_batches(
     )
 
 
-def _planned(sized: DataFrame, keys: list[str], limits: Limits, stamp: str | None, chunk_rows: int) -> DataFrame:
-    """`sized` without `_size`, planned. It is worked out once and written, as counting, planning and the join back all
-    read it. NULL is a destination like any other."""
-    sized = pin(sized, "sized")
-    found = assign_batches(sized, keys, "seq", "_size", limits, stamp, chunk_rows).alias("f")
+def _planned(sized: DataFrame, keys: list[str], limits: Limits, stamp: str | None, chunk_rows: int, dear: bool) -> DataFrame:
+    """`sized` without `_size`, planned. NULL is a destination like any other.
+
+    What the plan needs is worked out once and written, as counting and planning both read it: only the numbers of
+    rows that cost little to read again for the join back, all columns of `dear` ones.
+    """
+    narrow = [c for c in dict.fromkeys([*keys, stamp, "seq", "_size"]) if c]
+    written = pin(sized if dear else sized.select(*narrow), "sized")
+    found = assign_batches(written, keys, "seq", "_size", limits, stamp, chunk_rows).alias("f")
+    rows = written if dear else sized.drop("_size")
     same = F.col("r.seq") == F.col("f.seq")
     for key in keys:
         same = same & F.col(f"r.{key}").eqNullSafe(F.col(f"f.{key}"))
-    joined = sized.alias("r").join(found, same)
-    return joined.select(*[F.col(f"r.{c}") for c in sized.columns if c != "_size"], "batch_no", "index_in_batch")
+    joined = rows.alias("r").join(found, same)
+    return joined.select(*[F.col(f"r.{c}") for c in rows.columns if c != "_size"], "batch_no", "index_in_batch")
 
 
 def _refused(problem: Column, value: Column) -> Column:
@@ -278,6 +311,17 @@ def _refused(problem: Column, value: Column) -> Column:
     return F.when(problem.isNull(), value).otherwise(F.raise_error(problem).cast("long"))
 
 
+def sized_events(events: DataFrame, overhead: int, bad_messages: str) -> DataFrame:
+    """Events with `_size`, their bytes in a batch; those that can't be sent raise or are left out."""
+    if bad_messages not in ("raise", "drop"):
+        raise ValueError("bad_messages must be 'raise' or 'drop'")
+    message = checks.check_message(F.col("message"))
+    if bad_messages == "drop":
+        events = events.filter(message.isNull())
+    problem = F.coalesce(message, F.when(F.col("timestamp_ms").isNull(), F.lit("an event has no time")))
+    return events.withColumn("_size", _refused(problem, (F.octet_length("message") + overhead).cast("long")))
+
+
 def plan_log_batches(
     events: DataFrame,
     max_events: int = checks.MAX_BATCH_EVENTS,
@@ -295,15 +339,9 @@ def plan_log_batches(
     Events of a destination go by time, ties by `seq`. A batch closes before an event that would be one too many,
     exceed the bytes (message plus overhead) or lie more than the span after the batch's first event.
     """
-    if bad_messages not in ("raise", "drop"):
-        raise ValueError("bad_messages must be 'raise' or 'drop'")
-    message = checks.check_message(F.col("message"))
-    if bad_messages == "drop":
-        events = events.filter(message.isNull())
-    problem = F.coalesce(message, F.when(F.col("timestamp_ms").isNull(), F.lit("an event has no time")))
-    sized = events.withColumn("_size", _refused(problem, (F.octet_length("message") + overhead).cast("long")))
+    sized = sized_events(events, overhead, bad_messages)
     limits = Limits(max_events, max_bytes, max_span_ms)
-    return _planned(sized, ["log_group", "log_stream"], limits, "timestamp_ms", chunk_rows)
+    return _planned(sized, ["log_group", "log_stream"], limits, "timestamp_ms", chunk_rows, dear=False)
 
 
 def plan_metric_batches(
@@ -314,4 +352,4 @@ def plan_metric_batches(
 ) -> DataFrame:
     """Adds `batch_no` and `index_in_batch` to data points, in input order (`seq`) per namespace and metric."""
     sized = data.withColumn("_size", datum_bytes())
-    return _planned(sized, ["namespace", "metric_name"], Limits(max_data, max_bytes), None, chunk_rows)
+    return _planned(sized, ["namespace", "metric_name"], Limits(max_data, max_bytes), None, chunk_rows, dear=True)

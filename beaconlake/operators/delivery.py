@@ -17,10 +17,10 @@ def _raise_when(problem: Column) -> Column:
     return F.when(problem.isNull(), True).otherwise(F.raise_error(problem).cast("boolean"))
 
 
-def _destination(value: str | Column, check) -> Column:
+def _destination(value: str | Column, rule: checks.NameRule) -> Column:
     if isinstance(value, Column):
         return value
-    checks.accept(value, check)
+    checks.accept(value, rule)
     return F.lit(value)
 
 
@@ -49,8 +49,8 @@ def to_put_events(
     text = F.col(f"`{message.name}`").cast("string") if message is not None else F.lit(None).cast("string")
     events = df.select(
         F.col(seq).alias("seq"),
-        _destination(log_group, checks.check_group_name).alias("log_group"),
-        _destination(log_stream, checks.check_stream_name).alias("log_stream"),
+        _destination(log_group, checks.GROUP).alias("log_group"),
+        _destination(log_stream, checks.STREAM).alias("log_stream"),
         event_time(df, now).alias("timestamp_ms"),
         F.coalesce(text, F.lit("")).alias("message"),
     )
@@ -91,7 +91,7 @@ def to_metric_data(df: DataFrame, namespace: str, seq: str, struct: str | None =
     names may repeat). Rows without a usable value are left out; a row without a name, with bad attribute JSON,
     with too many dimensions or with an infinite value raises.
     """
-    checks.accept(namespace, checks.check_namespace)
+    checks.accept(namespace, checks.NAMESPACE)
     df = _unpacked(df, seq, struct)
     name, value, unit = (pick(df, c) for c in (["name", "metric_name"], ["double_value", "value"], ["unit"]))
     attributes = pick(df, ["metric_attributes", "attributes"])
@@ -194,13 +194,8 @@ _RESPONSE = (
 )
 
 
-def reconcile_put(planned: DataFrame, responses: DataFrame, raise_on_reject: bool = False) -> DataFrame:
-    """Adds `status` to planned events: ok, expired, too_old, too_new, entity_rejected or unreadable_response.
-
-    NULL without a response. `responses` has one `body` per batch; a second answer to a batch raises. Expired and too
-    old hold through an index, too new from an index on, and a rejected entity rejects the whole batch. An answer that
-    is not a JSON object, or whose rejection members are not objects with whole numbers, says nothing about its events.
-    """
+def read_responses(responses: DataFrame, *kept: str) -> DataFrame:
+    """The batch of each response, the columns `kept`, `_unread` for one that can't be read, and its rejections."""
     tree = F.try_parse_json("body")
 
     def kind(path: str) -> Column:
@@ -213,22 +208,37 @@ def reconcile_put(planned: DataFrame, responses: DataFrame, raise_on_reject: boo
     unread = unread | other("$.rejectedLogEventsInfo", "OBJECT") | other("$.rejectedEntityInfo", "OBJECT")
     for member in ("expiredLogEventEndIndex", "tooOldLogEventEndIndex", "tooNewLogEventStartIndex"):
         unread = unread | other(f"$.rejectedLogEventsInfo.{member}", "BIGINT")
-    parsed = responses.select(*LOG_BATCH, unread.alias("unread"), F.from_json("body", _RESPONSE).alias("r"))
-    parsed = parsed.groupBy(*LOG_BATCH).agg(F.count("*").alias("_answers"), F.first(F.struct("unread", "r")).alias("a"))
-    twice = F.when(F.col("_answers") > 1, F.raise_error(F.lit("a batch has more than one response")).cast("boolean"))
-    parsed = parsed.select(*LOG_BATCH, F.coalesce(twice, F.lit(True)).alias("_answered"), F.col("a.unread").alias("_unread"), "a.r.*")
-    joined = planned.join(parsed, LOG_BATCH, "left")
-    at, info = F.col("index_in_batch"), "rejectedLogEventsInfo"
-    status = (
-        F.when(F.col("_answered").isNull(), F.lit(None).cast("string"))
+    read = responses.select(*LOG_BATCH, *kept, unread.alias("_unread"), F.from_json("body", _RESPONSE).alias("_r"))
+    return read.select(*LOG_BATCH, *kept, "_unread", "_r")
+
+
+def put_outcome() -> Column:
+    """The status of an event at `index_in_batch` from the response `_unread` and `_r` of its batch, NULL without one."""
+    at, info = F.col("index_in_batch"), "_r.rejectedLogEventsInfo"
+    return (
+        F.when(F.col("_unread").isNull(), F.lit(None).cast("string"))
         .when(F.col("_unread"), "unreadable_response")
-        .when(F.col("rejectedEntityInfo").isNotNull(), "entity_rejected")
+        .when(F.col("_r.rejectedEntityInfo").isNotNull(), "entity_rejected")
         .when(at <= F.col(f"{info}.expiredLogEventEndIndex"), "expired")
         .when(at <= F.col(f"{info}.tooOldLogEventEndIndex"), "too_old")
         .when(at >= F.col(f"{info}.tooNewLogEventStartIndex"), "too_new")
         .otherwise("ok")
     )
-    outcomes = joined.select(*planned.columns, status.alias("status"))
+
+
+def reconcile_put(planned: DataFrame, responses: DataFrame, raise_on_reject: bool = False) -> DataFrame:
+    """Adds `status` to planned events: ok, expired, too_old, too_new, entity_rejected or unreadable_response.
+
+    NULL without a response. `responses` has one `body` per batch; a second answer to a batch raises. Expired and too
+    old hold through an index, too new from an index on, and a rejected entity rejects the whole batch. An answer that
+    is not a JSON object, or whose rejection members are not objects with whole numbers, says nothing about its events.
+    """
+    read = read_responses(responses).groupBy(*LOG_BATCH)
+    parsed = read.agg(F.count("*").alias("_answers"), F.first(F.struct("_unread", "_r")).alias("a"))
+    twice = F.raise_error(F.lit("a batch has more than one response")).cast("boolean")
+    unread = F.when(F.col("_answers") > 1, twice).otherwise(F.col("a._unread"))
+    parsed = parsed.select(*LOG_BATCH, unread.alias("_unread"), F.col("a._r").alias("_r"))
+    outcomes = planned.join(parsed, LOG_BATCH, "left").select(*planned.columns, put_outcome().alias("status"))
     if raise_on_reject:
         rejected = F.when(F.col("status") != "ok", F.concat(F.lit("a batch was partially accepted: "), "status"))
         outcomes = outcomes.filter(_raise_when(rejected))

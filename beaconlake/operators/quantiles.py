@@ -24,7 +24,7 @@ def _match(keys: Sequence[str]) -> Column:
     return same
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Adds the columns of `groups`, one row per key, to the rows; NULL keys match NULL keys.
 
     Spark's adaptive execution broadcasts `groups` only when its measured size allows, and splits hot keys.
@@ -33,7 +33,7 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> Data
         *[F.col(key).alias(f"_g{i}") for i, key in enumerate(keys)],
         *[F.col(name) for name in groups.columns if name not in keys],
     )
-    return rows.join(renamed, _match(keys)).drop(*[f"_g{i}" for i in range(len(keys))])
+    return rows.join(renamed, _match(keys), how).drop(*[f"_g{i}" for i in range(len(keys))])
 
 
 def group_percentiles(

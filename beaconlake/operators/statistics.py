@@ -93,11 +93,13 @@ def _plain(name: str) -> Column:
     }[name]
 
 
-def _bounded(found: Statistic) -> Column:
-    """A percentile-based statistic of rows that carry their group's thresholds q0 (and q1)."""
-    value, q0 = F.col("value"), F.col("q0")
+def _bounded(found: Statistic, limits: Sequence[str] = ("q0", "q1")) -> Column:
+    """A percentile-based statistic of rows that carry their group's thresholds in the columns `limits`."""
+    value, q0 = F.col("value"), F.col(limits[0])
+    if found.kind == "p":
+        return F.max(q0)
     if found.kind == "iqm":
-        return F.avg(F.when((value >= q0) & (value <= F.col("q1")), value))
+        return F.avg(F.when((value >= q0) & (value <= F.col(limits[1])), value))
     if found.kind == "wm":
         return F.avg(F.least(value, q0))
     kept = F.when(value <= q0, value)
@@ -125,19 +127,33 @@ def period_statistic(
 
 
 def metric_rollup(points: DataFrame, period: int, names: Sequence[str] = tuple(PLAIN), by: Sequence[str] = ()):
-    """Plain statistics of every series at once: by namespace, metric and dimensions, or by `by` instead."""
+    """Statistics of every series at once: by namespace, metric and dimensions, or by `by` instead.
+
+    Takes every statistic that `statistic` reads. The thresholds of all percentile-based ones come from one pass of exact
+    percentiles over all series, and one more pass aggregates everything.
+    """
     found = [statistic(name) for name in names]
-    if any(f.kind != "plain" for f in found):
-        raise ValueError("a rollup computes plain statistics only; use period_statistic for the others")
     keyed = points.withColumn("bucket_ms", period_bucket(F.col("timestamp_ms"), period))
     if not by:
         keyed = keyed.withColumn("dimensions_key", dimensions_key(F.col("dimensions")))
         by = ["namespace", "metric_name", "dimensions_key"]
-    return keyed.groupBy(*by, "bucket_ms").agg(*[_plain(f.name).alias(_snake(f.name)) for f in found])
+    keys = [*by, "bucket_ms"]
+    rows = keyed.select(*keys, "value")
+    bounds = sorted({bound for one in found for bound in one.bounds})
+    if bounds:
+        limits = pin(group_percentiles(rows, keys, "value", [bound / 100 for bound in bounds]), "limits")
+        rows = join_groups(rows, limits, keys, "left")
+    at = {bound: f"q{i}" for i, bound in enumerate(bounds)}
+
+    def one(f: Statistic) -> Column:
+        return _plain(f.name) if f.kind == "plain" else _bounded(f, [at[bound] for bound in f.bounds])
+
+    return rows.groupBy(*keys).agg(*[one(f).alias(column_name(f.name)) for f in found])
 
 
-def _snake(name: str) -> str:
-    return re.sub(r"(?<!^)(?=[A-Z])", "_", name).lower()
+def column_name(name: str) -> str:
+    """A statistic's name as a column: `sample_count`, `p99_9`."""
+    return re.sub(r"(?<!^)(?=[A-Z])", "_", name).lower().replace(".", "_")
 
 
 def metric_cardinality(points: DataFrame) -> DataFrame:

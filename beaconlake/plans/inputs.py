@@ -114,11 +114,11 @@ def group_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An inventory of stream names in existing groups: one per event."""
-    e = table(spark, sf_dir, "events").filter(F.col("event_type") != "signup")
-    return e.select(
+    """An inventory of stream names in existing groups: one per event, without a group for sign-ups, whose group does
+    not exist."""
+    return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("seq"),
-        _text("/app/", F.col("event_type")).alias("log_group"),
+        F.when(F.col("event_type") != "signup", _text("/app/", F.col("event_type"))).alias("log_group"),
         F.when(F.col("value") >= 1, _text("stream-", F.col("user_id") % 8)).alias("log_stream"),
     )
 
@@ -267,6 +267,32 @@ def token_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chained_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Response pages that only their tokens put in order.
+
+    Events are five long chains. Customers are 50 chains: every second leads from its third page back to the second, and
+    one lacks its first page. Orders are chains of three pages, a third of them without the second. Suppliers are single
+    pages, half of which name a page that was not landed, each with a page that names itself and that none leads to.
+    """
+
+    def page(rows: DataFrame, kind: str, of: Column, number: Column, following: Column) -> DataFrame:
+        token = lambda n: F.when(n > 0, _text(f"{kind}-", n)).otherwise("")
+        return rows.select(
+            _text(f"{kind}/", of).alias("request_id"), token(number).alias("token_in"), token(following).alias("next_token")
+        )
+
+    event, customer, order, supplier = F.col("event_id"), F.col("c_custkey"), F.col("o_orderkey"), F.col("s_suppkey")
+    chains = page(table(spark, sf_dir, "events"), "event", event % 5, F.floor(event / 5), F.floor(event / 5) + 1)
+    at = F.floor(customer / 50)
+    rings = page(table(spark, sf_dir, "customer"), "customer", customer % 50, at, F.when((at == 2) & (customer % 2 == 0), 1).otherwise(at + 1))
+    parts = table(spark, sf_dir, "orders").select("o_orderkey", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("n"))
+    short = page(parts.filter((F.col("n") != 1) | (order % 3 != 0)), "order", order, F.col("n"), (F.col("n") + 1) % 3)
+    suppliers = table(spark, sf_dir, "supplier")
+    alone = page(suppliers, "supplier", supplier, F.lit(0), F.when(supplier % 2 == 0, 0).otherwise(7))
+    stray = page(suppliers, "supplier", supplier, F.lit(8), F.lit(8))
+    return chains.unionByName(rings).unionByName(short).unionByName(alone).unionByName(stray)
+
+
 def log_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page of log events per event: a full event and one that lacks most members."""
     e = raw_events(spark, sf_dir)
@@ -413,8 +439,8 @@ def alarm_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def graph_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Service-graph pages: nations are services, trade between them gives the edges.
 
-    Nations from 20 on are known only as aliases, nation 3 appears twice, and trade within a nation has no
-    statistics.
+    Nation 24 is known only as an alias, nations from 20 on have one, nation 3 appears twice, and trade within a nation has
+    no statistics.
     """
     lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
@@ -456,7 +482,7 @@ def graph_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("s_nationkey")
         .agg(F.array_join(F.array_sort(F.collect_list(edge)), ",").alias("edges"))
     )
-    sellers = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") < 20)
+    sellers = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") < 24)
     service = _text(
         '{"ReferenceId":', F.col("n_nationkey"), ',"Name":"', F.col("n_name"), '","Type":"nation","State":"active",',
         '"Root":', F.when(F.col("n_regionkey") == 0, "true").otherwise("false"), ',"AccountId":"00', F.col("n_nationkey"),

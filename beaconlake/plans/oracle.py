@@ -37,9 +37,9 @@ GROUP_NAMES = """inv AS (
          WHEN c_nationkey < 8 THEN '/app/error' ELSE '/nation/' || c_nationkey END AS log_group
   FROM customer)"""
 STREAM_NAMES = """inv AS (
-  SELECT event_id AS seq, '/app/' || event_type AS log_group,
+  SELECT event_id AS seq, CASE WHEN event_type <> 'signup' THEN '/app/' || event_type END AS log_group,
          CASE WHEN value >= 1 THEN 'stream-' || (user_id % 8) END AS log_stream
-  FROM events WHERE event_type <> 'signup')"""
+  FROM events)"""
 _DAYS = ", ".join(str(d) for d in RETENTION_DAYS)
 SETTINGS = f"""st AS (
   SELECT c_custkey AS seq, CASE WHEN c_acctbal >= 0 THEN '/crm/' || lower(c_mktsegment) END AS log_group,
@@ -133,6 +133,12 @@ def _events(where: str = "", tail: str = "") -> str:
     return f"WITH {EV} SELECT {_EV_COLUMNS} FROM ev {where} {tail}"
 
 
+def _attached_logs() -> str:
+    """The rows of all log views, each with the view's name."""
+    rows = _otlp(f"JOIN (SELECT DISTINCT log_group FROM reg WHERE log_stream IS NULL) USING (log_group) WHERE timestamp_ms >= {NOW_MS - 30 * DAY} AND timestamp_ms < {NOW_MS}")
+    return rows.replace(f"WITH {EV}", f"WITH {EV}, {REG}", 1).replace("SELECT make_timestamp", "SELECT 'logs.' || log_group AS relation, make_timestamp", 1)
+
+
 _BUCKET = f"timestamp_ms // {6 * 3_600_000} * {6 * 3_600_000}"
 
 
@@ -165,8 +171,8 @@ outcome AS (
 _LOG_BODIES = f"""bodies AS (
   SELECT doc_id, {EPOCH_2024} + doc_id * 1000 AS stamp, text, source,
          CASE WHEN n_chars < 1000 THEN '/app/error' ELSE '/app/absent' END AS log_group,
-         CASE lang WHEN 'de' THEN 'each log event requires a message' WHEN 'fr' THEN 'the body is not a JSON object'
-                   WHEN 'es' THEN 'logGroupName and logStreamName are required' END AS reason
+         CASE lang WHEN 'de' THEN 'an event has no text as message' WHEN 'fr' THEN 'the body is not a JSON object'
+                   WHEN 'es' THEN 'the body names no log group or no log stream' END AS reason
   FROM documents),
 received AS (
   SELECT log_group, 'stream-1' AS log_stream, stamp AS timestamp_ms, CAST({NOW_MS} AS BIGINT) AS ingestion_time_ms,
@@ -188,9 +194,9 @@ _METRIC_BODIES = f"""
 _DESTINATIONS = f"""{EV}, {REG},
 grp AS (SELECT DISTINCT log_group FROM reg WHERE log_stream IS NULL),
 str AS (SELECT DISTINCT log_group, log_stream FROM reg WHERE log_stream IS NOT NULL)"""
-_PROBLEM = """CASE WHEN e.log_group NOT IN (SELECT log_group FROM grp) THEN 'The specified log group does not exist'
+_PROBLEM = """CASE WHEN e.log_group NOT IN (SELECT log_group FROM grp) THEN 'the log group is not registered'
        WHEN (e.log_group, e.log_stream) NOT IN (SELECT (log_group, log_stream) FROM str)
-       THEN 'The specified log stream does not exist' END AS problem"""
+       THEN 'the log stream is not registered' END AS problem"""
 
 _GROUP_OUTCOMES = f"""{EV}, {REG}, {GROUP_NAMES},
 have AS (SELECT DISTINCT log_group FROM reg WHERE log_stream IS NULL),
@@ -236,7 +242,7 @@ svc AS (
   SELECT n_nationkey AS id, n_name AS name, '{"AccountId":"00' || n_nationkey || '","Root":'
          || CASE WHEN n_regionkey = 0 THEN 'true' ELSE 'false' END || ',"State":"active","Names":["' || n_name
          || '"],"StartTime":1704067200}' AS attributes
-  FROM nation WHERE n_nationkey < 20)"""
+  FROM nation WHERE n_nationkey < 24)"""
 
 _SPLIT = f"CASE WHEN timestamp_ms < {EPOCH_2024 + 6 * DAY} THEN 'too_old' WHEN timestamp_ms > {EPOCH_2024 + 22 * DAY} THEN 'too_new' END"
 
@@ -323,7 +329,24 @@ SQL: dict[str, str] = {
     "metric_trimmed_sum": _bounded("round(sum(value) FILTER (value <= q90), 9)"),
     "metric_winsorized": _bounded("round(avg(least(value, q90)), 9)"),
     "metric_iqm": _bounded("round(avg(value) FILTER (value >= q25 AND value <= q75), 9)"),
+    "metric_percentile_approx": f"WITH {MD} SELECT DISTINCT metric_name, {_BUCKET} AS bucket_ms, true AS within FROM md",
     "metric_rollup": _roll(),
+    "metric_rollup_all": f"""WITH {MD},
+b AS (SELECT namespace, metric_name, {SERIES} AS dimensions_key, timestamp_ms // {DAY} * {DAY} AS bucket_ms, value FROM md),
+q AS (
+  SELECT namespace, metric_name, dimensions_key, bucket_ms, quantile_cont(value, 0.9) AS q90, quantile_cont(value, 0.25) AS q25,
+         quantile_cont(value, 0.75) AS q75
+  FROM b GROUP BY ALL)
+SELECT namespace, metric_name, dimensions_key, bucket_ms, round(sum(value), 9) AS sum, round(avg(value), 9) AS average,
+       max(value) AS maximum, min(value) AS minimum, CAST(count(value) AS DOUBLE) AS sample_count, round(any_value(q90), 9) AS p90,
+       round(avg(value) FILTER (value <= q90), 9) AS tm90, CAST(count(*) FILTER (value <= q90) AS DOUBLE) AS tc90,
+       round(sum(value) FILTER (value <= q90), 9) AS ts90, round(avg(least(value, q90)), 9) AS wm90,
+       round(avg(value) FILTER (value >= q25 AND value <= q75), 9) AS iqm
+FROM b JOIN q USING (namespace, metric_name, dimensions_key, bucket_ms) GROUP BY ALL""",
+    "metric_rollup_sketches": f"""WITH {MD} SELECT metric_name, timestamp_ms // {DAY} * {DAY} AS bucket_ms, round(sum(value), 9) AS sum,
+       round(avg(value), 9) AS average, max(value) AS maximum, min(value) AS minimum, CAST(count(value) AS DOUBLE) AS sample_count,
+       true AS p50_within, true AS p90_within, true AS p99_within, true AS distinct_within
+FROM md GROUP BY ALL""",
     "metric_cardinality": f"WITH {MD} SELECT count(DISTINCT (namespace, metric_name, svc, ns)) AS series FROM md",
     "otlp_gauge": f"""WITH {MD}, b AS (
           SELECT timestamp_ms // 3600000 * 3600000 AS bucket_ms, max(value) AS value FROM md
@@ -369,6 +392,24 @@ SQL: dict[str, str] = {
         again AS (SELECT *, min(page_no) OVER (PARTITION BY request_id, next_token) AS first_page FROM pg),
         ends AS (SELECT request_id, min(page_no) AS e FROM again WHERE next_token = '' OR page_no > first_page GROUP BY ALL)
         SELECT pg.* FROM pg LEFT JOIN ends USING (request_id) WHERE e IS NULL OR page_no <= e""",
+    "order_pages": """WITH RECURSIVE numbered(request_id, n, after) AS (
+  SELECT 'event/' || (event_id % 5), event_id // 5, event_id // 5 + 1 FROM events
+  UNION ALL SELECT 'customer/' || (c_custkey % 50), c_custkey // 50,
+    CASE WHEN c_custkey // 50 = 2 AND c_custkey % 2 = 0 THEN 1 ELSE c_custkey // 50 + 1 END FROM customer
+  UNION ALL SELECT 'order/' || o_orderkey, n, (n + 1) % 3 FROM orders, range(3) r(n) WHERE n <> 1 OR o_orderkey % 3 <> 0
+  UNION ALL SELECT 'supplier/' || s_suppkey, 0, CASE WHEN s_suppkey % 2 = 0 THEN 0 ELSE 7 END FROM supplier
+  UNION ALL SELECT 'supplier/' || s_suppkey, 8, 8 FROM supplier),
+p AS (
+  SELECT request_id, split_part(request_id, '/', 1) AS kind, n, after, count(*) OVER (PARTITION BY request_id) AS pages
+  FROM numbered),
+walk AS (
+  SELECT *, CAST(0 AS BIGINT) AS page_no FROM p WHERE n = 0
+  UNION ALL
+  SELECT p.*, w.page_no + 1 FROM walk w JOIN p ON p.request_id = w.request_id AND p.n = w.after
+  WHERE w.after > 0 AND w.after <> w.n AND w.page_no + 1 < w.pages)
+SELECT request_id, CASE WHEN n > 0 THEN kind || '-' || n ELSE '' END AS token_in,
+  CASE WHEN after > 0 THEN kind || '-' || after ELSE '' END AS next_token, min(page_no) AS page_no
+FROM walk GROUP BY ALL""",
     "open_alarms": f"""WITH {_ALARMS}
         SELECT arn AS alarm_arn, s_name AS alarm_name,
                CASE box WHEN 0 THEN 'MetricAlarm' WHEN 1 THEN 'CompositeAlarm' ELSE 'LogAlarm' END AS alarm_type, status,
@@ -405,12 +446,7 @@ SQL: dict[str, str] = {
                CASE WHEN buyer >= 20 THEN '{{"Aliases":[{{"Name":"alias ' || n.n_name || '","Type":"external"}}]}}' END
                  AS edge_attributes
         FROM trade JOIN svc s ON s.id = seller JOIN nation n ON n.n_nationkey = buyer LEFT JOIN svc t ON t.id = buyer""",
-    "attach": f"""WITH {EV}, {REG}, {_ALARMS}, {_TRADE}
-        SELECT 'logs.' || g.log_group AS relation, count(e.event_id) AS relation_rows
-        FROM (SELECT DISTINCT log_group FROM reg WHERE log_stream IS NULL) g LEFT JOIN ev e ON e.log_group = g.log_group
-             AND timestamp_ms >= {NOW_MS - 30 * DAY} AND timestamp_ms < {NOW_MS} GROUP BY ALL
-        UNION ALL SELECT 'alerts.open', count(*) FROM first WHERE place = 1
-        UNION ALL SELECT 'service_map.dependencies', count(*) FROM trade WHERE seller < 20""",
+    "attach": _attached_logs(),
     "describe_groups": f"""WITH {EV}, {REG} SELECT log_group, retention_in_days, created_ms FROM reg
         WHERE log_stream IS NULL AND starts_with(log_group, '/crm/') ORDER BY log_group""",
     "describe_streams": f"""WITH {EV}, {REG}, n AS (
@@ -428,10 +464,10 @@ SQL: dict[str, str] = {
         UNION ALL SELECT log_group, NULL, NULL, {NOW_MS} FROM judged
         WHERE log_group IS NOT NULL AND NOT known AND first_row""",
     "create_streams": f"""WITH {_STREAM_OUTCOMES}
-        SELECT seq, log_group, log_stream, {_CREATED.format(name='log_stream')} AS outcome FROM judged""",
+        SELECT seq, log_group, log_stream, {_CREATED.format(name='log_group || log_stream')} AS outcome FROM judged""",
     "create_streams_registry": f"""WITH {_STREAM_OUTCOMES} SELECT * FROM reg
         UNION ALL SELECT log_group, log_stream, NULL, {NOW_MS} FROM judged
-        WHERE log_stream IS NOT NULL AND NOT known AND first_row""",
+        WHERE log_group IS NOT NULL AND log_stream IS NOT NULL AND NOT known AND first_row""",
     "put_retention": f"""WITH {EV}, {REG}, {SETTINGS},
         last AS (SELECT log_group, max_by(retention_in_days, seq) AS days FROM st WHERE log_group IS NOT NULL GROUP BY ALL)
         SELECT log_group, log_stream,
@@ -476,29 +512,29 @@ SQL: dict[str, str] = {
     "event_ids": """SELECT doc_id, lpad(CAST(doc_id + 12345678900000 AS VARCHAR), 19, '0') || lpad(CAST(n_chars + 1000000 AS VARCHAR), 10, '0')
         AS event_id FROM documents""",
     "check_names": r"""SELECT doc_id,
-          CASE WHEN text = '' THEN 'log_group must not be empty'
-               WHEN octet_length(encode(text)) > 512 THEN 'log_group must be at most 512 bytes'
-               WHEN NOT regexp_full_match(text, '[A-Za-z0-9._/#-]+') THEN 'log_group contains an invalid character' END
+          CASE WHEN text = '' THEN 'the log group is missing or empty'
+               WHEN octet_length(encode(text)) > 512 THEN 'the log group has over 512 bytes'
+               WHEN NOT regexp_full_match(text, '[A-Za-z0-9._/#-]+') THEN 'the log group has a character other than letters, digits and . _ / # -' END
             AS group_problem,
-          CASE WHEN text = '' THEN 'log_stream must not be empty'
-               WHEN octet_length(encode(text)) > 512 THEN 'log_stream must be at most 512 bytes'
-               WHEN contains(text, ':') OR contains(text, '*') THEN 'log_stream must not contain '':'' or ''*''' END
+          CASE WHEN text = '' THEN 'the log stream is missing or empty'
+               WHEN octet_length(encode(text)) > 512 THEN 'the log stream has over 512 bytes'
+               WHEN contains(text, ':') OR contains(text, '*') THEN 'the log stream has a colon or an asterisk' END
             AS stream_problem,
-          CASE WHEN lang = 'de' THEN 'the AWS/ namespace is reserved' END AS namespace_problem
+          CASE WHEN lang = 'de' THEN 'the namespace begins with AWS/, which is taken' END AS namespace_problem
         FROM documents""",
     "check_retention": f"""SELECT c_custkey, CASE WHEN c_custkey NOT IN ({_DAYS})
-        THEN 'retention_in_days is not a supported value' END AS problem FROM customer""",
-    "check_message": """SELECT doc_id, CASE WHEN lang = 'es' OR text = '' THEN 'message must not be empty'
+        THEN 'the retention is none of the settings that can be stored' END AS problem FROM customer""",
+    "check_message": """SELECT doc_id, CASE WHEN lang = 'es' OR text = '' THEN 'the message is missing or empty'
         WHEN octet_length(encode(text)) * CASE WHEN lang = 'fr' THEN 600 ELSE 1 END > 1048576 - 26
-        THEN 'message is too large' END AS problem FROM documents""",
-    "validate_put": """SELECT doc_id AS seq, CASE WHEN lang = 'es' THEN 'message must not be empty'
-        WHEN lang = 'de' AND doc_id % 10 = 0 THEN 'message is too large' END AS problem FROM documents""",
+        THEN 'the message does not fit into a batch' END AS problem FROM documents""",
+    "validate_put": """SELECT doc_id AS seq, CASE WHEN lang = 'es' THEN 'the message is missing or empty'
+        WHEN lang = 'de' AND doc_id % 10 = 0 THEN 'the message does not fit into a batch' END AS problem FROM documents""",
     "plan_valid_batches": """SELECT lang AS log_group, count(*) AS events FROM documents
         WHERE lang IS DISTINCT FROM 'es' AND NOT (lang IS NOT DISTINCT FROM 'de' AND doc_id % 10 = 0) GROUP BY lang""",
-    "check_metric": """SELECT event_id, CASE WHEN event_type = 'signup' THEN 'metric name must not be empty'
-        WHEN value > 20 THEN 'metric_attributes is not valid JSON'
-        WHEN user_id % 40 + 1 > 30 THEN 'a metric may carry at most 30 dimensions'
-        WHEN event_type = 'view' THEN 'metric value must be finite' END AS problem FROM events""",
+    "check_metric": """SELECT event_id, CASE WHEN event_type = 'signup' THEN 'the metric has no name'
+        WHEN value > 20 THEN 'the attributes can''t be read as JSON'
+        WHEN user_id % 40 + 1 > 30 THEN 'the metric has over 30 dimensions'
+        WHEN event_type = 'view' THEN 'the value is infinite or not a number' END AS problem FROM events""",
     "check_metric_age": f"WITH {MD} SELECT metric_name, timestamp_ms, CASE WHEN timestamp_ms < {EPOCH_2024 + 6 * DAY} THEN 'too_old' WHEN timestamp_ms > {EPOCH_2024 + 20 * DAY + 7_200_000} THEN 'too_new' END AS verdict FROM md",
     "to_put_events": f"WITH {PUT} SELECT * FROM pe",
     "plan_log_batches": f"""WITH RECURSIVE {_log_plan()}
@@ -534,8 +570,8 @@ SQL: dict[str, str] = {
     "decode_put_log_dead_letters": f"WITH {_LOG_BODIES} SELECT doc_id AS body_seq, reason FROM bodies WHERE reason IS NOT NULL",
     "decode_put_metric_bodies": _METRIC_BODIES,
     "decode_put_metric_dead_letters": """SELECT event_id AS body_seq, CASE event_type
-        WHEN 'view' THEN 'the body has an invalid escape' WHEN 'purchase' THEN 'Namespace is required'
-        ELSE 'each data point requires a value' END AS reason
+        WHEN 'view' THEN 'the body has an invalid escape' WHEN 'purchase' THEN 'the body names no namespace'
+        ELSE 'a data point has no value' END AS reason
         FROM events WHERE event_type IN ('view', 'purchase', 'error')""",
     "metric_round_trip": f"""WITH {GAUGE}, {DATA} SELECT namespace, metric_name, timestamp_seconds * 1000 AS timestamp_ms,
         value, unit, '{{"host":"' || host || '","service.name":"' || service || '","zone":"' || zone || '"}}' AS dimensions
@@ -550,6 +586,32 @@ SQL: dict[str, str] = {
     "stream_metric_rollup": _roll(""),
 }
 SQL["decode_metric_pages_xml"] = SQL["decode_metric_pages"]
+SQL["attach_alarms"] = SQL["open_alarms"]
+SQL["attach_edges"] = SQL["service_dependencies"].replace("TIMESTAMP '2024-01-01'", "TIMESTAMP '2024-01-01 00:00:00'")
+SQL["read_logs_function"] = _otlp(
+    f"WHERE log_group = '/app/error' AND contains(message, 'user=1') AND log_stream IN ('stream-1', 'stream-3') AND timestamp_ms >= {NOW_MS - 20 * DAY} AND timestamp_ms < {NOW_MS}"
+)
+SQL["read_metrics_function"] = f"""WITH {MD} SELECT make_timestamp(timestamp_ms // 3600000 * 3600000 * 1000) AS time_unix_nano, metric_name AS name,
+    'Bytes' AS unit, max(value) AS double_value FROM md WHERE metric_name = 'purchase' AND unit = 'Bytes' AND timestamp_ms > {NOW_MS - 25 * DAY} GROUP BY ALL"""
+SQL["read_dependencies_function"] = SQL["service_dependencies"]
+SQL["delete_stored_groups"] = f"""WITH {_GROUP_OUTCOMES} SELECT *, strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m-%d') AS event_date FROM ev
+    WHERE log_group NOT IN (SELECT log_group FROM judged WHERE log_group IS NOT NULL AND known)"""
+SQL["stream_ingest_created"] = f"""WITH {_DESTINATIONS}, {_LOG_BODIES} SELECT * FROM reg
+    UNION ALL SELECT log_group, NULL, NULL, min(ingestion_time_ms) FROM received
+    WHERE log_group NOT IN (SELECT log_group FROM grp) GROUP BY log_group
+    UNION ALL SELECT log_group, log_stream, NULL, min(ingestion_time_ms) FROM received
+    WHERE (log_group, log_stream) NOT IN (SELECT (log_group, log_stream) FROM str) GROUP BY log_group, log_stream"""
+SQL["stream_ingest_kept"] = f"WITH {_LOG_BODIES} SELECT * FROM received"
+SQL["stream_ingest_redelivered"] = SQL["stream_ingest_logs"]
+SQL["stream_log_batches"] = SQL["plan_log_batches"]
+SQL["stream_closed_batches"] = f"""WITH RECURSIVE {_log_plan()},
+    ends AS (
+      SELECT log_group, log_stream, batch_no, count(*) AS events, CAST(sum(octet_length(encode(message)) + 26) AS BIGINT) AS bytes,
+             min(timestamp_ms) AS first_ms, max(timestamp_ms) AS last_ms FROM planned GROUP BY ALL),
+    next AS (SELECT log_group, batch_no - 1 AS batch_no, octet_length(encode(message)) + 26 AS more FROM planned WHERE index_in_batch = 0)
+    SELECT e.*, CASE WHEN events >= 10000 THEN 'events' WHEN bytes + more > 1048576 THEN 'bytes' ELSE 'span' END AS closed_by
+    FROM ends e JOIN next USING (log_group, batch_no)"""
+SQL["stream_put_outcomes"] = SQL["reconcile_put"]
 
 # Log request bodies as JSON text.
 SQL["encode_log_batches"] = f"""WITH RECURSIVE {_log_plan()}

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from beaconlake import storage
 from beaconlake.functions import attributes as A
 from beaconlake.functions import checks, times
-from beaconlake.operators import batching, delivery, ordering, registry, statistics
+from beaconlake.operators import batching, delivery, ordering, quantiles, registry, sketches, statistics
 from beaconlake.plans import inputs
 from beaconlake.plans.inputs import EPOCH_2024, NAMESPACE, NOW_MS, table
-from beaconlake.sources import alarms, bodies, catalog, graph, logs, metrics, pages, results
-from beaconlake.streaming import ingest, rollup, tables
+from beaconlake.sources import alarms, bodies, catalog, graph, logs, metrics, pages, results, table_functions
+from beaconlake.streaming import batches, ingest, outcomes, rollup, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -229,10 +229,25 @@ for _name, _key in {
     _statistic(_name, _key)
 
 
+def _with_ranks(points: DataFrame, found: DataFrame, period: int, shares: dict[str, float]) -> DataFrame:
+    """`found` (by metric and period) with how many values are below each of its named columns, and how many up to it."""
+    rows = points.withColumn("bucket_ms", statistics.period_bucket(F.col("timestamp_ms"), period))
+    joined = rows.select("metric_name", "bucket_ms", "value").join(found, ["metric_name", "bucket_ms"])
+    counts = [
+        F.count(F.when(F.col("value") < F.col(name) if side == "below" else F.col("value") <= F.col(name), 1)).alias(f"{name}_{side}")
+        for name in shares for side in ("below", "upto")
+    ]
+    return joined.groupBy(*found.columns).agg(F.count(F.lit(1)).alias("values"), F.count_distinct("value").alias("different"), *counts)
+
+
 @query
 def metric_percentile_approx(spark, d):
+    """Whether the rank of each value is within the sketch's accuracy of the wanted one."""
     points = inputs.raw_metrics(spark, d)
-    return statistics.period_statistic(points, "p90", 6 * 3600, by=["metric_name"], approx=True)
+    found = statistics.period_statistic(points, "p90", 6 * 3600, by=["metric_name"], approx=True)
+    ranked = _with_ranks(points, found.withColumnRenamed("value", "p90"), 6 * 3600, {"p90": 0.9})
+    within = sketches.rank_within("p90", 0.9, "p90_below", "p90_upto", "values", 1 / quantiles.ACCURACY)
+    return ranked.select("metric_name", "bucket_ms", within.alias("within"))
 
 
 @query
@@ -241,6 +256,33 @@ def metric_rollup(spark, d):
     return _rounded(found, "sum", "average")
 
 
+@query
+def metric_rollup_all(spark, d):
+    """Every kind of statistic of every series."""
+    names = [*statistics.PLAIN, "p90", "tm90", "tc90", "ts90", "wm90", "iqm"]
+    found = statistics.metric_rollup(inputs.raw_metrics(spark, d), 24 * 3600, names)
+    return _rounded(found, "sum", "average", "p90", "tm90", "ts90", "wm90", "iqm")
+
+
+@query
+def metric_rollup_sketches(spark, d):
+    """Minutes stored, merged to five minutes and these to days: plain statistics, and whether the sketches are within
+    their errors of the data points."""
+    points = inputs.raw_metrics(spark, d)
+    path = storage.scratch_path(spark, "sketches")
+    sketches.sketch_periods(points, 60, by=["metric_name"]).write.parquet(path)
+    merged = sketches.merge_periods(sketches.merge_periods(spark.read.parquet(path), 300), 24 * 3600)
+    shares = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+    found = sketches.read_sketches(merged, [*statistics.PLAIN, *shares])
+    ranked = _with_ranks(points, found, 24 * 3600, shares)
+    near = F.abs(F.col("distinct_values") - F.col("different")) <= sketches.DISTINCT_ERROR * F.col("different") + 1
+    return _rounded(ranked, "sum", "average").select(
+        "metric_name", "bucket_ms", "sum", "average", "maximum", "minimum", "sample_count",
+        *[sketches.rank_within(n, share, f"{n}_below", f"{n}_upto", "values").alias(f"{n}_within") for n, share in shares.items()],
+        near.alias("distinct_within"),
+    )
+
+
 @query
 def metric_cardinality(spark, d):
     return statistics.metric_cardinality(inputs.raw_metrics(spark, d))
@@ -308,6 +350,11 @@ def accept_pages_seen(spark, d):
     return pages.accept_pages(inputs.token_pages(spark, d), "seen")
 
 
+@query
+def order_pages(spark, d):
+    return pages.order_pages(inputs.chained_pages(spark, d))
+
+
 @query
 def open_alarms(spark, d):
     found = alarms.open_alarms(inputs.alarm_pages(spark, d))
@@ -319,19 +366,61 @@ def service_dependencies(spark, d):
     return graph.service_dependencies(inputs.graph_pages(spark, d), "2024-01-01", "2024-01-31", now=NOW_MS)
 
 
+def _attached(spark, d, *names: str):
+    """Landed tables attached; the views over them are read by SQL."""
+    root = storage.scratch_path(spark, "attach")
+    landed = {"events": inputs.raw_events, "registry": inputs.registry, "alarms": inputs.alarm_pages, "graph": inputs.graph_pages}
+    for name in names:
+        landed[name](spark, d).write.parquet(f"{root}/{name}")
+    window = {"start": "2024-01-01", "end": "2024-01-31"}
+    more = {"region": REGION} if "events" in names else {}
+    return catalog.attach(spark, {name: f"{root}/{name}" for name in names}, now=NOW_MS, **window, **more)
+
+
 @query
 def attach(spark, d):
-    """Relations of landed tables, each read through its view by SQL."""
-    root = storage.scratch_path(spark, "attach")
-    landed = {"events": inputs.raw_events, "alarms": inputs.alarm_pages, "graph": inputs.graph_pages}
-    landed["registry"] = inputs.registry
-    for name, source in landed.items():
-        source(spark, d).write.parquet(f"{root}/{name}")
-    attached = catalog.attach(spark, {name: f"{root}/{name}" for name in landed}, start="-30d", now=NOW_MS)
-    counts = [
-        spark.sql(f"SELECT '{name}' AS relation, count(*) AS relation_rows FROM `{name}`") for name in attached.names()
-    ]
-    return logs.union_logs(*counts)
+    """The rows of every log view, with the view's name."""
+    names = _attached(spark, d, "events", "registry").names()
+    return logs.union_logs(*[spark.sql(f"SELECT '{name}' AS relation, * FROM `{name}`") for name in names])
+
+
+@query
+def attach_alarms(spark, d):
+    _attached(spark, d, "alarms")
+    return spark.sql(f"SELECT * EXCEPT (alarm_actions), to_json(alarm_actions) AS alarm_actions FROM `{catalog.ALARMS}`")
+
+
+@query
+def attach_edges(spark, d):
+    _attached(spark, d, "graph")
+    return spark.sql(f"SELECT * FROM `{catalog.EDGES}`")
+
+
+def _functions(spark, d, name: str, source) -> None:
+    """The table function over one landed table, registered."""
+    path = storage.scratch_path(spark, f"landed-{name}")
+    source(spark, d).write.parquet(path)
+    table_functions.register(spark, {name: path}, region=REGION, now=NOW_MS)
+
+
+@query
+def read_logs_function(spark, d):
+    _functions(spark, d, "events", inputs.raw_events)
+    return spark.sql("""SELECT * FROM read_logs(log_group => '/app/error', filter => '"user=1"', start_time => '-20d',
+        log_streams => array('stream-1', 'stream-3'))""")
+
+
+@query
+def read_metrics_function(spark, d):
+    _functions(spark, d, "metrics", inputs.raw_metrics)
+    return spark.sql(f"""SELECT * FROM read_metrics(namespace => '{NAMESPACE}', metric_name => 'purchase', statistic => 'Maximum',
+        period => 3600, start_time => '-25d', unit => 'Bytes')""")
+
+
+@query
+def read_dependencies_function(spark, d):
+    _functions(spark, d, "graph", inputs.graph_pages)
+    return spark.sql("SELECT * FROM read_service_dependencies(end_time => '2024-01-31', start_time => '2024-01-01T00:00:00Z')")
 
 
 # Registry
@@ -411,6 +500,16 @@ def delete_groups_events(spark, d):
     return _deleted(spark, d)[1]
 
 
+@query
+def delete_stored_groups(spark, d):
+    """What is left of the received table, of which only days that hold a deleted group are written anew."""
+    path = storage.scratch_path(spark, "stored")
+    tables.append_events(inputs.raw_events(spark, d), path)
+    tables.delete_stored_groups(inputs.registry(spark, d), path, inputs.group_names(spark, d))
+    found = tables.read_events(spark, path)
+    return found.withColumn("event_date", F.col("event_date").cast("string"))
+
+
 @query
 def auto_create(spark, d):
     return registry.auto_create(inputs.registry(spark, d), inputs.raw_events(spark, d))
@@ -710,18 +809,90 @@ def append_metrics(spark, d):
 # Streaming
 
 
-@query
-def stream_ingest_logs(spark, d):
+def _log_intake(spark, d, times: int = 1, **how) -> str:
+    """Landed log bodies taken in, `times` times over in as many micro-batches; gives the folder."""
     root = storage.scratch_path(spark, "ingest-logs")
-    inputs.put_log_bodies(spark, d).write.parquet(f"{root}/bodies")
+    landed = inputs.put_log_bodies(spark, d)
+    for _ in range(times):
+        landed.coalesce(1).write.mode("append").parquet(f"{root}/bodies")
     inputs.registry(spark, d).write.parquet(f"{root}/registry")
-    stream = spark.readStream.schema(ingest.BODIES).parquet(f"{root}/bodies")
-    ingest.stream_ingest_logs(stream, f"{root}/registry", f"{root}/out", f"{root}/state").awaitTermination()
+    reader = spark.readStream.schema(ingest.BODIES)
+    stream = (reader.option("maxFilesPerTrigger", 1) if times > 1 else reader).parquet(f"{root}/bodies")
+    ingest.stream_ingest_logs(stream, f"{root}/registry", f"{root}/out", f"{root}/state", **how).awaitTermination()
+    return root
+
+
+def _taken_in(spark, root: str) -> DataFrame:
     accepted = tables.read_events(spark, f"{root}/out/events").drop("event_date")
     rejected = spark.read.parquet(f"{root}/out/rejected").drop("stream", "batch")
     return logs.union_logs(accepted.withColumn("problem", F.lit(None).cast("string")), rejected)
 
 
+@query
+def stream_ingest_logs(spark, d):
+    return _taken_in(spark, _log_intake(spark, d))
+
+
+@query
+def stream_ingest_redelivered(spark, d):
+    """Every body comes in two micro-batches and is taken in once."""
+    return _taken_in(spark, _log_intake(spark, d, times=2, redelivered="1 hour"))
+
+
+@query
+def stream_ingest_created(spark, d):
+    """The registry after an intake that creates what it does not know."""
+    root = _log_intake(spark, d, create=True)
+    return ingest.read_registry(spark, f"{root}/registry", f"{root}/out")
+
+
+@query
+def stream_ingest_kept(spark, d):
+    """The events of that intake, of which none is rejected."""
+    root = _log_intake(spark, d, create=True)
+    return tables.read_events(spark, f"{root}/out/events").drop("event_date")
+
+
+def _streamed_batches(spark, d) -> str:
+    root = storage.scratch_path(spark, "stream-batches")
+    events = inputs.put_events(spark, d)
+    # each destination's first half by time lands first, so that a batch stays open from one micro-batch to the next
+    middle = events.agg(F.percentile_approx("timestamp_ms", 0.5)).first()[0]
+    for part in (F.col("timestamp_ms") <= middle, F.col("timestamp_ms") > middle):
+        events.filter(part).coalesce(1).write.mode("append").parquet(f"{root}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
+    batches.write_log_batches(batches.stream_log_batches(stream, DAY_MS), f"{root}/out", f"{root}/state").awaitTermination()
+    return f"{root}/out"
+
+
+@query
+def stream_log_batches(spark, d):
+    return spark.read.parquet(f"{_streamed_batches(spark, d)}/planned").drop("stream", "batch")
+
+
+@query
+def stream_closed_batches(spark, d):
+    return spark.read.parquet(f"{_streamed_batches(spark, d)}/closed").drop("stream", "batch")
+
+
+@query
+def stream_put_outcomes(spark, d):
+    """Planned events and responses as streams; a late pair at the end takes both past the limit."""
+    root = storage.scratch_path(spark, "stream-outcomes")
+    planned = inputs.planned_logs(spark, d).drop("message")
+    sent = planned.withColumn("sent_ms", EPOCH_2024 + F.col("batch_no") * 10)
+    answers = inputs.put_responses(spark, d).withColumn("received_ms", EPOCH_2024 + F.col("batch_no") * 10 + 5)
+    for name, rows, stamp in (("sent", sent, "sent_ms"), ("answers", answers, "received_ms")):
+        last = rows.limit(1).withColumns({"log_group": F.lit("/last"), stamp: F.lit(NOW_MS)})
+        rows.unionByName(last).write.parquet(f"{root}/{name}")
+    streams = [spark.readStream.schema(x.schema).parquet(f"{root}/{n}") for n, x in (("sent", sent), ("answers", answers))]
+    found = outcomes.stream_put_outcomes(*streams).drop("sent_ms")
+    writer = found.writeStream.format("parquet").option("checkpointLocation", f"{root}/state").outputMode("append")
+    writer.trigger(availableNow=True).start(f"{root}/out").awaitTermination()
+    # a filter on the stream would reach its source, and the last pair would move no watermark
+    return spark.read.schema(found.schema).parquet(f"{root}/out").filter("log_group <> '/last'")
+
+
 @query
 def stream_ingest_metrics(spark, d):
     root = storage.scratch_path(spark, "ingest-metrics")

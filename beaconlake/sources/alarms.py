@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 from beaconlake import schemas
 from beaconlake.functions.attributes import filled
 from beaconlake.functions.times import iso_ms
-from beaconlake.sources.logs import as_columns
+from beaconlake.sources.logs import as_columns, explode_once
 from beaconlake.sources.pages import accept_pages
+from beaconlake.storage import pin
 
 # The functions below travel to executors with their code, so executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -39,13 +40,13 @@ _ALARM = (
 _ALARMS = T.ArrayType(_ALARM)
 _PAGE = T.StructType().add(
     "DescribeAlarmsResult",
-    T.StructType([T.StructField(name, T.StructType().add("member", _ALARMS)) for name in CONTAINERS]),
+    T.StructType([T.StructField(name, T.StructType().add("member", _ALARMS)) for name in CONTAINERS]).add("NextToken", "string"),
 )
 
 
-def open_state(alarms: DataFrame, column: str = "status") -> DataFrame:
-    """Alarms in one of the open states."""
-    return alarms.filter(F.col(column).isin(OPEN_STATES))
+def open_state(status: Column) -> Column:
+    """Whether a status is one of the open ones."""
+    return status.isin(OPEN_STATES)
 
 
 def _as_json(node: ElementTree.Element):
@@ -58,23 +59,24 @@ def _as_json(node: ElementTree.Element):
     return {tag: found[0] if len(found) == 1 else found for tag, found in sorted(groups.items())}
 
 
-def _configurations(page: str) -> list[list[str]]:
-    root = ElementTree.fromstring(page)
+def _configurations(page: str, wanted: set[tuple[int, int]]) -> list[list[str | None]]:
+    """The wanted alarms of a page, by container and member, as JSON; None for the others."""
     tags = {tag: None for tag in CONTAINERS}
-    for node in root.iter():
+    for node in ElementTree.fromstring(page).iter():
         tag = node.tag.rpartition("}")[2]
         if tag in tags and tags[tag] is None:
             tags[tag] = node
     texts = []
-    for container in tags.values():
+    for number, container in enumerate(tags.values()):
         members = [] if container is None else [n for n in container if n.tag.rpartition("}")[2] == "member"]
-        texts.append([json.dumps(_as_json(n), ensure_ascii=False, separators=(",", ":")) for n in members])
+        texts.append([json.dumps(_as_json(n), ensure_ascii=False, separators=(",", ":")) if (number, i) in wanted else None for i, n in enumerate(members)])
     return texts
 
 
 @F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
-def _configuration(pages: pd.Series) -> pd.Series:
-    return pages.map(_configurations)
+def _configuration(pages: pd.Series, wanted: pd.Series) -> pd.Series:
+    found = [_configurations(page, {(w["container"], w["member"]) for w in places}) if len(places) else [] for page, places in zip(pages, wanted)]
+    return pd.Series(found, dtype=object)
 
 
 def _dimensions(container: Column) -> Column:
@@ -90,36 +92,40 @@ def _dimensions(container: Column) -> Column:
 
 
 def _members(container: str, number: int) -> Column:
-    """Alarms of one container with their type, their place and their whole content as JSON."""
-    pairs = F.arrays_zip(
-        F.coalesce(F.col(f"r.{container}.member"), F.array().cast(_ALARMS)).alias("alarm"),
-        F.col("texts")[number].alias("configuration"),
-    )
+    """Alarms of one container with their type and place."""
     return F.transform(
-        pairs,
-        lambda pair, at: F.struct(
-            F.lit(CONTAINERS[container]).alias("kind"),
-            F.struct(F.lit(number).alias("container"), at.alias("member")).alias("place"),
-            pair["alarm"].alias("alarm"),
-            pair["configuration"].alias("configuration"),
+        F.coalesce(F.col(f"r.{container}.member"), F.array().cast(_ALARMS)),
+        lambda alarm, at: F.struct(
+            F.lit(CONTAINERS[container]).alias("kind"), F.struct(F.lit(number).alias("container"), at.alias("member")).alias("place"), alarm.alias("alarm")
         ),
     )
 
 
-def decode_alarm_pages(pages: DataFrame) -> DataFrame:
-    """Every alarm of landed pages (`state`, `page_no`, `body`) with its place; malformed XML raises."""
+def read_alarm_pages(pages: DataFrame) -> DataFrame:
+    """Landed pages (`state`, `page_no`, `body`) parsed once and written: `next_token` and the typed `members`.
+
+    Malformed XML raises.
+    """
     # An empty container would read as a missing one, so it gets one nameless member.
     body = F.regexp_replace(
         "body", r"<Dimensions\s*/>|<Dimensions>\s*</Dimensions>", "<Dimensions><member><Name/></member></Dimensions>"
     )
-    parsed = pages.select(
-        "state",
-        "page_no",
-        F.from_xml(body, _PAGE, {"mode": "FAILFAST", "ignoreNamespace": "true"})["DescribeAlarmsResult"].alias("r"),
-        _configuration("body").alias("texts"),
-    )
+    page = F.from_xml(body, _PAGE, {"mode": "FAILFAST", "ignoreNamespace": "true"})["DescribeAlarmsResult"]
+    parsed = pages.select("state", "page_no", "body", page.alias("r"))
     members = [_members(container, number) for number, container in enumerate(CONTAINERS)]
-    return parsed.select("state", "page_no", F.inline(F.concat(*members)))
+    read = parsed.select("state", "page_no", "body", F.coalesce("r.NextToken", F.lit("")).alias("next_token"), F.concat(*members).alias("members"))
+    return pin(read, "alarm-pages")
+
+
+def decode_alarm_pages(read: DataFrame, every: bool = False) -> DataFrame:
+    """The alarms of parsed pages with their place and `configuration`: those in the open state that their page was asked
+    for, or `every` one. The configuration is worked out for these alone, and a page without any is not read for it."""
+    status = lambda m: F.trim(m["alarm"]["StateValue"])
+    kept = F.col("members") if every else F.filter("members", lambda m: (status(m) == F.col("state")) & open_state(status(m)))
+    chosen = read.select("state", "page_no", "body", kept.alias("members"))
+    told = chosen.select("state", "page_no", "members", _configuration("body", F.transform("members", lambda m: m["place"])).alias("_texts"))
+    rows = explode_once(told, "members", "m", "at")
+    return rows.select("state", "page_no", "m.kind", "m.place", "m.alarm", F.col("_texts")[F.col("m.place.container")][F.col("m.place.member")].alias("configuration"))
 
 
 def _stamp(text: Column) -> Column:
@@ -132,11 +138,8 @@ def open_alarms(pages: DataFrame) -> DataFrame:
     An alarm is known by its ARN, else by type and name; the first in the order of state, page and place counts. Of the
     pages asked for one state only those count up to the first without a next token, or with one seen before.
     """
-    accepted = accept_pages(with_next_token(pages), "seen", request="state").drop("next_token")
-    found = decode_alarm_pages(accepted)
+    found = decode_alarm_pages(accept_pages(read_alarm_pages(pages), "seen", request="state"))
     a = F.col("alarm")
-    status = F.trim(a["StateValue"])
-    found = found.filter((status == F.col("state")) & status.isin(OPEN_STATES))
     kind = F.coalesce(filled(F.trim(a["AlarmType"])), F.col("kind"))
     name = F.coalesce(a["AlarmName"], F.lit(""))
     key = F.coalesce(filled(a["AlarmArn"]), F.concat(kind, F.lit("\n"), name))
@@ -165,10 +168,3 @@ def open_alarms(pages: DataFrame) -> DataFrame:
         "configuration": F.col("configuration"),
     }
     return first.select(as_columns(schemas.OPEN_ALARMS, given))
-
-
-def with_next_token(pages: DataFrame) -> DataFrame:
-    """Adds each page's continuation token, for `accept_pages` with the state as request."""
-    schema = T.StructType().add("DescribeAlarmsResult", T.StructType().add("NextToken", "string"))
-    page = F.from_xml("body", schema, {"mode": "FAILFAST", "ignoreNamespace": "true"})
-    return pages.withColumn("next_token", F.coalesce(page["DescribeAlarmsResult"]["NextToken"], F.lit("")))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beaconlake.functions.attributes import event_id, first_wins_map, is_json_object
+from beaconlake.functions.attributes import event_id, is_json_object
 from beaconlake.functions.times import iso_ms
 from beaconlake.sources.logs import explode_once, has_kind, text_of
 
@@ -27,14 +27,14 @@ def decode_put_log_bodies(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(~is_json_object(F.col("body")), "the body is not a JSON object")
         .when(
             F.coalesce(group, F.lit("")).eqNullSafe("") | F.coalesce(stream, F.lit("")).eqNullSafe(""),
-            "logGroupName and logStreamName are required",
+            "the body names no log group or no log stream",
         )
-        .when(events.isNull(), "logEvents must be an array")
+        .when(events.isNull(), "the body has no array of events")
         .when(
             F.exists(events, lambda e: e.isNull() | ~has_kind(e["timestamp"], "BIGINT|DECIMAL|DOUBLE")),
-            "each log event requires a timestamp",
+            "an event has no numeric time",
         )
-        .when(F.exists(events, lambda e: ~has_kind(e["message"], "STRING")), "each log event requires a message")
+        .when(F.exists(events, lambda e: ~has_kind(e["message"], "STRING")), "an event has no text as message")
     )
     # The rows to keep are chosen by exploding an array, not by a filter, which would parse the body again.
     judged = parsed.select(
@@ -74,145 +74,133 @@ def _index(text: Column) -> Column:
     return F.when((number >= 1) & (number.cast("string") == text), number)
 
 
-def _form_fields(bodies: DataFrame) -> DataFrame:
-    """Decoded fields of form bodies with the data point `n` and dimension they belong to.
+def _entry(field: Column) -> Column:
+    """What a decoded field says: of which data point (0 for the body), which field, dimension and part, and its place.
 
-    Every body also gets a row for itself, with `n` 0. Bodies are spread by their number before they are taken apart,
-    so that all that follows per body needs no other shuffle.
+    NULL numbers mark fields that say nothing.
     """
-    parts = F.concat(F.array(F.lit("")), F.split("body", "&"))
-    rows = bodies.repartition("body_seq").select("body_seq", "received_ms", F.posexplode(parts).alias("pos", "part"))
-    rows = rows.filter((F.col("pos") == 0) | F.col("part").contains("="))
-    key = F.try_url_decode(F.substring_index("part", "=", 1))
-    value = F.try_url_decode(F.substring("part", F.instr("part", "=") + 1, F.length("part")))
-    rows = rows.select("body_seq", "received_ms", "pos", key.alias("key"), value.alias("value"))
-    rows = rows.withColumn("names", F.split("key", r"\."))
-    size = F.size("names")
-
-    def name(place: int) -> Column:
-        return F.get("names", F.lit(place))
-
-    member = (name(0) == "MetricData") & (name(1) == "member")
-    plain = member & (size == 4) & name(3).isin(_FIELDS)
-    dimension = (
-        member & (size == 7) & (name(3) == "Dimensions") & (name(4) == "member") & name(6).isin("Name", "Value")
-    )
-    return rows.select(
-        "body_seq",
-        "received_ms",
-        "pos",
-        "value",
-        F.coalesce(F.when(plain | dimension, _index(name(2))), F.lit(0)).alias("n"),
-        F.when(F.col("key") == "Namespace", "Namespace").when(plain, name(3)).alias("which"),
-        F.when(dimension, _index(name(5))).cast("int").alias("number"),
-        F.when(dimension, name(6)).alias("part"),
-        (F.col("key").isNull() | F.col("value").isNull()).alias("bad"),
+    names = field["names"]
+    at = lambda place: F.get(names, F.lit(place))
+    member = (at(0) == "MetricData") & (at(1) == "member")
+    plain = member & (F.size(names) == 4) & at(3).isin(_FIELDS)
+    dimension = member & (F.size(names) == 7) & (at(3) == "Dimensions") & (at(4) == "member") & at(6).isin("Name", "Value")
+    of_body = field["key"] == "Namespace"
+    number = F.when(dimension, _index(at(5))).otherwise(F.lit(0).cast("long"))
+    return F.struct(
+        F.when(of_body, F.lit(0).cast("long")).when((plain | dimension) & number.isNotNull(), _index(at(2))).alias("n"),
+        F.when(of_body, F.lit("Namespace")).otherwise(at(3)).alias("field"),
+        number.alias("number"),
+        F.when(dimension, at(6)).otherwise("").alias("part"),
+        field["pos"].alias("pos"),
+        field["value"].alias("value"),
     )
 
 
-def _with_dimensions(points: DataFrame) -> DataFrame:
-    """Adds `dimensions` made of `parts`: numbered from 1 without a gap.
+def _value(entries: Column, field: str) -> Column:
+    return F.get(F.filter(entries, lambda e: e["field"] == field), F.lit(0))["value"]
 
-    The last of equal field names and the first of equal dimension names count.
-    """
 
-    def part(number: Column, which: str) -> Column:
-        same = F.filter("parts", lambda p: (p["number"] == number) & (p["which"] == which))
-        found = F.array_max(F.transform(same, lambda p: F.struct(p["pos"].alias("pos"), p["value"].alias("value"))))
-        return found["value"]
+def judge_metric_bodies(bodies: DataFrame) -> DataFrame:
+    """Form bodies with their `namespace`, the `data` of each data point as sorted fields, and the `reason` of a refusal.
 
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("parts"), F.lit(1))),
-        lambda n: F.struct(part(n, "Name").alias("name"), part(n, "Value").alias("value")),
-    )
-    broken = F.array_position(
-        F.transform("_pairs", lambda p: p["name"].isNull() | p["value"].isNull()), F.lit(True)
+    Everything happens within the row, in one sort of the body's fields; a step per column, so that none is worked out
+    again inside the next.
+    """
+    steps = bodies.withColumn("_parts", F.filter(F.split("body", "&"), lambda p: p.contains("=")))
+    steps = steps.withColumn(
+        "_pairs",
+        F.transform(
+            "_parts",
+            lambda p, i: F.struct(
+                F.try_url_decode(F.substring_index(p, "=", 1)).alias("key"),
+                F.try_url_decode(F.substring(p, F.instr(p, "=") + 1, F.length(p))).alias("value"),
+                i.alias("pos"),
+            ),
+        ),
     )
-    whole = F.when(F.col("_broken") > 0, F.slice("_pairs", F.lit(1), (F.col("_broken") - 1).cast("int"))).otherwise(
-        F.col("_pairs")
+    named = F.transform("_pairs", lambda f: F.struct(F.split(f["key"], r"\.").alias("names"), f["key"].alias("key"), f["value"].alias("value"), f["pos"].alias("pos")))
+    said = F.filter(F.transform(named, _entry), lambda e: e["n"].isNotNull())
+    steps = steps.withColumn("_sorted", F.array_sort(said))
+
+    def last(e: Column, i: Column) -> Column:
+        after = F.get("_sorted", i + 1)
+        same = (after["n"] == e["n"]) & (after["field"] == e["field"]) & (after["number"] == e["number"]) & (after["part"] == e["part"])
+        return ~F.coalesce(same, F.lit(False))
+
+    steps = steps.withColumn("_unique", F.filter("_sorted", last))
+    size = F.size("_unique")
+    first = lambda i: (i == 0) | (F.get("_unique", i)["n"] != F.get("_unique", i - 1)["n"])
+    steps = steps.withColumn("_starts", F.when(size > 0, F.filter(F.sequence(F.lit(0), size - 1), first)).otherwise(F.array().cast("array<int>")))
+    slices = F.transform("_starts", lambda s, j: F.slice("_unique", s + 1, F.coalesce(F.get("_starts", j + 1), size) - s))
+    steps = steps.withColumn("_slices", slices)
+    own = F.get(F.filter("_slices", lambda d: d[0]["n"] == 0), F.lit(0))
+    points = F.filter("_slices", lambda d: (d[0]["n"] > 0) & F.exists(d, lambda e: e["field"] == "MetricName"))
+    # numbered from 1 up to the first gap
+    data = F.filter(points, lambda d, i: d[0]["n"] == i + 1)
+    judged = steps.select(
+        "body_seq", "received_ms", "body", "_pairs", F.get(own, F.lit(0))["value"].alias("namespace"), data.alias("data")
     )
-    # One step per column, so that no step is computed again inside the next.
-    return (
-        points.withColumn("_pairs", pairs)
-        .withColumn("_broken", broken)
-        .withColumn("_whole", whole)
-        .withColumn("dimensions", first_wins_map(F.col("_whole")))
+    number = lambda e: F.trim(e["value"]).try_cast("double")
+    some = lambda test: F.exists("data", lambda d: test(d))
+    reason = (
+        F.when(F.exists("_pairs", lambda f: f["key"].isNull() | f["value"].isNull()), "the body has an invalid escape")
+        .when(F.coalesce("namespace", F.lit("")) == "", "the body names no namespace")
+        .when(some(lambda d: ~F.exists(d, lambda e: e["field"] == "Value")), "a data point has no value")
+        .when(some(lambda d: F.exists(d, lambda e: (e["field"] == "Value") & number(e).isNull())), "a value is not a number")
+        .when(some(lambda d: F.exists(d, lambda e: (e["field"] == "Timestamp") & iso_ms(e["value"]).isNull())), "a timestamp could not be read")
+        .when(F.size("data") == 0, "the body holds no data point")
     )
+    return judged.select("body_seq", "received_ms", "body", "namespace", "data", reason.alias("reason"))
 
 
-def judge_metric_bodies(bodies: DataFrame) -> DataFrame:
-    """Data points of form bodies with the `reason` their body is refused for; the row with `n` 0 is the body's own."""
-
-    def last(name: str) -> Column:
-        mine = F.col("which") == name
-        return F.max_by(F.when(mine, F.col("value")), F.when(mine, F.col("pos")))
-
-    part = F.struct("number", F.col("part").alias("which"), "pos", "value")
-    grouped = (
-        _form_fields(bodies)
-        .groupBy("body_seq", "n")
-        .agg(
-            F.max("received_ms").alias("received_ms"),
-            last("Namespace").alias("namespace"),
-            last("MetricName").alias("metric_name"),
-            last("Value").alias("value"),
-            last("Timestamp").alias("timestamp"),
-            last("Unit").alias("unit"),
-            F.collect_list(F.when(F.col("number").isNotNull(), part)).alias("parts"),
-            F.max("bad").alias("bad"),
-        )
-    )
-    body = Window.partitionBy("body_seq")
-    named = F.col("metric_name").isNotNull()
-    numbered = grouped.withColumn(
-        "place", F.when(named, F.count(F.when(named, 1)).over(body.orderBy("n")))
-    ).withColumn("kept", named & (F.col("place") == F.col("n")))
-    number_text = F.trim("value").try_cast("double")
-    checked = numbered.select(
-        "*",
-        F.max("namespace").over(body).alias("body_namespace"),
-        F.max("bad").over(body).alias("body_bad"),
-        F.max("kept").over(body).alias("body_kept"),
-        F.max(F.col("kept") & F.col("value").isNull()).over(body).alias("no_value"),
-        F.max(F.col("kept") & number_text.isNull()).over(body).alias("no_number"),
-        F.max(F.col("kept") & F.col("timestamp").isNotNull() & iso_ms(F.col("timestamp")).isNull())
-        .over(body)
-        .alias("no_time"),
-    )
-    reason = (
-        F.when(F.col("body_bad"), "the body has an invalid escape")
-        .when(F.coalesce("body_namespace", F.lit("")) == "", "Namespace is required")
-        .when(F.col("no_value"), "each data point requires a value")
-        .when(F.col("no_number"), "a value is not a number")
-        .when(F.col("no_time"), "a timestamp could not be read")
-        .when(~F.coalesce("body_kept", F.lit(False)), "MetricData must contain at least one datum")
-    )
-    return checked.withColumn("reason", reason).withColumn("number", number_text)
+def _with_dimensions(points: DataFrame) -> DataFrame:
+    """Adds `dimensions` from the fields `d`: numbered from 1 without a gap, each with a name and a value.
+
+    They are sorted by number with the name before the value, so the k-th pair is in places 2k and 2k + 1 as long as
+    nothing is missing. The first of equal names counts.
+    """
+    at = lambda i: F.get("_dims", i.cast("int"))
+
+    def pair(k: Column) -> Column:
+        name, value = at(2 * k), at(2 * k + 1)
+        whole = (name["number"] == k + 1) & (name["part"] == "Name") & (value["number"] == k + 1) & (value["part"] == "Value")
+        return F.struct(F.coalesce(whole, F.lit(False)).alias("whole"), name["value"].alias("name"), k.alias("k"), value["value"].alias("value"))
+
+    pairs = F.floor(F.size("_dims") / 2).cast("int")
+    steps = points.withColumn("_dims", F.filter("d", lambda e: e["field"] == "Dimensions"))
+    steps = steps.withColumn("_pairs", F.when(pairs > 0, F.transform(F.sequence(F.lit(0), pairs - 1), pair)).otherwise(F.array().cast("array<struct<whole:boolean,name:string,k:int,value:string>>")))
+    steps = steps.withColumn("_broken", F.array_position(F.transform("_pairs", lambda p: p["whole"]), F.lit(False)))
+    kept = F.when(F.col("_broken") > 0, F.slice("_pairs", F.lit(1), (F.col("_broken") - 1).cast("int"))).otherwise(F.col("_pairs"))
+    by_name = F.array_sort(F.transform(kept, lambda p: F.struct(p["name"].alias("name"), p["k"].alias("k"), p["value"].alias("value"))))
+    steps = steps.withColumn("_named", by_name)
+    once = F.filter("_named", lambda p, i: (i == 0) | (F.get("_named", i - 1)["name"] != p["name"]))
+    return steps.withColumn("dimensions", F.map_from_entries(F.transform(once, lambda p: F.struct(p["name"].alias("key"), p["value"].alias("value")))))
 
 
 def metric_points(judged: DataFrame) -> DataFrame:
     """The data points of accepted bodies."""
-    return _with_dimensions(judged.filter(F.col("reason").isNull() & F.col("kept"))).select(
-        F.col("body_namespace").alias("namespace"),
-        "metric_name",
-        F.coalesce(iso_ms(F.col("timestamp")), "received_ms").alias("timestamp_ms"),
-        F.col("number").alias("value"),
-        F.coalesce("unit", F.lit("None")).alias("unit"),
+    good = judged.select("received_ms", "namespace", F.when(F.col("reason").isNull(), F.col("data")).alias("_data"))
+    return _with_dimensions(explode_once(good, "_data", "d")).select(
+        "namespace",
+        _value(F.col("d"), "MetricName").alias("metric_name"),
+        F.coalesce(iso_ms(_value(F.col("d"), "Timestamp")), "received_ms").alias("timestamp_ms"),
+        F.trim(_value(F.col("d"), "Value")).try_cast("double").alias("value"),
+        F.coalesce(_value(F.col("d"), "Unit"), F.lit("None")).alias("unit"),
         "dimensions",
     )
 
 
-def metric_dead_letters(bodies: DataFrame, judged: DataFrame) -> DataFrame:
+def metric_dead_letters(judged: DataFrame) -> DataFrame:
     """The refused bodies with the reason."""
-    why = judged.filter((F.col("n") == 0) & F.col("reason").isNotNull()).select("body_seq", "reason")
-    return bodies.join(why, "body_seq").select("body_seq", "received_ms", "body", "reason")
+    refused = judged.select("body_seq", "received_ms", "body", F.when(F.col("reason").isNotNull(), F.array("reason")).alias("_reasons"))
+    return explode_once(refused, "_reasons", "reason").drop("pos")
 
 
 def decode_put_metric_bodies(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Data points and dead letters of form bodies (`body_seq`, `received_ms`, `body`).
 
     Data points are numbered from 1 and end at the first gap. A body needs a namespace and a data point, each data
-    point a numeric value and, if it has one, a readable time; escapes must be valid.
+    point a numeric value and, if it has one, a readable time; escapes must be valid. Bodies stay in their tasks.
     """
     judged = judge_metric_bodies(bodies)
-    return metric_points(judged), metric_dead_letters(bodies, judged)
+    return metric_points(judged), metric_dead_letters(judged)

@@ -39,7 +39,7 @@ class Attached:
 def distinct_names(names: Sequence[str | None]) -> list[str]:
     """Distinct log group names in first order; an empty one raises."""
     if any(not name for name in names):
-        raise ValueError("log_groups must not contain NULL or empty names")
+        raise ValueError("a listed log group has no name")
     return list(dict.fromkeys(names))
 
 

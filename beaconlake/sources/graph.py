@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconlake import schemas
-from beaconlake.functions.attributes import filled
+from beaconlake.functions.attributes import filled, is_json_object
 from beaconlake.functions.times import ms_to_time, now_ms, time_option
-from beaconlake.sources.logs import as_columns, explode_once, json_object
-from beaconlake.sources.pages import accept_pages, with_next_token
+from beaconlake.sources.logs import as_columns, explode_once
+from beaconlake.sources.pages import accept_pages
+from beaconlake.storage import pin
 
 # Members of services and edges that become attributes, in output order.
 SERVICE_ATTRIBUTES = [
@@ -37,7 +38,8 @@ def _raw(names: Sequence[str]) -> str:
 
 _EDGE = f"struct<ReferenceId:bigint,EdgeType:string,Type:string,SummaryStatistics:string,{_raw(EDGE_ATTRIBUTES)}>"
 _SERVICE = f"struct<ReferenceId:bigint,Name:string,Type:string,{_raw(SERVICE_ATTRIBUTES)},Edges:array<{_EDGE}>>"
-_PAGE = f"struct<Services:array<{_SERVICE}>,NextToken:string>"
+_SERVICES = f"array<{_SERVICE}>"
+_PAGE = f"struct<Services:{_SERVICES},NextToken:string>"
 
 
 def _attributes(member: Column, names: Sequence[str]) -> Column:
@@ -56,11 +58,23 @@ def _attributes(member: Column, names: Sequence[str]) -> Column:
     return F.when(joined != "", F.concat(F.lit("{"), joined, F.lit("}")))
 
 
-def decode_graph_pages(pages: DataFrame) -> DataFrame:
-    """Services of landed pages (`request_id`, `page_no`, `body`) with their place and attributes."""
-    parsed = F.from_json(json_object(F.col("body"), "service graph page"), _PAGE)
-    services = pages.select("request_id", "page_no", parsed["Services"].alias("_services"))
-    return explode_once(services, "_services", "s").select(
+def read_graph_pages(pages: DataFrame) -> DataFrame:
+    """Landed pages (`request_id`, `page_no`, `body`) parsed once and written: `next_token`, `services`, `is_page`.
+
+    Tokens, services and edges are all read from the written columns.
+    """
+    parsed = pages.select("request_id", "page_no", is_json_object(F.col("body")).alias("is_page"), F.from_json("body", _PAGE).alias("p"))
+    read = parsed.select(
+        "request_id", "page_no", "is_page", F.coalesce("p.NextToken", F.lit("")).alias("next_token"), F.col("p.Services").alias("services")
+    )
+    return pin(read, "graph-pages")
+
+
+def decode_graph_pages(read: DataFrame) -> DataFrame:
+    """Services of parsed pages with their place and attributes; a page that is no JSON object raises."""
+    broken = F.raise_error(F.lit("the service graph page is not a JSON object")).cast(_SERVICES)
+    services = F.when(F.coalesce("is_page", F.lit(False)), F.col("services")).otherwise(broken)
+    return explode_once(read.select("request_id", "page_no", services.alias("_services")), "_services", "s").select(
         "request_id",
         F.struct("page_no", "pos").alias("place"),
         F.col("s.ReferenceId").alias("reference_id"),
@@ -152,7 +166,7 @@ def service_dependencies(
     start_ms, end_ms = time_option(start, now, "start_time"), time_option(end, now, "end_time")
     if start_ms >= end_ms:
         raise ValueError("start_time must be before end_time")
-    services = decode_graph_pages(accept_pages(with_next_token(pages, "NextToken"), "seen"))
+    services = decode_graph_pages(accept_pages(read_graph_pages(pages), "seen"))
     resolved = resolve_edges(services, service_edges(services))
     texts = ["source_service", "target_service", "source_type", "target_type", "edge_type"]
     given = {

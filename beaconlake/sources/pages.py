@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beaconlake.operators.quantiles import join_groups
+from beaconlake.storage import pin
 
 
 def with_next_token(pages: DataFrame, member: str = "nextToken") -> DataFrame:
@@ -37,3 +38,42 @@ def accept_pages(pages: DataFrame, mode: str = "previous", request: str = "reque
     end = ends.groupBy("request_id").agg(F.min("page_no").alias("_end"))
     joined = pages.alias("p").join(end.alias("e"), F.col(f"p.{request}").eqNullSafe(F.col("e.request_id")), "left")
     return joined.filter(F.col("_end").isNull() | (F.col("p.page_no") <= F.col("_end"))).select("p.*")
+
+
+def order_pages(pages: DataFrame, request: str = "request_id", start: str = "") -> DataFrame:
+    """Adds `page_no`, from 0, to the pages that are reached by following tokens, and leaves out the others.
+
+    `pages` has `request`, `token_in` and `next_token`; NULL tokens count as empty ones. A request begins with the page
+    that was asked for with the token `start`, and each page is followed by the one asked for with its next token. A
+    chain ends at a page that names no next token, its own, one whose page was not landed, or one that came before.
+    Of several pages of a request and token the least by next token and content counts, and of equal rows one.
+
+    The place in the chain is found by pointer doubling over all requests at once: after k rounds the pages of the first
+    2 ** k places are known, and each page knows the one 2 ** k places on. A chain of n pages takes log2(n) rounds of
+    joins on page numbers, each written to the shared folder, and no request's pages ever meet in one task.
+    """
+    token, after = F.coalesce("token_in", F.lit("")), F.coalesce("next_token", F.lit(""))
+    content = F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in pages.columns])))
+    keyed = pages.select("*", F.struct(after.alias("after"), content.alias("content")).alias("_page"), token.alias("_token"))
+    nodes = keyed.groupBy(F.col(request).alias("request"), F.col("_token").alias("token")).agg(F.min("_page").alias("page"))
+    nodes = pin(nodes.withColumn("id", F.monotonically_increasing_id()), "page-nodes")
+    leads = nodes.filter((F.col("page.after") != "") & (F.col("page.after") != F.col("token")))
+    here = leads.select("request", F.col("page.after").alias("token"), "id")
+    there = nodes.select(F.col("request").alias("_request"), F.col("token").alias("_token"), F.col("id").alias("to"))
+    same = F.col("request").eqNullSafe(F.col("_request")) & (F.col("token") == F.col("_token"))
+    jump = pin(here.join(there, same).select("id", "to"), "page-jumps")
+    known = pin(nodes.filter(F.col("token") == start).select("id", F.lit(0).cast("long").alias("page_no")), "page-places")
+    found, far = known.count(), 1
+    while True:
+        onward = known.join(jump, "id").select(F.col("to").alias("id"), (F.col("page_no") + far).alias("page_no"))
+        known = pin(known.unionByName(onward).groupBy("id").agg(F.min("page_no").alias("page_no")), "page-places")
+        before, found = found, known.count()
+        if found == before:
+            break
+        further = jump.select(F.col("id").alias("to"), F.col("to").alias("further"))
+        jump, far = pin(jump.join(further, "to").select("id", F.col("further").alias("to")), "page-jumps"), 2 * far
+    placed = nodes.join(known, "id").select(F.col("request").alias("_r"), F.col("token").alias("_t"), F.col("page").alias("_p"), "page_no")
+    match = F.col(request).eqNullSafe(F.col("_r")) & (F.col("_token") == F.col("_t")) & (F.col("_page") == F.col("_p"))
+    rest = [c for c in pages.columns if c != "page_no"]
+    once = keyed.dropDuplicates([request, "_token", "_page"]).select(*rest, "_token", "_page")
+    return once.join(placed, match).select(*rest, "page_no")

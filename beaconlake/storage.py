@@ -45,9 +45,23 @@ def pin(df: DataFrame, purpose: str = "pinned") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def folders(spark: SparkSession, pattern: str, but: str | None = None) -> list[str]:
+    """Paths that match a pattern of the store's, without `but`."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(pattern).getFileSystem(spark._jsc.hadoopConfiguration())
+    left_out = but and store.makeQualified(path(but)).toString()
+    found = [f.getPath().toString() for f in store.globStatus(path(pattern)) or []]
+    return [f for f in found if f != left_out]
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes folders with what is in them; one that is not there is no error."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear(spark: SparkSession) -> None:
     """Deletes what this process wrote to the shared folder. Results that still read it must be written out before."""
-    jvm, configuration = spark._jvm, spark._jsc.hadoopConfiguration()
     while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(configuration).delete(path, True)
+        remove(spark, [_made.pop()])

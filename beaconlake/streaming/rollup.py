@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from beaconlake.functions.attributes import dimensions_key
+from beaconlake.streaming.tables import write_batch
 
 
 def stream_metric_rollup(points: DataFrame, period: int, lateness: str) -> DataFrame:
@@ -48,19 +49,31 @@ def stream_metric_rollup(points: DataFrame, period: int, lateness: str) -> DataF
 def write_periods(periods: DataFrame, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Writes every period a micro-batch has changed to a folder of that micro-batch, open periods too.
 
-    A micro-batch that runs again replaces its folder. `read_periods` takes the newest state of each period, so nothing
-    is missing when a bounded input ends before its last periods are final.
+    A micro-batch that runs again replaces its folder, and another stream, or one with a new checkpoint, has folders of
+    its own. `read_periods` takes the newest state of each period, so nothing is missing when a bounded input ends
+    before its last periods are final.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        write_batch(batch, out, batch_id, dated=False)
 
     writer = periods.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def read_periods(spark: SparkSession, out: str) -> DataFrame:
-    """The newest state of every period that `write_periods` wrote."""
+    """Every period that `write_periods` wrote: of each stream its newest state, added up over streams.
+
+    A stream's state of a period is small, so its newest is a grouped maximum by micro-batch.
+    """
+    keys = ["namespace", "metric_name", "dimensions_key", "bucket_ms"]
     rows = spark.read.parquet(out)
-    newest = Window.partitionBy("namespace", "metric_name", "dimensions_key", "bucket_ms").orderBy(F.desc("batch"))
-    return rows.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n", "batch")
+    state = F.struct("sum", "maximum", "minimum", "sample_count")
+    newest = rows.groupBy(*keys, "stream").agg(F.max_by(state, F.col("batch").cast("long")).alias("s")).select(*keys, "s.*")
+    return newest.groupBy(*keys).agg(
+        F.sum("sum").alias("sum"),
+        (F.sum("sum") / F.nullif(F.sum("sample_count"), F.lit(0.0))).alias("average"),
+        F.max("maximum").alias("maximum"),
+        F.min("minimum").alias("minimum"),
+        F.sum("sample_count").alias("sample_count"),
+    )

@@ -85,15 +85,44 @@ def test_chunk_maps_name_every_next_start():
         limits = Limits(12, 100)
         frame = batching.pd.DataFrame({"ts": 0, "size": sizes, "halo": [False] * 48 + [True] * 12})
         ends = batching.next_starts(np.zeros(60), sizes, limits)
-        segments = batching._chunk_maps(frame, 1, limits)
+        segments = batching._chunk_maps(frame, 1, limits, 48)
         for start in range(ends[0] + 1):
-            low, follow, step, count, late, late_step, rows = [s for s in segments if s[0] <= start][-1]
+            (_, _, follow, step, count, late, late_step), low = next((s, s[0]) for s in segments if s[0] <= start < s[1])
             at, batches, last = start, 0, start
             while at < 48:
                 last, batches, at = at, batches + 1, int(ends[at])
-            assert (follow + step * (start - low), count, late + late_step * (start - low), rows) == (
-                at - 48, batches, last, 48,
-            )
+            away = start - low
+            assert (follow + step * away, count, late + late_step * away) == (at - 48, batches, 48 + last)
+
+
+def test_maps_of_neighbours_make_one_of_both():
+    rng = np.random.default_rng(1)
+
+    def random_map(starts, place):
+        cuts = sorted({0, *rng.integers(1, starts, 5).tolist()})
+        return np.array([(low, high, int(rng.integers(0, starts - (high - low) + 1)), int(rng.integers(0, 2)), int(rng.integers(1, 9)), place + int(rng.integers(0, 50)), int(rng.integers(0, 2))) for low, high in zip(cuts, [*cuts[1:], starts])])
+
+    def at(maps, start):
+        low, _, follow, step, count, late, late_step = next(m for m in maps if m[0] <= start < m[1])
+        return follow + step * (start - low), count, late + late_step * (start - low)
+
+    for _ in range(200):
+        first, second = random_map(40, 0), random_map(40, 100)
+        both = batching._composed(first, second)
+        for start in range(40):
+            follow, count, _ = at(first.tolist(), start)
+            end, more, late = at(second.tolist(), follow)
+            assert at(both, start) == (end, count + more, late)
+
+
+def test_no_task_holds_all_maps_of_a_destination(spark, monkeypatch):
+    """One destination of 150 chunks: no call that pairs maps sees more than two of them."""
+    limits = Limits(10, 120)
+    rng = random.Random(9)
+    rows = [("hot", i // 3, i, rng.randint(1, 60)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, ts long, seq long, size long").repartition(4)
+    found = assign_batches(df, ["k"], "seq", "size", limits, "ts", 20).collect()
+    assert {r.seq: (r.batch_no, r.index_in_batch) for r in found} == greedy([r[1:] for r in rows], limits)
 
 
 def test_a_chunk_holds_a_batch(spark):
@@ -107,11 +136,11 @@ def test_destinations_without_a_name_and_messages_that_cannot_be_sent(spark):
     events = spark.createDataFrame(rows, shape)
     planned = batching.plan_log_batches(events, bad_messages="drop").collect()
     assert sorted((r.seq, r.batch_no, r.index_in_batch) for r in planned) == [(1, 0, 1), (2, 0, 0), (3, 0, 0)]
-    with pytest.raises(Exception, match="must not be empty"):
+    with pytest.raises(Exception, match="missing or empty"):
         batching.plan_log_batches(events).collect()
     with pytest.raises(Exception, match="no time"):
         batching.plan_log_batches(spark.createDataFrame([("g", "s", None, 1, "a")], shape)).collect()
     long = spark.createDataFrame([("g", "s", 1, 1, "x" * 1_048_550)], shape)
     assert batching.plan_log_batches(long).count() == 1
-    with pytest.raises(Exception, match="too large"):
+    with pytest.raises(Exception, match="does not fit"):
         batching.plan_log_batches(long.withColumn("message", F.concat("message", F.lit("x")))).collect()

@@ -57,7 +57,7 @@ def test_bounds_are_half_open(events):
     [
         ({"start": "now", "end": "-1h"}, "must not be after"),
         ({"start": "yesterday"}, "start_time"),
-        ({"stream_prefix": "a", "streams": ["b"]}, "mutually exclusive"),
+        ({"stream_prefix": "a", "streams": ["b"]}, "not both"),
         ({"streams": ["s"] * 101}, "at most 100"),
         ({"streams": [""]}, "empty names"),
         ({"order": "up"}, "order"),
