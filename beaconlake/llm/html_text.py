@@ -3,7 +3,8 @@
 Pages of one site share their furniture. Each page's text is cut into lines, one per block element, and aligned by longest
 common subsequence with the page of its host whose URL path comes next to it in order; the lines that both have, in
 the same order, are taken out. What the markup itself declares to be furniture (navigation, footers, forms, adverts and
-the like) does not count as text in the first place. All other lines are compared, inside and outside of what is declared
+the like, by tag, role or a class whose whole name says so) does not count as text in the first place; a class that merely
+holds such a word says nothing. All other lines are compared, inside and outside of what is declared
 to be the article; if one inside is shared, the declaration decides, and it stays. <main> is the place of the article and
 whatever stands around it, and declares nothing about a line.
 
@@ -35,7 +36,7 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:[^
 _ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
-_RAW = frozenset("script style textarea title noscript template iframe svg math object select".split())
+_RAW = frozenset("script style textarea title noscript template iframe svg object select".split())
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _FURNITURE = frozenset("nav footer aside form header menu dialog button head".split())
 _BLOCKS = frozenset(
@@ -43,18 +44,25 @@ _BLOCKS = frozenset(
     " header hr html li main nav ol option p pre section summary table tbody tfoot thead tr ul caption legend".split()
 )
 _ARTICLE = frozenset(["article", "main"])
-#: Words in a class, an id or a role that mark an element as furniture.
-_MARKS = frozenset(
-    "nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer contentinfo sidebar complementary aside ad ads"
-    " advert adverts advertisement advertisements adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice"
-    " notices notification alert popup modal overlay newsletter subscribe subscription signup login register comment comments disqus"
-    " respond replies reply share sharing social related recommended recommendations pagination pager search form skip copyright"
-    " toolbar widget widgets".split()
+#: Names in a class, an id or a role that say that an element is furniture, if the whole name is made of them and of
+#: words that only say which one: "ad", "site-nav", "cookie-banner", but neither "share-price" nor "form-factor".
+_NAMES = frozenset(
+    "nav navbar navigation menu breadcrumb breadcrumbs masthead topbar footer contentinfo sidebar complementary aside ad ads advert"
+    " adverts advertisement advertisements adsense sponsored cookie cookies consent gdpr newsletter comment comments disqus"
+    " pagination pager copyright".split()
 )
+_WHICH = frozenset(
+    "site main page top bottom global primary secondary left right header bar box list links area section block wrapper container"
+    " inner outer banner notice popup modal reader user post article slot unit form signup mobile desktop fixed sticky".split()
+)
+#: Names that say so only if they stand alone.
+_ALONE = frozenset(
+    "notice notices notification alert banner popup modal overlay promo promotion sponsor subscribe subscription login signup register"
+    " respond reply replies share sharing social related recommended recommendations toolbar search form skip header".split()
+)
+_PHRASES = frozenset("related-posts related-articles social-share share-buttons search-form search-box skip-link site-header page-header".split())
 #: Share of a page's characters over which a neighbour's word needs that of the host's other pages.
 _COPY = 0.6
-#: Prefixes after which such a word speaks of another element.
-_ABOUT = frozenset("has with no without".split())
 _LINKED = 0.6
 
 
@@ -72,7 +80,9 @@ def _furniture(name: str, attributes: str, in_article: bool) -> bool:
         if key in ("class", "id", "role"):
             for one in value.split():
                 parts = [p.lower() for p in _PART.findall(one)]
-                if parts and parts[0] not in _ABOUT and _MARKS.intersection(parts) and not (in_article and parts[-1:] == ["header"]):
+                known = bool(parts) and all(p in _NAMES or p in _WHICH for p in parts) and not _NAMES.isdisjoint(parts)
+                alone = len(parts) == 1 and parts[0] in _ALONE or "-".join(parts) in _PHRASES
+                if known or alone and not (in_article and parts[-1] == "header"):
                     return True
     return False
 

@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from beaconlake.llm import html_text
 
 SCHEMA = "page_id long, url string, html string"
@@ -128,3 +130,51 @@ def test_rows_of_one_page_id_are_told_apart(spark):
     rows = [(1, "https://h.example/a", "<p>x</p><p>Menu</p><p>the first text of one</p>"), (1, "https://h.example/b", "<p>Menu</p><p>the second text of one</p>")]
     got = sorted(r.text for r in html_text.main_texts(spark.createDataFrame(rows, SCHEMA)).collect())
     assert got == ["the second text of one", "x\nthe first text of one"]
+
+
+@pytest.mark.parametrize("inside", [
+    '<div class="share-price"><p>The price rose to 40.</p></div>', '<section class="search-algorithms"><p>Trees are searched.</p></section>',
+    '<p class="form-factor">Small boards.</p>', '<p id="alert-fatigue">Too many alarms.</p>', '<div class="widget"><p>A widget is a thing.</p></div>',
+    '<div class="commentary"><p>What the match was like.</p></div>', '<p class="menu-engineering">Prices on menus.</p>',
+])
+def test_words_in_class_names_take_nothing(inside):
+    want = re.sub("<[^>]+>", "", inside)
+    for page in (f"<article><p>One.</p>{inside}</article>", f"<body><div><p>One.</p>{inside}</div></body>"):
+        assert [t for t, *_ in html_text.blocks(page)] == ["One.", want]
+    assert [t for t, *_ in html_text.blocks(f'<body><div class="widget"><p>All of it.</p>{inside}</div></body>')] == ["All of it.", want]
+
+
+@pytest.mark.parametrize("name", ["ad", "site-nav", "cookieBanner", "cookie_notice", "reader-comments", "main-menu", "footer", "page-footer", "social-share", "ad-slot"])
+def test_whole_names_of_furniture_do(name):
+    for page in (f'<body><p>Kept.</p><div class="x {name}"><p>Gone.</p></div></body>', f'<body><p>Kept.</p><div id={name}>Gone.</div></body>'):
+        assert [t for t, *_ in html_text.blocks(page)] == ["Kept."]
+
+
+def test_formulas_are_text():
+    assert [t for t, *_ in html_text.blocks("<article><p>Thus <math><mi>x</mi> = 2</math> holds.</p></article>")] == ["Thus x = 2 holds."]
+
+
+def test_pairs_by_brute_force(spark):
+    """Pages of several hosts without any declared furniture: every page against its neighbours in order, by plain LCS."""
+    rng = random.Random(17)
+    pages, number = [], 0
+    for host in range(4):
+        furniture = [f"menu {host} {k}" for k in range(4)]
+        for path in rng.sample(range(1000), 30):
+            body = [f"text {host} {path} {k} " + "word " * rng.randrange(12, 30) for k in range(rng.randrange(3, 7))]
+            lines = [furniture[0], furniture[1], *body, furniture[2], *([furniture[3]] if rng.random() < 0.7 else [])]
+            pages.append((number, f"https://h{host}.example/{path:04d}", "".join(f"<p>{x}</p>" for x in lines), [" ".join(x.split()) for x in lines]))
+            number += 1
+    got = {r.page_id: r.text for r in html_text.main_texts(spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string").repartition(5)).collect()}
+    order = sorted(pages, key=lambda p: p[1])
+    for i, (page_id, url, _, lines) in enumerate(order):
+        near = [o for j in (i - 1, i + 1) if 0 <= j < len(order) for o in [order[j]] if o[1].split("/")[2] == url.split("/")[2]]
+        near.sort(key=lambda o: -next((k for k, (x, y) in enumerate(zip(o[1], url)) if x != y), len(url)))
+        other = near[0][3]
+        grid = [[0] * (len(other) + 1) for _ in range(len(lines) + 1)]
+        for a in range(len(lines) - 1, -1, -1):
+            for b in range(len(other) - 1, -1, -1):
+                grid[a][b] = grid[a + 1][b + 1] + 1 if lines[a] == other[b] else max(grid[a + 1][b], grid[a][b + 1])
+        shared = {x for x in lines if x in other}
+        assert grid[0][0] == len(shared)  # lines of a page differ, so the subsequence is all that both have
+        assert got[page_id] == "\n".join(x for x in lines if x not in shared)
