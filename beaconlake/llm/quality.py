@@ -6,7 +6,8 @@ vector w, weighs the passages; the weighted sum of their hidden representations
 layers are learned together from document labels by gradient descent.
 
 Learning sees a bounded sample of labelled documents: of those least by a hash of their id, at most `SAMPLE_DOCS`, and of
-these as many as have `SAMPLE_PASSAGES` passages together. Encoding and scoring see every passage of every text.
+these, in that order, each that still fits into `SAMPLE_PASSAGES` passages together. Passages are counted first, and only
+the chosen documents are encoded for learning. Encoding and scoring see every passage of every text.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconlake.llm.common import ship, table
+from beaconlake.llm.common import WORD, ship, table
 from beaconlake.llm.langid import remainder
 
 PASSAGE = 100
@@ -148,8 +149,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Model:
 
 def _encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        bags = [encode(t) for t in batch["text"]]
-        yield pd.DataFrame({"pick": batch["pick"], "label": batch["label"], "passages": [len(b) for b in bags], "bag": [b.tobytes() for b in bags]})
+        yield batch[["hash", "id", "label"]].assign(bag=[encode(t).tobytes() for t in batch["text"]])
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
@@ -162,12 +162,19 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "label", pick.alias("pick"))
     sample = known.orderBy("pick").limit(SAMPLE_DOCS)
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most SAMPLE_DOCS rows of numbers
-    shape = "pick struct<hash: long, id: long>, label double, passages long, bag binary"
-    bags = texts.select("text", "label", F.col("pick.hash"), F.col("pick.id")).mapInPandas(
-        lambda batches: _encoded(b.assign(pick=[{"hash": h, "id": i} for h, i in zip(b["hash"], b["id"])]) for b in batches), shape
-    )
-    so_far = F.sum("passages").over(Window.partitionBy(F.lit(0)).orderBy("pick", "bag").rowsBetween(Window.unboundedPreceding, 0))
-    rows = bags.withColumn("so_far", so_far).where(F.col("so_far") <= SAMPLE_PASSAGES).select("label", "bag", "so_far").toPandas().sort_values("so_far")
+    texts = texts.select("label", "pick", F.xxhash64("text").alias("of"), "text")
+    passages = F.greatest(F.lit(1), F.ceil(F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)) / PASSAGE)).cast("long")
+    sizes = texts.select("pick", "of", passages.alias("passages")).toPandas()  # numbers of the sample's rows
+    sizes = sizes.assign(hash=[p["hash"] for p in sizes["pick"]], id=[p["id"] for p in sizes["pick"]]).sort_values(["hash", "id", "of"])
+    chosen, left = [], SAMPLE_PASSAGES
+    for row in sizes.drop_duplicates(["hash", "id", "of"]).itertuples():
+        if row.passages <= left:  # one that does not fit leaves its place to those after it
+            chosen.append((row.id, row.of))
+            left -= row.passages
+    wanted = docs.sparkSession.createDataFrame(chosen, "id long, of long")
+    met = texts.join(F.broadcast(wanted), (F.col("pick.id") == F.col("id")) & texts["of"].eqNullSafe(wanted["of"]))
+    bags = met.select("text", "label", F.col("pick.hash"), "id").dropDuplicates(["id", "text"]).mapInPandas(_encoded, "hash long, id long, label double, bag binary")
+    rows = bags.toPandas().sort_values(["hash", "id", "bag"])
     if rows["label"].nunique() < 2:
         return None
     return fit([np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in rows["bag"]], rows["label"].to_numpy())

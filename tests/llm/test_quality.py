@@ -70,3 +70,14 @@ def test_nulls_repeats_extra_columns_and_empty(spark):
     assert next(r.predicted for r in got if r.doc_id == 102) == 1
     assert [r.score for r in quality.score_documents(docs, labels.limit(0)).collect()] == [0.5] * len(rows)
     assert quality.score_documents(docs.limit(0), labels).collect() == []
+
+
+def test_a_long_text_does_not_end_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_PASSAGES", 30)
+    rows = [(i, ("Plain words in a row. " if i % 2 else "### $$$ !!! ") * (2000 if i < 8 else 10)) for i in range(1, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 60)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda bags, labels: seen.append((len(bags), sum(map(len, bags)), set(labels))))
+    quality.learn(docs, labels)
+    assert seen == [(30, 30, {0.0, 1.0})]
