@@ -11,9 +11,9 @@ No item at or above the threshold is missed.
 Found items are then verified: of the five-word shingles of the question, and of the words of the answer, the share that
 the passage holds must reach 0.8.
 
-Items go to executors in shards of at most `SHARD_ITEMS` items, each shard an index of its own with statistics of its own;
-the texts are read once per `SHARDS_AT_ONCE` shards. Passages overlap by half and are twice as long as the longest item of
-the shard, so that every occurrence of an item lies within one.
+Items go to executors in shards of at most `SHARD_ITEMS` items, each shard an index of its own; term frequencies and the mean
+length are those of all items, so that scores don't hang on the shards. Block maxima are kept per posting. The texts are read once per `SHARDS_AT_ONCE` shards. Passages overlap by half and are twice as long as the longest
+item, so that every occurrence of an item lies within one.
 """
 
 from __future__ import annotations
@@ -101,29 +101,50 @@ class Item:
         return question, answer
 
 
+@dataclass
+class Statistics:
+    """Of all items: how many have a word, their mean and largest length, and of some terms the number of items that have
+    each."""
+
+    items: int
+    mean: float
+    longest: int
+    terms: np.ndarray
+    spread: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Statistics:
+        words = [w for w in (Text(t).hashes for t in texts) if len(w)]
+        terms, spread = np.unique(np.concatenate([np.unique(w) for w in words]), return_counts=True) if words else (np.zeros(0, np.uint64), np.zeros(0))
+        return cls(len(words), sum(map(len, words)) / max(1, len(words)), max(map(len, words), default=0), terms, spread)
+
+
 class Index:
-    """Posting lists with block maxima over the items of one shard."""
+    """Posting lists with block maxima over the items of one shard; `known` has the statistics of all shards' items."""
 
-    def __init__(self, rows: list[tuple[int, str]]) -> None:
+    def __init__(self, rows: list[tuple[int, str]], known: Statistics | None = None) -> None:
+        known = known or Statistics.of([t for _, t in rows])
         texts = [(i, Text(t), t) for i, t in rows]
         texts = sorted((x for x in texts if len(x[1].hashes)), key=lambda x: (len(x[1].hashes), x[0]))
         self.items = [Item(i, shingles(words_of(q)), set(words_of(a))) for i, _, t in texts for q, a in [parts_of(t)]]
         words = [t.hashes for _, t, _ in texts]
-        self.half = max([LEAST_PASSAGE, *map(len, words)])
+        self.half = max(LEAST_PASSAGE, known.longest)
         self.terms = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
-        mean = sum(map(len, words)) / max(1, len(words))
         found = [np.unique(self.ids(w), return_counts=True) for w in words]
-        spread = np.bincount(np.concatenate([t for t, _ in found]), minlength=len(self.terms)) if found else np.zeros(0)
-        rarity = np.log1p((len(words) - spread + 0.5) / (spread + 0.5))
+        spread = known.spread[np.searchsorted(known.terms, self.terms)] if words else np.zeros(0)
+        rarity = np.log1p((known.items - spread + 0.5) / (spread + 0.5))
         #: Of each block and term in it: the postings (item, impact).
         self.blocks: list[dict[int, list[tuple[int, float]]]] = [{} for _ in range(-(-len(words) // BLOCK))]
-        self.maxima = np.zeros((len(self.terms), max(1, len(self.blocks))), np.float32)
         for at, (ids, counts) in enumerate(found):
-            impact = rarity[ids] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * counts.sum() / mean))
+            impact = rarity[ids] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * counts.sum() / known.mean))
             impact /= impact.sum()
-            np.maximum.at(self.maxima[:, at // BLOCK], ids, impact.astype(np.float32))
             for t, x in zip(ids.tolist(), impact.tolist()):
                 self.blocks[at // BLOCK].setdefault(t, []).append((at, x))
+        #: The blocks of each term's list, one list after the other from `first` on, and the largest impact in each.
+        listed = sorted((t, b, max(x for _, x in held)) for b, lists in enumerate(self.blocks) for t, held in lists.items())
+        self.first = np.searchsorted(np.array([t for t, _, _ in listed], np.int64), np.arange(len(self.terms) + 1))
+        self.block = np.array([b for _, b, _ in listed], np.int32)
+        self.most = np.array([x for _, _, x in listed], np.float32)
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """The term of every word, -1 for words that no item has."""
@@ -139,19 +160,25 @@ class Index:
         half counts a term once.
         """
         known = terms >= 0
-        pairs = np.unique(halves[known] * np.int64(len(self.terms)) + terms[known])
-        sums = np.zeros((count + 1, self.maxima.shape[1]), np.float32)
-        for part in np.array_split(pairs, len(pairs) * self.maxima.shape[1] // 4_000_000 + 1):
-            if len(part):
-                at, which = np.divmod(part, len(self.terms))
-                starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-                sums[at[starts]] += np.add.reduceat(self.maxima[which], starts, axis=0)
-        return np.nonzero(sums[:-1] + sums[1:] >= THRESHOLD - 1e-4)
+        pairs = np.unique(halves[known] * np.int64(max(1, len(self.terms))) + terms[known])
+        at, which = np.divmod(pairs, max(1, len(self.terms)))
+        found, wide = [], max(1, len(self.blocks))
+        step = max(1, 4_000_000 // wide)
+        for low in range(0, count, step):  # sums of some halves at a time, and of the half after them
+            high = min(count, low + step)
+            begin, end = np.searchsorted(at, [low, high + 1])
+            here, lists = at[begin:end], which[begin:end]
+            sizes = self.first[lists + 1] - self.first[lists]
+            place = np.repeat(self.first[lists] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            sums = np.bincount(np.repeat(here - low, sizes) * wide + self.block[place], self.most[place], (high - low + 1) * wide).reshape(-1, wide)
+            passages, blocks = np.nonzero(sums[:-1] + sums[1:] >= THRESHOLD - 1e-4)
+            found.append((passages + low, blocks))
+        return tuple(np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
 
     def search(self, terms: set[int], block: int) -> list[tuple[int, float]]:
         """(item, score) of the items of a block with a score of THRESHOLD or more."""
         lists = self.blocks[block]
-        met = sorted(((float(self.maxima[t, block]), t) for t in terms & lists.keys()), reverse=True)
+        met = sorted(((max(x for _, x in lists[t]), t) for t in terms & lists.keys()), reverse=True)
         left, scores = sum(x for x, _ in met), {}
         for most, t in met:
             if left < THRESHOLD - 1e-4 and max(scores.values(), default=0.0) + left < THRESHOLD - 1e-4:
@@ -216,12 +243,27 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     count = items.count()
     shards = max(1, -(-count // SHARD_ITEMS))
     dealt = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)))
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for shard, text in zip(batch["shard"], batch["text"]):
+                hashes = Text(text).hashes
+                yield pd.DataFrame({"shard": shard, "term": np.unique(hashes).view(np.int64)})
+
+    terms = pin(dealt.select("shard", "text").mapInPandas(listed, "shard long, term long"), "terms")
+    spread = terms.groupBy("term").agg(F.count("*").alias("spread"))
+    sizes = dealt.select("text").mapInPandas(lambda batches: (pd.DataFrame({"words": [len(Text(t).hashes) for t in b["text"]]}) for b in batches), "words long")
+    whole = sizes.where("words > 0").agg(F.count("*").alias("n"), F.coalesce(F.avg("words"), F.lit(1.0)).alias("mean"), F.coalesce(F.max("words"), F.lit(0)).alias("longest")).first()
     found = None
     for first in range(0, shards, SHARDS_AT_ONCE):
+        here = F.col("shard").between(first, first + SHARDS_AT_ONCE - 1)
         rows: dict[int, list] = {}
-        for r in dealt.where(F.col("shard").between(first, first + SHARDS_AT_ONCE - 1)).toLocalIterator():
+        for r in dealt.where(here).toLocalIterator():
             rows.setdefault(r.shard, []).append((r.item_id, r.text))
-        indexes = spark.sparkContext.broadcast([Index(x) for x in rows.values()])  # SHARDS_AT_ONCE * SHARD_ITEMS items
+        of = terms.where(here).select("term").distinct().join(spread, "term").toPandas()  # the words of these shards
+        order = np.argsort(of["term"].to_numpy(np.int64).view(np.uint64))
+        known = Statistics(whole.n, whole.mean, whole.longest, of["term"].to_numpy(np.int64).view(np.uint64)[order], of["spread"].to_numpy(np.int64)[order])
+        indexes = spark.sparkContext.broadcast([Index(x, known) for x in rows.values()])  # SHARDS_AT_ONCE * SHARD_ITEMS items
 
         def search(batches: Iterator[pd.DataFrame], indexes=indexes) -> Iterator[pd.DataFrame]:
             for batch in batches:

@@ -103,3 +103,22 @@ def test_nulls_repeats_extra_columns_and_empty(spark, monkeypatch):
     assert sorted(r.item_id for r in kept.collect()) == [3, 4, 5, 6]
     assert d.contaminated(docs.limit(0), bench).collect() == []
     assert d.contaminated(docs, bench.limit(0)).collect() == []
+
+
+def test_scores_do_not_hang_on_the_shards(spark, monkeypatch):
+    rng = random.Random(13)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(8, 30)))) for i in range(90)]
+    docs = [(i, " ".join([*(rng.choice(words) for _ in range(rng.randrange(80))), rng.choice(rows)[1], rng.choice(rows)[1]])) for i in range(60)]
+    found = []
+    for shard in (2048, 7):
+        monkeypatch.setattr(d, "SHARD_ITEMS", shard)
+        got = d.contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(rows, ITEMS)).collect()
+        found.append({(r.doc_id, r.item_id): (round(r.score, 9), r.question_overlap, r.answer_overlap) for r in got})
+    assert found[0] == found[1] and len(found[0]) >= 100
+
+
+def test_what_is_sent_grows_with_the_postings():
+    rng = random.Random(2)
+    index = d.Index([(i, " ".join(f"w{rng.randrange(60_000)}" for _ in range(100))) for i in range(d.SHARD_ITEMS)])
+    assert len(index.most) <= 100 * d.SHARD_ITEMS and index.most.nbytes + index.block.nbytes + index.first.nbytes < 3_000_000
