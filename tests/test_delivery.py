@@ -203,26 +203,6 @@ def test_bad_form_bodies(spark, body, reason):
     assert points.count() == 0 and reason in dead.first().reason
 
 
-def test_form_bodies_with_many_dimensions_and_odd_numbers(spark):
-    m = "MetricData.member."
-    numbers = list(range(1, 1501))
-    shuffled = numbers[::-1]
-    parts = [f"{m}1.Dimensions.member.{n}.{which}={'n' if which == 'Name' else 'v'}{n % 1400 or 1}-{n if which == 'Value' else ''}" for n in shuffled for which in ("Value", "Name")]
-    wide = f"Namespace=n&{m}1.MetricName=a&{m}1.Value=1&" + "&".join(parts)
-    odd = f"Namespace=n&{m}01.MetricName=zero&{m}0.MetricName=none&{m}x.Value=9&{m}1.MetricName=a&{m}1.Value= 2 &{m}1.Dimensions.member.1.Name=k&{m}1.Dimensions.member.01.Value=z"
-    points, dead = bodies.decode_put_metric_bodies(_bodies(spark, wide, odd))
-    assert dead.count() == 0
-    first, second = points.orderBy("value").collect()
-    assert len(first.dimensions) == 1399 and first.dimensions["n1-"] == "v1-1" and first.dimensions["n100-"] == "v100-100"
-    assert (second.metric_name, second.value, second.dimensions) == ("a", 2.0, {})
-
-
-def test_bodies_stay_in_their_tasks(spark):
-    for found in bodies.decode_put_metric_bodies(_bodies(spark, "x")):
-        plan = found._jdf.queryExecution().executedPlan().toString()
-        assert "Exchange" not in plan and "Window" not in plan
-
-
 def test_late_rows(spark):
     rows = spark.createDataFrame([(89,), (90,), (105,), (106,)], "timestamp_ms long")
     accepted, late = delivery.split_late(rows, 100, 10, 5)
