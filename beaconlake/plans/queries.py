@@ -810,15 +810,18 @@ def append_metrics(spark, d):
 
 
 def _log_intake(spark, d, times: int = 1, **how) -> str:
-    """Landed log bodies taken in, `times` times over in as many micro-batches; gives the folder."""
+    """Landed log bodies taken in, `times` times over in as many micro-batches; gives the folder.
+
+    Bodies land in as many files as they are read in. Each landing is a run of its own from the checkpoint, so that a
+    micro-batch holds a whole landing, whatever its number of files.
+    """
     root = storage.scratch_path(spark, "ingest-logs")
     landed = inputs.put_log_bodies(spark, d)
-    for _ in range(times):
-        landed.coalesce(1).write.mode("append").parquet(f"{root}/bodies")
     inputs.registry(spark, d).write.parquet(f"{root}/registry")
-    reader = spark.readStream.schema(ingest.BODIES)
-    stream = (reader.option("maxFilesPerTrigger", 1) if times > 1 else reader).parquet(f"{root}/bodies")
-    ingest.stream_ingest_logs(stream, f"{root}/registry", f"{root}/out", f"{root}/state", **how).awaitTermination()
+    for _ in range(times):
+        landed.write.mode("append").parquet(f"{root}/bodies")
+        stream = spark.readStream.schema(ingest.BODIES).parquet(f"{root}/bodies")
+        ingest.stream_ingest_logs(stream, f"{root}/registry", f"{root}/out", f"{root}/state", **how).awaitTermination()
     return root
 
 
@@ -859,9 +862,9 @@ def _streamed_batches(spark, d) -> str:
     # each destination's first half by time lands first, so that a batch stays open from one micro-batch to the next
     middle = events.agg(F.percentile_approx("timestamp_ms", 0.5)).first()[0]
     for part in (F.col("timestamp_ms") <= middle, F.col("timestamp_ms") > middle):
-        events.filter(part).coalesce(1).write.mode("append").parquet(f"{root}/events")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
-    batches.write_log_batches(batches.stream_log_batches(stream, DAY_MS), f"{root}/out", f"{root}/state").awaitTermination()
+        events.filter(part).write.mode("append").parquet(f"{root}/events")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/events")
+        batches.write_log_batches(batches.stream_log_batches(stream, DAY_MS), f"{root}/out", f"{root}/state").awaitTermination()
     return f"{root}/out"
 
 

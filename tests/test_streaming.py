@@ -1,11 +1,13 @@
 import json
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from beaconlake import schemas
 from beaconlake.operators import batching, delivery, registry, statistics
+from beaconlake.plans import queries
 from beaconlake.streaming import batches, ingest, outcomes, rollup, tables
 
 
@@ -310,3 +312,28 @@ def test_a_group_leaves_only_the_days_that_hold_it(spark, tmp_path):
     assert untouched and all(after.get(f) == t for f, t in untouched.items())
     tables.delete_stored_groups(left, path, names)
     assert files() == after
+
+
+def _spread(spark, root, name, files):
+    """The smallest given tables, one of them in so many files."""
+    given = Path("/root/testdata/sf0.001")
+    for path in given.glob("*.parquet"):
+        if path.stem != name:
+            (root / path.name).symlink_to(path)
+    spark.read.parquet(str(given / f"{name}.parquet")).repartition(files).write.parquet(str(root / f"{name}.parquet"))
+    return str(root)
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="the given tables are not there")
+@pytest.mark.parametrize("times", [1, 2])
+def test_bodies_land_in_as_many_files_as_they_are_read_in(spark, tmp_path, times):
+    root = queries._log_intake(spark, _spread(spark, tmp_path, "documents", 4), times, **({"redelivered": "1 hour"} if times > 1 else {}))
+    assert len(list(Path(root, "bodies").glob("*.parquet"))) == 4 * times
+    assert len(list(Path(root, "out/dead").glob("stream=*/batch=*"))) >= times
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="the given tables are not there")
+def test_events_to_batch_land_in_as_many_files_as_they_are_read_in(spark, tmp_path):
+    out = queries._streamed_batches(spark, _spread(spark, tmp_path, "documents", 4))
+    assert len(list(Path(out).parent.joinpath("events").glob("*.parquet"))) > 2
+    assert len(list(Path(out, "planned").glob("stream=*/batch=*"))) == 2
