@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,30 +52,35 @@ def order_pages(pages: DataFrame, request: str = "request_id", start: str = "")
 
     The place in the chain is found by pointer doubling over all requests at once: after k rounds the pages of the first
     2 ** k places are known, and each page knows the one 2 ** k places on. A chain of n pages takes log2(n) rounds of
-    joins on page numbers, each written to the shared folder, and no request's pages ever meet in one task.
+    joins on page numbers, each written to the shared folder, and no request's pages ever meet in one task. A page
+    from which nothing is 2 ** k places on takes part in no later round. Contents are moved twice, to choose among pages
+    of a token and to add the place.
     """
     token, after = F.coalesce("token_in", F.lit("")), F.coalesce("next_token", F.lit(""))
     content = F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in pages.columns])))
-    keyed = pages.select("*", F.struct(after.alias("after"), content.alias("content")).alias("_page"), token.alias("_token"))
-    nodes = keyed.groupBy(F.col(request).alias("request"), F.col("_token").alias("token")).agg(F.min("_page").alias("page"))
-    nodes = pin(nodes.withColumn("id", F.monotonically_increasing_id()), "page-nodes")
-    leads = nodes.filter((F.col("page.after") != "") & (F.col("page.after") != F.col("token")))
-    here = leads.select("request", F.col("page.after").alias("token"), "id")
-    there = nodes.select(F.col("request").alias("_request"), F.col("token").alias("_token"), F.col("id").alias("to"))
+    row = F.struct(*[F.col(c) for c in pages.columns if c != "page_no"])
+    chosen = pages.groupBy(F.col(request).alias("request"), token.alias("token")).agg(F.min_by(row, F.struct(after, content)).alias("row"))
+    nodes = pin(chosen.select(F.monotonically_increasing_id().alias("id"), "row"), "page-nodes")
+    token, after = F.coalesce("row.token_in", F.lit("")), F.coalesce("row.next_token", F.lit(""))
+    named = nodes.select("id", F.col("row").getField(request).alias("request"), token.alias("token"), after.alias("after"))
+    here = named.filter((F.col("after") != "") & (F.col("after") != F.col("token"))).select("request", F.col("after").alias("token"), "id")
+    there = named.select(F.col("request").alias("_request"), F.col("token").alias("_token"), F.col("id").alias("to"))
     same = F.col("request").eqNullSafe(F.col("_request")) & (F.col("token") == F.col("_token"))
-    jump = pin(here.join(there, same).select("id", "to"), "page-jumps")
-    known = pin(nodes.filter(F.col("token") == start).select("id", F.lit(0).cast("long").alias("page_no")), "page-places")
-    found, far = known.count(), 1
+    jump, far = pin(here.join(there, same).select("id", "to"), "page-jumps"), 1
+    live = named.filter(F.col("token") == start).select("id", F.lit(0).cast("long").alias("page_no"))
+    places, before = [], None
     while True:
-        onward = known.join(jump, "id").select(F.col("to").alias("id"), (F.col("page_no") + far).alias("page_no"))
-        known = pin(known.unionByName(onward).groupBy("id").agg(F.min("page_no").alias("page_no")), "page-places")
-        before, found = found, known.count()
-        if found == before:
+        met = pin(live.join(jump, "id", "left").select("id", "page_no", "to"), "page-places")
+        size = met.agg(F.count("*").alias("all"), F.count("to").alias("going")).first()
+        if size["going"] == 0 or size["all"] == before:  # every chain has ended, or what goes on goes round
+            places.append(met.select("id", "page_no"))
             break
+        before = size["going"]
+        places.append(met.filter(F.col("to").isNull()).select("id", "page_no"))
+        going = met.filter(F.col("to").isNotNull())
+        onward = going.select(F.col("to").alias("id"), (F.col("page_no") + far).alias("page_no"))
+        live = going.select("id", "page_no").unionByName(onward).groupBy("id").agg(F.min("page_no").alias("page_no"))
         further = jump.select(F.col("id").alias("to"), F.col("to").alias("further"))
         jump, far = pin(jump.join(further, "to").select("id", F.col("further").alias("to")), "page-jumps"), 2 * far
-    placed = nodes.join(known, "id").select(F.col("request").alias("_r"), F.col("token").alias("_t"), F.col("page").alias("_p"), "page_no")
-    match = F.col(request).eqNullSafe(F.col("_r")) & (F.col("_token") == F.col("_t")) & (F.col("_page") == F.col("_p"))
-    rest = [c for c in pages.columns if c != "page_no"]
-    once = keyed.dropDuplicates([request, "_token", "_page"]).select(*rest, "_token", "_page")
-    return once.join(placed, match).select(*rest, "page_no")
+    placed = reduce(DataFrame.unionByName, places)
+    return nodes.join(placed, "id").select("row.*", "page_no")

@@ -288,6 +288,22 @@ def test_long_chains_are_ordered_like_a_walk(spark):
     assert _placed(spark, rows) == sorted(want)
 
 
+def test_pages_whose_chain_has_ended_take_part_in_no_later_round(spark, monkeypatch):
+    """One long chain among many short ones: the short ones' places are written once or twice, not every round."""
+    sizes, whole = [], pages.pin
+
+    def counted(rows, purpose):
+        made = whole(rows, purpose)
+        sizes.append((purpose, made.count()))
+        return made
+
+    monkeypatch.setattr(pages, "pin", counted)
+    rows = [("long", f"t{i}" if i else "", f"t{i + 1}", str(i)) for i in range(100)]
+    rows += [(f"s{r}", "" if i == 0 else str(i), str(i + 1) if i < 2 else "", str(i)) for r in range(200) for i in range(3)]
+    assert len(_placed(spark, rows)) == 700
+    assert sum(n for purpose, n in sizes if purpose == "page-places") < 200 * (1 + 2 + 3) + 400
+
+
 # Table functions
 
 
