@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from beaconlake.sources.logs import json_object
 
@@ -67,17 +71,40 @@ def tabulate_results(responses: DataFrame, max_columns: int | None = None, keep:
         empty = rows.select(*keep, F.lit("").alias("@message")).filter(F.lit(False))
         return empty
 
-    # One map a row, the last of repeated fields winning; each column then looks itself up.
-    names_in = F.transform("fields", lambda f: f["field"])
-    values = F.transform("fields", lambda f: F.coalesce(f["value"], F.lit("")))
-    backwards, last = F.reverse(names_in), F.reverse(values)
-    distinct = F.array_distinct(backwards)
-    kept = F.transform(distinct, lambda n: F.element_at(last, F.array_position(backwards, n).cast("int")))
-    as_map = F.when(F.size(distinct) == F.size(backwards), F.map_from_arrays(names_in, values)).otherwise(
-        F.map_from_arrays(distinct, kept)
-    )
-    mapped = rows.select(*keep, as_map.alias("_fields"))
-    return mapped.select(*keep, *[F.try_element_at("_fields", F.lit(name)).alias(name) for name in names])
+    # Numbered on the way, as a field may have the name of a kept column.
+    kept = rows.select(*keep, "fields")
+    types = [*[field.dataType for field in kept.schema.fields[:-1]], *[T.StringType()] * len(names)]
+    shape = T.StructType([T.StructField(f"c{i}", kind) for i, kind in enumerate(types)])
+    return kept.mapInArrow(_columns(names), shape).toDF(*kept.columns[:-1], *names)
+
+
+def _columns(names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Turns the last column of batches, arrays of (field, value), into one column per name.
+
+    A pair is looked up once among the names, and each column takes its own pairs, so that a row costs what it holds.
+    """
+    cells = 1 << 22
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, step = pa.array(names, pa.string()), max(1, cells // len(names))
+        for batch in batches:
+            for begin in range(0, batch.num_rows, step):
+                part = batch.slice(begin, step)
+                pairs, row = pc.list_flatten(part.columns[-1]), pc.list_parent_indices(part.columns[-1]).to_numpy()
+                values = pc.fill_null(pc.struct_field(pairs, "value"), "")
+                code = pc.index_in(pc.struct_field(pairs, "field"), value_set=known).to_numpy(zero_copy_only=False)
+                order = np.argsort(code, kind="stable")
+                ends = np.searchsorted(code[order], np.arange(len(names) + 1))
+                made = []
+                for at in range(len(names)):
+                    mine = order[ends[at] : ends[at + 1]]
+                    place = np.full(part.num_rows, -1)
+                    place[row[mine]] = mine  # in order, so that the last of repeated fields stays
+                    made.append(values.take(pa.array(place, mask=place < 0)))
+                made = [*part.columns[:-1], *made]
+                yield pa.RecordBatch.from_arrays(made, [f"c{i}" for i in range(len(made))])
+
+    return spread
 
 
 def result_statistics(responses: DataFrame) -> DataFrame:

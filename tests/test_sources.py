@@ -304,6 +304,27 @@ def test_pages_whose_chain_has_ended_take_part_in_no_later_round(spark, monkeypa
     assert sum(n for purpose, n in sizes if purpose == "page-places") < 200 * (1 + 2 + 3) + 400
 
 
+def test_wide_rows_are_not_searched_once_a_column(spark):
+    """Each pair is placed once: the plan has no lookup per column, and values are those of plain Python."""
+    rng = random.Random(5)
+    names = ["n%d" % i for i in range(30)] + ["N1", "a b", "a.b", "", None]
+    made = [[(rng.choice(names), rng.choice(["x", "", None, "é", str(i)])) for _ in range(rng.randrange(9))] for i in range(200)]
+    rows = [(i, "Complete", [pairs, pairs[:1]]) for i, pairs in enumerate(made)]
+    responses = spark.createDataFrame(rows, "response_no long, status string, results array<array<struct<field:string,value:string>>>")
+    found = results.tabulate_results(responses, keep=["response_no"])
+    assert "element_at" not in found._jdf.queryExecution().executedPlan().toString()
+    seen = list(dict.fromkeys(n for pairs in made for n, _ in pairs if n is not None))
+    assert found.columns == ["response_no", *seen]
+    want = []
+    for i, _, both in rows:
+        for pairs in both:
+            last = {n: v or "" for n, v in pairs if n is not None}
+            want.append((i, *(last.get(n) for n in seen)))
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want))
+    named = spark.createDataFrame([(1, "Complete", [[("response_no", "x")]])], responses.schema)
+    assert tuple(results.tabulate_results(named, keep=["response_no"]).first()) == (1, "x")
+
+
 # Table functions
 
 
