@@ -7,7 +7,8 @@ a, with its t. Two documents take the same sample with a probability equal to th
 their weights, sum of min(w, w') over sum of max(w, w').
 
 Samples are worked out `AT_ONCE` at a time, a row of a term each: the code of all in one row would be too long for the JVM
-to compile, which costs four times as much.
+to compile, which costs four times as much. Logarithms, which Spark takes by a native call each, come from two tables of one
+broadcast row; as constants in the expressions every look-up would have a copy of its table.
 
 a is fixed by k and t, and other terms and t give another ln a of 32 bits but for a chance of 2**-20 or so. So the least
 ln a itself names the sample, which makes a signature a plain grouped minimum of floats: combined where the rows are, no
@@ -21,6 +22,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from beaconlake.llm.common import table
 from beaconlake.storage import pin
@@ -29,23 +31,55 @@ SAMPLES = 64
 #: Samples are named in the fingerprint by so many hexadecimal digits each.
 DIGITS = 8
 #: Samples of a row of a term.
-AT_ONCE = 4
+AT_ONCE = 8
+#: Cells of the look-up tables, and how many of the lowest are worked out instead.
+CELLS, SERIES = 2048, 32
+TABLES = ("minus_ln", "ln_gamma")
 #: Documents that follow each other by id are taken together, so many at most.
 BLOCK = 16_384
 
 
+def _quantile(u: float) -> float:
+    """The value up to which Gamma(2, 1) has the probability u: 1 - (1 + x) exp(-x) = u."""
+    low, high = 0.0, 60.0
+    for _ in range(60):
+        x = (low + high) / 2
+        low, high = (x, high) if 1 - (1 + x) * math.exp(-x) < u else (low, x)
+    return (low + high) / 2
+
+
+def _tables(spark: SparkSession) -> DataFrame:
+    """One row: `minus_ln`, -ln of the middle of each of CELLS cells of (0, 1); `ln_gamma`, at each cell's border the
+    logarithm of Gamma(2, 1)'s quantile, at 1 that of the largest draw."""
+    borders = [max(k, 0.5) / CELLS for k in range(CELLS)] + [1 - 2.0**-29]
+    row = ([-math.log((k + 0.5) / CELLS) for k in range(CELLS)], [math.log(_quantile(u)) for u in borders])
+    kind = ArrayType(DoubleType(), False)
+    return spark.createDataFrame([row], StructType([StructField(name, kind, False) for name in TABLES]))
+
+
+def _log_c(bits: Column) -> Column:
+    """ln of a Gamma(2, 1) draw from 28 bits: between the borders of a cell in proportion, off by less than 0.001 below the
+    quantile of 0.996; in the lowest cells, which decide in long documents, by the series of the quantile in s = sqrt(2 u)."""
+    cell = F.shiftrightunsigned(bits, 17).cast("int")
+    inside = (bits.bitwiseAND((1 << 17) - 1) + F.lit(0.5)) * F.lit(2.0**-17)
+    s = F.sqrt((cell + inside) * F.lit(2 / CELLS))
+    low, high = F.col("ln_gamma")[cell], F.col("ln_gamma")[cell + 1]
+    series = F.ln(s) + s * (F.lit(1 / 3) + s * (F.lit(7 / 72) + s * (F.lit(0.041) + s * F.lit(0.0225))))
+    return F.when(cell < SERIES, series).otherwise(low + (high - low) * inside)
+
+
 def _log_a(i: Column, weights: list[str]) -> list[Column]:
-    """ln a of sample i for a term of hash `h`, for each column of ln weights; NULL without a weight.
+    """ln a of sample i for a term of hash `h`, for each column of ln weights; infinite without a weight.
 
-    Gamma(2, 1) is -ln of two uniforms' product. One hash gives all: r from two of 11 bits, c, whose small values decide,
-    from two of 14, and b from 14.
+    One hash gives all draws: r, the sum of -ln of two uniforms, from two of 11 bits, c from 28 and b from 14.
     """
     bits = F.xxhash64("h", i)
-    draw = lambda shift, width: F.shiftrightunsigned(bits, shift).bitwiseAND((1 << width) - 1) + F.lit(0.5)
-    r = -F.ln(draw(0, 11) * draw(11, 11) * F.lit(2.0**-22))
-    c = -F.ln(draw(22, 14) * draw(36, 14) * F.lit(2.0**-28))
-    b = draw(50, 14) * F.lit(2.0**-14)
-    return [(F.ln(c) - r * ((F.col(w) / r + b).cast("long") - b + 1)).cast("float") for w in weights]
+    draw = lambda shift, width: F.shiftrightunsigned(bits, shift).bitwiseAND((1 << width) - 1)
+    r = F.col("minus_ln")[draw(0, 11).cast("int")] + F.col("minus_ln")[draw(11, 11).cast("int")]
+    log_c = _log_c(draw(22, 28))
+    b = (draw(50, 14) + F.lit(0.5)) * F.lit(2.0**-14)
+    log_a = [(log_c - r * (F.floor(F.col(w) / r + b) - b + 1)).cast("float") for w in weights]
+    return [F.coalesce(a, F.lit(math.inf).cast("float")) for a in log_a]
 
 
 def _hashes(text: str, side: int) -> Column:
@@ -69,15 +103,17 @@ def signatures(rows: DataFrame, keys: list[str], kept: list[str] | None = None,
     # has a single run of no hash, which weighs nothing.
     sorted_ = rows.select(*carried, F.sort_array(F.concat(*sides)).alias("w"))
     runs = sorted_.select(*carried, "w", F.expr("filter(sequence(0, size(w) - 1), i -> i = 0 or get(w, i) <> get(w, i - 1))").alias("s"))
-    fresh = F.expr("filter(sequence(0, size(s) - 1), j -> j = 0 or shiftright(get(w, get(s, j)), 1) <> shiftright(get(w, get(s, j - 1)), 1))")
-    # the outer form: for the inner one the optimizer would work out the arrays twice, to leave out empty ones early
-    terms = runs.select(*carried, "w", "s", F.explode_outer(fresh).alias("j"))
+    runs = runs.crossJoin(F.broadcast(_tables(rows.sparkSession)))
+    # Nothing from here on holds a lambda, so all is compiled; a generator that isn't copies its row's arrays for every term.
+    # The outer form, as for the inner one the optimizer would work out the arrays twice, to leave out empty ones early.
+    places = runs.select(*carried, "w", "s", *TABLES, F.explode_outer(F.expr("sequence(0, size(s) - 1)")).alias("j"))
+    terms = places.where("j = 0 or shiftright(get(w, get(s, j)), 1) <> shiftright(get(w, get(s, j - 1)), 1)")
     first = F.expr("coalesce(get(s, j + 1), size(w)) - get(s, j)")
     second = F.expr("case when shiftright(get(w, get(s, j + 1)), 1) = shiftright(get(w, get(s, j)), 1) then coalesce(get(s, j + 2), size(w)) - get(s, j + 1) end")
     odd = F.expr("(get(w, get(s, j)) & 1) = 1")
     counts = {"own": F.when(~odd, first), "edited": F.when(odd, first).otherwise(second)}
     names = list(counts)[: len(texts)]
-    terms = terms.select(*carried, F.expr("shiftright(get(w, get(s, j)), 1)").alias("h"), *(F.ln(counts[n].cast("double")).alias(n) for n in names))
+    terms = terms.select(*carried, *TABLES, F.expr("shiftright(get(w, get(s, j)), 1)").alias("h"), *(F.ln(counts[n].cast("double")).alias(n) for n in names))
     groups = -(-samples // AT_ONCE)
     parts = terms.select("*", F.explode(F.array(*map(F.lit, range(groups)))).alias("part"))
     draws = [_log_a(F.col("part") * AT_ONCE + i, names) for i in range(AT_ONCE)]
@@ -92,7 +128,7 @@ def signatures(rows: DataFrame, keys: list[str], kept: list[str] | None = None,
 
     def signature(side: str) -> Column:
         all_ = F.slice(F.flatten(F.transform("parts", lambda p: p[side])), 1, samples)
-        return F.when(all_[0].isNotNull(), all_).alias(made[side])
+        return F.when(all_[0] < math.inf, all_).alias(made[side])
 
     return whole.select(*carried, *(signature(n) for n in names))
 

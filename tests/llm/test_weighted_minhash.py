@@ -1,8 +1,11 @@
 import hashlib
+import math
 import random
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from beaconlake.llm import weighted_minhash as cws
 
 SCHEMA = "doc_id long, text string"
@@ -136,3 +139,23 @@ def test_production_likeness_is_near_the_similarity(spark):
     likeness = [sum(x == y for x, y in zip(got[2 * i], got[2 * i + 1])) / cws.SAMPLES for i in range(200)]
     assert (sum((x - 0.8) ** 2 for x in likeness) / 200) ** 0.5 < 0.065
     assert abs(sum(likeness) / 200 - 0.8) < 0.015
+
+
+def test_generators_are_compiled_and_draws_look_logarithms_up(spark, capsys):
+    """A generator with a lambda copies a document's arrays per term; a draw took three logarithms by native calls."""
+    docs = spark.createDataFrame([(1, "a b")], SCHEMA)
+    cws.fingerprints(docs).explain("formatted")
+    plan = capsys.readouterr().out
+    generators = re.findall(r"\) Generate.*?\n\n", plan, re.S)
+    assert generators and not any("lambdafunction" in g for g in generators)
+    least = re.findall(r"\) HashAggregate.*?\n\n", plan, re.S)
+    assert least and not any(re.search(r"-?LN\(LN|-LN\(\(", a) for a in least)
+
+
+def test_looked_up_draws_are_gamma(spark):
+    """exp(ln c) of every part of the range is the quantile of Gamma(2, 1)."""
+    us = [2.0**-29, 1e-8, 1e-6, 1e-4, 3e-3, 0.0155, 0.0157, 0.02, 0.1, 0.3, 0.5, 0.8, 0.99]
+    bits = spark.createDataFrame([(int(u * 2**28),) for u in us], "bits long").crossJoin(cws._tables(spark))
+    for r in bits.select("bits", F.exp(cws._log_c(F.col("bits"))).alias("c")).collect():
+        reached = r.c**2 / 2 - r.c**3 / 3 + r.c**4 / 8 if r.c < 1e-3 else 1 - (1 + r.c) * math.exp(-r.c)
+        assert abs(reached / ((r.bits + 0.5) * 2.0**-28) - 1) < 0.001
